@@ -1,13 +1,13 @@
 """One-row-per-key operators.
 
-All of them are grouped aggregates, so Spark combines on the map side before the
-shuffle: a key that holds a large share of the rows sends one row per map task, not
-its whole group, and no task ever buffers a group.
+Both limit every key on the map side before the shuffle: the ranking window turns into
+a group limit below the exchange, the aggregate into a partial aggregate. A key that
+holds a large share of the rows sends one row per map task, not its whole group.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -17,18 +17,10 @@ def first_row(df: DataFrame, keys: list[str], order: list[str | Column]) -> Data
     Remaining ties are broken by the other columns from left to right, so the result
     does not depend on how the input is split into partitions.
     """
-    rest = [c for c in df.columns if c not in keys]
-    ranked = [F.col(o) if isinstance(o, str) else o for o in order]
-    row = F.struct(
-        *[o.alias(f"_o{i}") for i, o in enumerate(ranked)],
-        *[F.col(c) for c in rest],
-    )
-    return (
-        df.groupBy(*keys)
-        .agg(F.min(row).alias("_row"))
-        .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
-        .select(*df.columns)
-    )
+    named = [o for o in order if isinstance(o, str)]
+    rest = [c for c in df.columns if c not in keys and c not in named]
+    ranking = Window.partitionBy(*keys).orderBy(*order, *rest)
+    return df.withColumn("_rn", F.row_number().over(ranking)).where("_rn = 1").drop("_rn")
 
 
 def latest_value(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from crossmart import schemas
 from crossmart.functions import differs, table_label, table_rank
 from crossmart.operators.keys import assign_keys, highest_key
-from crossmart.operators.pick import latest_value
+from crossmart.operators.pick import first_row, latest_value
 from crossmart.sources import seeds
 
 # --- fixed values: markets whose product texts are preferred, in order ---------------------
@@ -121,15 +121,23 @@ def refresh_current_rate(dim: DataFrame, fact_rates: DataFrame) -> DataFrame:
     )
 
 
-def load_category(dim: DataFrame, catalogue_stg: DataFrame) -> DataFrame:
-    """Two-level hierarchy: top categories, then labels below them with the parent's key.
-
-    A label equal to its category (or missing) makes no second-level row.
-    """
-    pairs = (
+def category_pairs(catalogue_stg: DataFrame) -> DataFrame:
+    """Distinct (category, label) pairs of the staged catalogue."""
+    return (
         catalogue_stg.where(F.col("category").isNotNull())
         .select("category", "subcategory").distinct()
     )
+
+
+def load_category(
+    dim: DataFrame, catalogue_stg: DataFrame, found: DataFrame | None = None
+) -> DataFrame:
+    """Two-level hierarchy: top categories, then labels below them with the parent's key.
+
+    A label equal to its category (or missing) makes no second-level row. ``found`` are
+    the catalogue's pairs where a load has written them already.
+    """
+    pairs = found if found is not None else category_pairs(catalogue_stg)
     tops = dim.where("category_level = 1")
     new_tops = pairs.select("category").distinct().join(tops, "category", "left_anti")
     numbered_tops = assign_keys(
@@ -158,23 +166,19 @@ def load_category(dim: DataFrame, catalogue_stg: DataFrame) -> DataFrame:
 def canonical_products(catalogue_stg: DataFrame) -> DataFrame:
     """One attribute row per style: preferred market first, then country, newest snapshot.
 
-    A grouped minimum over a struct, combined on the map side: a style with a third of
+    The ranking is cut to one row per style on the map side, so a style with a third of
     all rows still sends one row per map task to the shuffle.
     """
     rank = F.lit(OTHER_MARKET_RANK)
     for position, market in reversed(list(enumerate(PREFERRED_MARKETS, start=1))):
         rank = F.when(F.col("country_code") == market, position).otherwise(rank)
     attributes = ["model_number", "product_name", "color_name", "gender_segment", "category"]
-    age = -F.coalesce(F.unix_date(F.col("snapshot_date").try_cast("date")), F.lit(-999999))
-    row = F.struct(
-        rank.alias("r"), F.col("country_code").alias("c"), age.alias("a"),
-        *[F.col(a) for a in attributes],
-    )
-    return (
-        catalogue_stg.where(F.col("style_color").isNotNull())
-        .groupBy("style_color").agg(F.min(row).alias("p"))
-        .select("style_color", *[F.col(f"p.{a}").alias(a) for a in attributes])
+    newest = F.coalesce(F.unix_date(F.col("snapshot_date").try_cast("date")), F.lit(-999999)).desc()
+    keyed = catalogue_stg.where(F.col("style_color").isNotNull()).select(
+        "style_color", "country_code", "snapshot_date", *attributes
     )
+    ranked = first_row(keyed, ["style_color"], [rank, "country_code", newest])
+    return ranked.select("style_color", *attributes)
 
 
 def load_product_scd2(

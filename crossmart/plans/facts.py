@@ -208,10 +208,14 @@ def not_loaded_yet(rows: DataFrame, fact: DataFrame, first: Column, last: Column
 
 def new_prices(
     fact: DataFrame, catalogue_stg: DataFrame, dims: dict[str, DataFrame], fact_rates: DataFrame,
-    unique: bool = False,
+    unique: bool = False, rates: DataFrame | None = None,
 ) -> DataFrame:
-    """Price rows to append for a batch: keys, conversion at the snapshot's rates, guard."""
-    rates = rates_on(fact_rates, dims["dim_currency"], snapshot_day(catalogue_stg))
+    """Price rows to append for a batch: keys, conversion at the snapshot's rates, guard.
+
+    ``rates`` are the rates of the snapshot where a load has written them already.
+    """
+    if rates is None:
+        rates = rates_on(fact_rates, dims["dim_currency"], snapshot_day(catalogue_stg))
     rows = priced(keyed_prices(catalogue_stg, dims, unique), rates)
     return not_loaded_yet(rows, fact, *snapshot_bounds(catalogue_stg))
 

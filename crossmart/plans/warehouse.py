@@ -7,7 +7,7 @@ Layout under one root folder::
     staging_catalogue/run=7/
     dim_*/run=7/                   dimension as of run 7
     reject_log/run=7/
-    fact_rates/run=7/date_key=.../ rows appended by run 7
+    fact_rates/run=7/              rows appended by run 7 (a few hundred per day: no day folders)
     fact_prices/run=7/date_key=.../
 
 The audit log is the commit record. A reader takes the dimensions of the newest
@@ -17,8 +17,12 @@ nothing visible, and a load never rewrites facts that are already stored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
+from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,8 +121,6 @@ MODES = ("initial", "incremental")
 
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     """A parquet folder, or an empty frame while nobody has written it yet."""
-    from pyspark.errors import AnalysisException
-
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
@@ -152,8 +154,15 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def append_fact(rows: DataFrame, path: str) -> DataFrame:
-    """Write a fact batch, one folder per day.
+def together(spark: SparkSession, *steps: Callable[[], None]) -> None:
+    """Submit independent load steps at once, so small ones do not leave executors idle."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for outcome in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]:
+            outcome.result()
+
+
+def append_prices(rows: DataFrame, path: str) -> DataFrame:
+    """Write a price batch, one folder per day.
 
     The rebalance hint lets AQE merge small and split large output partitions, so a
     batch of one day is still written by many tasks and many days make no tiny files.
@@ -200,60 +209,82 @@ def stage_batch(
     state: Warehouse, run: int, catalogue: DataFrame | None, rates: DataFrame
 ) -> dict[str, DataFrame | None]:
     """Replace the staging tables by the text mirror of this batch."""
-    return {
-        "rates": write_table(stage_rates(rates, run), state.path("staging_rates", run)),
-        "catalogue": None if catalogue is None else write_table(
-            stage_catalogue(catalogue, run), state.path("staging_catalogue", run)
-        ),
-    }
+    staged: dict[str, DataFrame | None] = {"catalogue": None}
+
+    def stage_one(name: str, df: DataFrame) -> None:
+        staged[name] = write_table(df, state.path(f"staging_{name}", run))
+
+    steps = [lambda: stage_one("rates", stage_rates(rates, run))]
+    if catalogue is not None:
+        steps.append(lambda: stage_one("catalogue", stage_catalogue(catalogue, run)))
+    together(state.spark, *steps)
+    return staged
 
 
 def load_warehouse(
     state: Warehouse, run: int, staged: dict[str, DataFrame | None], load_date: date, unique: bool
 ) -> dict[str, int]:
-    """Load order: currencies, categories, products, rates, prices, working days."""
+    """Load order: currencies, categories, products, rates, prices, working days.
+
+    Currencies with their rates, categories, products and rejects do not depend on each
+    other and are loaded together; prices need all of them.
+    """
     rates_stg, catalogue_stg = staged["rates"], staged["catalogue"]
     old = state.tables()
+    now: dict[str, DataFrame] = {}
 
-    def save(name: str, df: DataFrame) -> DataFrame:
-        return write_table(df.select(*DIMENSIONS[name].names), state.path(name, run))
+    def save(name: str, df: DataFrame) -> None:
+        now[name] = write_table(df.select(*DIMENSIONS[name].names), state.path(name, run))
 
-    now: dict[str, DataFrame] = {}
-    # the currency table is written once, after its rates are known
-    currencies = write_table(
-        dims.load_currency(old["dim_currency"], rates_stg, catalogue_stg),
-        state.path("work_currency", run),
-    )
-    now["dim_geography"] = save("dim_geography", old["dim_geography"])
-    new_fx = append_fact(
-        facts.new_rates(old["fact_rates"], rates_stg, currencies, old["dim_date"]),
-        state.path("fact_rates", run),
-    )
-    fact_rates = old["fact_rates"].unionByName(new_fx)
-    now["dim_currency"] = save("dim_currency", dims.refresh_current_rate(currencies, fact_rates))
-    now["dim_date"] = save("dim_date", refresh_working_days(old["dim_date"], fact_rates))
-    rows_in, rows_out = rates_stg.count(), old["fact_prices"].count()
-    rejected = 0
-    if catalogue_stg is None:
-        now["dim_category"] = save("dim_category", old["dim_category"])
-        now["dim_product"] = save("dim_product", old["dim_product"])
-        save("reject_log", old["reject_log"])
-    else:
-        now["dim_category"] = save("dim_category", dims.load_category(old["dim_category"], catalogue_stg))
-        products = write_table(
-            dims.canonical_products(catalogue_stg), state.path("work_products", run)
+    def work(name: str, df: DataFrame) -> DataFrame:
+        return write_table(df, state.path(f"work_{name}", run))
+
+    def currencies_and_rates() -> None:
+        codes = work("currency", dims.load_currency(old["dim_currency"], rates_stg, catalogue_stg))
+        added = write_table(
+            facts.new_rates(old["fact_rates"], rates_stg, codes, old["dim_date"]),
+            state.path("fact_rates", run),
+        )
+        now["fact_rates"] = old["fact_rates"].unionByName(added)
+        together(
+            state.spark,
+            lambda: save("dim_currency", dims.refresh_current_rate(codes, now["fact_rates"])),
+            lambda: save("dim_date", refresh_working_days(old["dim_date"], now["fact_rates"])),
         )
-        now["dim_product"] = save(
-            "dim_product", dims.load_product_scd2(old["dim_product"], catalogue_stg, load_date, products)
+
+    def categories() -> None:
+        found = catalogue_stg and work("pairs", dims.category_pairs(catalogue_stg))
+        before = old["dim_category"]
+        save("dim_category", dims.load_category(before, catalogue_stg, found) if found else before)
+
+    def products() -> None:
+        found = catalogue_stg and work("products", dims.canonical_products(catalogue_stg))
+        before = old["dim_product"]
+        save(
+            "dim_product",
+            dims.load_product_scd2(before, catalogue_stg, load_date, found) if found else before,
         )
-        log = save("reject_log", facts.refresh_reject_log(old["reject_log"], catalogue_stg, run))
-        added = append_fact(
-            facts.new_prices(old["fact_prices"], catalogue_stg, now, fact_rates, unique),
-            state.path("fact_prices", run),
+
+    def markets_and_rejects() -> None:
+        save("dim_geography", old["dim_geography"])
+        before = old["reject_log"]
+        save(
+            "reject_log",
+            facts.refresh_reject_log(before, catalogue_stg, run) if catalogue_stg else before,
         )
-        rejected = log.where(F.col("load_batch_id") == run).count()
-        rows_in += catalogue_stg.count()
-        rows_out += added.count()
+
+    together(state.spark, currencies_and_rates, categories, products, markets_and_rejects)
+    rows_in, rows_out = rates_stg.count(), old["fact_prices"].count() + now["fact_rates"].count()
+    if catalogue_stg is None:
+        return {"rows_in": rows_in, "rows_out": rows_out, "rows_rejected": 0}
+    day = facts.snapshot_day(catalogue_stg)
+    rates = work("rates", facts.rates_on(now["fact_rates"], now["dim_currency"], day))
+    added = append_prices(
+        facts.new_prices(old["fact_prices"], catalogue_stg, now, now["fact_rates"], unique, rates),
+        state.path("fact_prices", run),
+    )
     return {
-        "rows_in": rows_in, "rows_out": rows_out + fact_rates.count(), "rows_rejected": rejected,
+        "rows_in": rows_in + catalogue_stg.count(),
+        "rows_out": rows_out + added.count(),
+        "rows_rejected": now["reject_log"].where(F.col("load_batch_id") == run).count(),
     }

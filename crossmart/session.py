@@ -38,5 +38,6 @@ def local_session(name: str = "crossmart", cpus: int | str = "*", partitions: in
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crossmart import schemas
@@ -56,20 +56,25 @@ def listings(spark: SparkSession, sf_dir: str, per_row: bool = False) -> DataFra
     base = 100 + part % 400
     spread = (part * 7 + F.col("m") * 13) % (5 + 5 * (part % 6))
     wide = F.floor(F.col("l_extendedprice") / F.col("l_quantity")) * 100 + 99
-    cents = F.when(steered, base * (100 + spread)).otherwise(wide).cast("decimal(12,0)")
+    cents = F.when(steered, base * (100 + spread)).otherwise(wide)
     percent = F.floor(F.col("l_discount") * 100 + 0.5).cast("int")
     sale = F.when((F.col("l_linenumber") == 7) & (order % 50 == 0), F.col("cents") + 500).when(
-        F.col("percent") > 0, F.floor(F.col("cents") * (100 - F.col("percent")) / 100)
+        F.col("percent") > 0, F.expr("cents * (100 - percent) div 100")
     )
 
-    def money(c):
-        return (c.cast("decimal(14,0)") / F.lit(100).cast("decimal(3,0)")).cast("decimal(12,2)").cast("string")
+    def money(name: str) -> Column:
+        """Whole cents as a text with two decimals."""
+        return F.concat(
+            F.expr(f"cast({name} div 100 AS string)"), F.lit("."),
+            F.lpad(F.expr(f"cast({name} % 100 AS string)"), 2, "0"),
+        )
 
     rows = (
         item.withColumn("m", (F.col("l_suppkey") % 45).cast("int"))
         .join(F.broadcast(market), "m")  # the fixed list of 45 markets
         .withColumn("cents", cents)
         .withColumn("percent", percent)
+        .withColumn("sale_cents", sale)
     )
     return rows.select(
         F.concat_ws("-", order, F.col("l_linenumber"), part, F.col("l_suppkey")).alias("sku"),
@@ -83,8 +88,8 @@ def listings(spark: SparkSession, sf_dir: str, per_row: bool = False) -> DataFra
         F.when(order % 101 == 0, F.lit(None).cast("string"))
         .when(order % 103 == 0, F.lit("n/a"))
         .when(order % 97 == 0, F.lit("0"))
-        .otherwise(money(F.col("cents"))).alias("price_local"),
-        money(sale).alias("sale_price_local"),
+        .otherwise(money("cents")).alias("price_local"),
+        money("sale_cents").alias("sale_price_local"),
         F.col("percent").cast("string").alias("discount_pct"),
         F.when(F.col("l_linenumber") == 6, F.lit("unknown"))
         .otherwise((F.col("l_linestatus") == "O").cast("string")).alias("in_stock"),
