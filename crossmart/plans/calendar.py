@@ -23,8 +23,12 @@ def date_key(day: Column) -> Column:
     return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
 
 
-def calendar(spark: SparkSession, first: date = FIRST_DAY, last: date = LAST_DAY) -> DataFrame:
+def calendar(
+    spark: SparkSession, first: date | Column = FIRST_DAY, last: date | Column = LAST_DAY
+) -> DataFrame:
     """One row per day with its calendar attributes and the provisional bank-day flag."""
+    lo = F.lit(first) if isinstance(first, date) else first
+    hi = F.lit(last) if isinstance(last, date) else last
     day = F.col("full_date")
     names = F.array(*[F.lit(n) for n in MONTH_NAMES])
     holiday = F.struct(F.month(day), F.dayofmonth(day)).isin(
@@ -33,7 +37,7 @@ def calendar(spark: SparkSession, first: date = FIRST_DAY, last: date = LAST_DAY
     weekend = F.weekday(day) >= 5
     return (
         spark.range(1)
-        .select(F.explode(F.sequence(F.lit(first), F.lit(last))).alias("full_date"))
+        .select(F.explode(F.sequence(lo, hi)).alias("full_date"))
         .select(
             date_key(day).alias("date_key"),
             day,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crossmart import schemas
 from crossmart.functions import blank_to_null, default_label, table_label, table_rank
@@ -68,15 +69,20 @@ def without_key(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_rate_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Landed answers of the rate service: one JSON array of publications per file."""
-    return spark.read.schema(schemas.RATE_DOCUMENT).json(path, multiLine=True)
+def read_rate_documents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Landed answers of the rate service, each one a JSON array of publications.
+
+    One answer per file by default; with ``multi_line=False`` one answer per line, which
+    keeps large archives splittable.
+    """
+    return spark.read.schema(schemas.RATE_DOCUMENT).json(path, multiLine=multi_line)
 
 
 def parse_rate_documents(texts: DataFrame, column: str) -> DataFrame:
     """Publications out of a text column holding one JSON array per row."""
-    document = F.from_json(column, f"ARRAY<{schemas.RATE_DOCUMENT.simpleString()}>")
-    return texts.select(F.inline(document))
+    document = F.from_json(column, T.ArrayType(schemas.RATE_DOCUMENT))
+    kept = [c for c in texts.columns if c != column]
+    return texts.select(*kept, F.inline(document))
 
 
 def flatten_rates(documents: DataFrame, table_type: str | Column) -> DataFrame:
