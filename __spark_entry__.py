@@ -20,6 +20,7 @@ from crossmart.operators.joins import missing_in
 from crossmart.operators.pick import latest_value
 from crossmart.plans import calendar as cal
 from crossmart.plans import dims, facts, marts, measures, profile, quality, reports
+from crossmart.plans.warehouse import write_table
 from crossmart.session import work_dir
 from crossmart.sources import demo, files
 
@@ -66,6 +67,10 @@ class Inputs:
     def scratch(self, name: str) -> str:
         return f"{work_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
 
+    def stored(self, name: str, df: DataFrame) -> DataFrame:
+        """A staging frame written to the work folder, as a load does before it reads it."""
+        return write_table(df, self.scratch(name))
+
     def empty(self, schema) -> DataFrame:
         return dims.empty(self.spark, schema)
 
@@ -162,7 +167,7 @@ def rates_at_snapshot(i: Inputs) -> DataFrame:
 
 
 def priced_per_row(i: Inputs) -> DataFrame:
-    spread = files.stage_catalogue(demo.catalogue(i.spark, i.sf_dir, per_row=True), 2)
+    spread = i.stored("spread", files.stage_catalogue(demo.catalogue(i.spark, i.sf_dir, per_row=True), 2))
     rows = facts.priced_per_row(spread, i.t, i.t["fact_rates"], unique=True)
     named = measures.with_attributes(rows, i.t, ["style_color", "country_code", "currency_code"])
     return named.select(
@@ -234,7 +239,8 @@ def category_load(i: Inputs) -> DataFrame:
 
 
 def recolored(i: Inputs) -> DataFrame:
-    return files.stage_catalogue(demo.catalogue(i.spark, i.sf_dir, recolored=True), 2)
+    later = demo.catalogue(i.spark, i.sf_dir, recolored=True)
+    return i.stored("recolored", files.stage_catalogue(later, 2))
 
 
 def product_load(i: Inputs) -> DataFrame:
@@ -264,7 +270,7 @@ def price_load(i: Inputs) -> DataFrame:
 def price_reload(i: Inputs) -> DataFrame:
     """Rows a second delivery adds: products with a new version enter again."""
     later = recolored(i)
-    products = dims.load_product_scd2(i.t["dim_product"], later, LATER)
+    products = i.stored("products", dims.load_product_scd2(i.t["dim_product"], later, LATER))
     new = facts.new_prices(
         i.t["fact_prices"], later, {**i.t, "dim_product": products}, i.t["fact_rates"], unique=True
     )
@@ -396,7 +402,8 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "b14_table_a_currencies": on_tables(measures.table_a_currencies, ["year", "month"]),
     "b16_under_pressure": on_tables(measures.under_pressure),
     # profile and checks
-    "q1_profile_summary": lambda i: profile.summary(i.raw, files.currency_map(i.rates_stg)),
+    "q1_profile_summary": lambda i: profile.summary(
+        demo.listings(i.spark, i.sf_dir), files.currency_map(i.rates_stg)),
     "q3_completeness": lambda i: quality.completeness(demo.catalogue(i.spark, i.sf_dir), i.catalogue_stg),
     "q4_no_loss": lambda i: quality.no_loss(i.catalogue_stg, i.t),
     "q5_rejects_explained": on_tables(quality.rejects_explained),

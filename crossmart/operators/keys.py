@@ -1,43 +1,37 @@
-"""Dense surrogate keys without a single-task window."""
+"""Surrogate keys without a single-task window and without a second pass."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_HEX_DIGITS = 3  # 4096 buckets
+BUCKETS = 4096
 
 
 def key_bucket(natural: list[str]) -> Column:
-    """Bucket of a natural key: the leading hex digits of its MD5."""
+    """Bucket number of a natural key: the leading three hex digits of its MD5."""
     parts = [F.coalesce(F.col(c), F.lit("")) for c in natural]
-    return F.substring(F.md5(F.concat_ws("|", *parts)), 1, BUCKET_HEX_DIGITS)
+    digits = F.substring(F.md5(F.concat_ws("|", *parts)), 1, 3)
+    return F.conv(digits, 16, 10).cast("int")
 
 
 def assign_keys(
     new_rows: DataFrame, natural: list[str], key: str, start: Column | int = 0
 ) -> DataFrame:
-    """Number rows ``start + 1, start + 2, ...`` in (bucket, natural key) order.
+    """Number rows above ``start``: the n-th row of bucket b gets ``start + 4096 (n - 1) + b + 1``.
 
-    ``natural`` must be unique in ``new_rows``. Rows are numbered inside 4096 hash
-    buckets in parallel; the bucket sizes (at most 4096 rows, whatever the input) are
-    turned into offsets and broadcast. The order depends on the data alone, so a
-    recomputed partition gets the same keys again.
+    ``natural`` must be unique in ``new_rows``, so the buckets are even and every one is
+    numbered by itself, in parallel and in natural-key order. Keys are unique, depend on
+    the data alone (a recomputed partition gets the same ones), and leave gaps only where
+    buckets differ in size.
     """
-    bucketed = new_rows.withColumn("_bucket", key_bucket(natural))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        bucketed.groupBy("_bucket")
-        .agg(F.count("*").alias("_n"))
-        .select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    )
-    inside = Window.partitionBy("_bucket").orderBy(*natural)
     base = F.lit(start) if isinstance(start, int) else start
+    inside = Window.partitionBy("_bucket").orderBy(*natural)
     return (
-        bucketed.withColumn("_rn", F.row_number().over(inside))
-        .join(F.broadcast(offsets), "_bucket")
-        .withColumn(key, (base + F.col("_offset") + F.col("_rn")).cast("bigint"))
-        .drop("_bucket", "_rn", "_offset")
+        new_rows.withColumn("_bucket", key_bucket(natural))
+        .withColumn("_n", F.row_number().over(inside).cast("bigint"))
+        .withColumn(key, base + (F.col("_n") - 1) * BUCKETS + F.col("_bucket") + 1)
+        .drop("_bucket", "_n")
     )
 
 

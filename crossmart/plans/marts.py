@@ -6,6 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crossmart.functions import arbitrage_band, is_outlier, is_sensible, percent_gap
+from crossmart.functions.markets import (
+    MARKETS,
+    distinct_markets,
+    market_ranks,
+    price_of,
+    rank_of,
+    with_rank,
+)
 from crossmart.operators.pick import latest_value
 
 Tables = dict[str, DataFrame]
@@ -47,28 +55,39 @@ def price_enriched(t: Tables) -> DataFrame:
 def market_extremes(t: Tables) -> DataFrame:
     """Per product over sensible prices: markets, min, max, avg and both extreme markets.
 
-    One scan and one shuffle. The cheapest market is the least (price, country), the
-    dearest the least (-price, country), so both ties go to the first country code.
+    One scan and one shuffle of fixed-width rows: the extremes carry the rank of their
+    market by country code inside the compared number (so both ties go to the first
+    country code), and the market names are looked up after the aggregation.
     """
-    markets = F.broadcast(t["dim_geography"].select("geo_key", "country_code", "country_name"))
-    price = F.col("price_pln")
+    markets = F.broadcast(market_ranks(t["dim_geography"]))  # <= 511 rows
+    price, rank = F.col("price_pln"), F.col("market_rank")
     base = t["fact_prices"].where(is_sensible(price)).select("product_key", "geo_key", "price_pln")
-    return (
-        base.join(markets, "geo_key")
+    extremes = (
+        base.join(markets.select("geo_key", "market_rank"), "geo_key")
         .groupBy("product_key")
         .agg(
-            F.size(F.collect_set("geo_key")).alias("n_markets"),  # at most one entry per market
-            F.min(F.struct(price.alias("p"), "country_code", "country_name")).alias("lo"),
-            F.min(F.struct((-price).alias("p"), "country_code", "country_name")).alias("hi"),
+            distinct_markets(F.col("geo_key")).alias("n_markets"),
+            F.min(with_rank(price, rank)).alias("lo"),
+            F.max(with_rank(price, MARKETS - 1 - rank)).alias("hi"),
             F.avg(price).alias("avg_pln"),
         )
-        .select(
-            "product_key", "n_markets",
-            F.col("lo.p").alias("min_pln"), (-F.col("hi.p")).cast("decimal(14,4)").alias("max_pln"),
-            "avg_pln",
-            F.col("lo.country_name").alias("cheapest_country"), F.col("lo.country_code").alias("cheapest_cc"),
-            F.col("hi.country_name").alias("dearest_country"), F.col("hi.country_code").alias("dearest_cc"),
+    )
+
+    def named(side: str) -> DataFrame:
+        return markets.select(
+            F.col("market_rank").alias(f"{side}_rank"), F.col("country_name").alias(f"{side}_country"),
+            F.col("country_code").alias(f"{side}_cc"),
+        )
+
+    return (
+        extremes.select(
+            "product_key", "n_markets", price_of(F.col("lo")).alias("min_pln"),
+            price_of(F.col("hi")).alias("max_pln"), "avg_pln",
+            rank_of(F.col("lo")).alias("cheapest_rank"),
+            (MARKETS - 1 - rank_of(F.col("hi"))).alias("dearest_rank"),
         )
+        .join(named("cheapest"), "cheapest_rank").join(named("dearest"), "dearest_rank")
+        .drop("cheapest_rank", "dearest_rank")
     )
 
 

@@ -1,9 +1,10 @@
 """Measures: aggregates over the model, grouped by any of its attributes.
 
 ``by`` plays the part of the filter context: every measure returns one row per
-combination of the listed attributes, or one row in all for an empty list. Only the
-dimensions that carry a listed attribute are joined, and they are joined after the
-aggregation's inputs are cut down to the columns in use.
+combination of the listed attributes, or one row in all for an empty list. Facts are
+combined per dimension key first; only then are the dimensions that carry a listed
+attribute joined to the combined rows, and the parts are combined again per attribute.
+A hot attribute value thus never travels as raw rows.
 """
 
 from __future__ import annotations
@@ -43,6 +44,36 @@ def with_attributes(fact: DataFrame, t: Tables, wanted: list[str]) -> DataFrame:
     return out
 
 
+def keys_of(wanted: list[str]) -> list[str]:
+    """Fact keys of the dimensions that carry the wanted attributes."""
+    return [key for key, columns in ATTRIBUTES.values() if set(columns) & set(wanted)]
+
+
+def combined(
+    fact: DataFrame, t: Tables, by: list[str], sums: dict[str, Column], also: list[str] = ()
+) -> DataFrame:
+    """Sum and count of every listed expression per attribute group (``x`` and ``n_x``).
+
+    Sums are decimal and therefore exact: combining them in two steps changes nothing.
+    """
+    wanted = [*by, *also]
+    parts = [F.sum(c).alias(name) for name, c in sums.items()]
+    parts += [F.count(c).alias(f"n_{name}") for name, c in sums.items()]
+    keyed = fact.groupBy(*keys_of(wanted)).agg(*parts)
+    if not wanted:
+        return keyed
+    names = [*sums, *[f"n_{name}" for name in sums]]
+    return with_attributes(keyed, t, wanted).groupBy(*wanted).agg(
+        *[F.sum(name).alias(name) for name in names]
+    )
+
+
+def ratio(name: str) -> Column:
+    """Average from a combined sum and count."""
+    count = F.nullif(F.col(f"n_{name}"), F.lit(0).cast("bigint"))
+    return F.col(name).cast("double") / count
+
+
 def mean(c: Column) -> Column:
     """Average from the exact decimal sum, so it does not depend on the row order."""
     return F.sum(c).cast("double") / F.count(c)
@@ -58,13 +89,17 @@ def usual(c: Column) -> Column:
 
 def price_totals(t: Tables, by: list[str] = ()) -> DataFrame:
     """Sum of local prices, and sums and average of converted prices without outliers."""
-    rows = with_attributes(t["fact_prices"], t, list(by))
-    return rows.groupBy(*by).agg(
-        F.sum("local_price").cast("double").alias("local_price"),
-        F.sum(usual(F.col("price_pln"))).cast("double").alias("price_pln"),
-        mean(usual(F.col("price_pln"))).alias("avg_price_pln"),
-        F.sum(usual(F.col("price_eur"))).cast("double").alias("price_eur"),
-        F.sum(usual(F.col("price_usd"))).cast("double").alias("price_usd"),
+    found = combined(t["fact_prices"], t, list(by), {
+        "local": F.col("local_price"), "pln": usual(F.col("price_pln")),
+        "eur": usual(F.col("price_eur")), "usd": usual(F.col("price_usd")),
+    })
+    return found.select(
+        *by,
+        F.col("local").cast("double").alias("local_price"),
+        F.col("pln").cast("double").alias("price_pln"),
+        ratio("pln").alias("avg_price_pln"),
+        F.col("eur").cast("double").alias("price_eur"),
+        F.col("usd").cast("double").alias("price_usd"),
     )
 
 
@@ -81,23 +116,24 @@ def market_count(t: Tables, by: list[str] = ()) -> DataFrame:
 
 def dynamic_price(t: Tables, by: list[str] = ()) -> DataFrame:
     """Local prices at today's rate of their currency, instead of the snapshot's rate."""
+    keys = list(dict.fromkeys([*keys_of(list(by)), "currency_key"]))
+    local = t["fact_prices"].groupBy(*keys).agg(F.sum("local_price").alias("_local"))
     rates = t["dim_currency"].select("currency_key", "current_mid_rate")
-    rows = with_attributes(t["fact_prices"], t, list(by)).join(rates, "currency_key", "left")
-    return rows.groupBy(*by).agg(
-        F.sum(F.col("local_price") * F.col("current_mid_rate")).cast("double").alias("dynamic_price_pln")
-    )
+    rows = with_attributes(local.join(rates, "currency_key", "left"), t, list(by))
+    now = F.col("_local").cast("decimal(19,2)") * F.col("current_mid_rate")
+    return rows.groupBy(*by).agg(F.sum(now).cast("double").alias("dynamic_price_pln"))
 
 
 def market_gap(t: Tables, by: list[str] = ()) -> DataFrame:
     """Average price per market, then its extremes: range, margin, market names, band.
 
-    Two aggregations, so a group's rows are combined per market first; the second level
-    meets at most one row per market and group.
+    A group's rows are combined per market first; the second level meets at most one row
+    per market and group.
     """
-    rows = with_attributes(
-        t["fact_prices"].where(F.col("price_pln") <= OUTLIER_LIMIT), t, [*by, "country_name"]
-    )
-    markets = rows.groupBy(*by, "country_name").agg(mean(F.col("price_pln")).alias("p"))
+    usual_rows = t["fact_prices"].where(F.col("price_pln") <= OUTLIER_LIMIT)
+    markets = combined(
+        usual_rows, t, list(by), {"pln": F.col("price_pln")}, also=["country_name"]
+    ).select(*by, "country_name", ratio("pln").alias("p"))
     extremes = markets.groupBy(*by).agg(
         F.min(F.struct("p", "country_name")).alias("lo"), F.max(F.struct("p", "country_name")).alias("hi")
     )
@@ -127,13 +163,12 @@ def opportunities(t: Tables, by: list[str] = ()) -> DataFrame:
 
 def rate_averages(t: Tables, by: list[str] = ()) -> DataFrame:
     """Average mid, bid and ask, and the relative bid-ask spread."""
-    rows = with_attributes(t["fact_rates"], t, list(by))
-    averages = rows.groupBy(*by).agg(
-        mean(F.col("mid_rate")).alias("avg_mid"), mean(F.col("bid_rate")).alias("avg_bid"),
-        mean(F.col("ask_rate")).alias("avg_ask"),
-    )
-    return averages.withColumn(
-        "spread_ratio", safe_ratio(F.col("avg_ask") - F.col("avg_bid"), F.col("avg_mid"))
+    found = combined(t["fact_rates"], t, list(by), {
+        "mid": F.col("mid_rate"), "bid": F.col("bid_rate"), "ask": F.col("ask_rate"),
+    })
+    return found.select(
+        *by, ratio("mid").alias("avg_mid"), ratio("bid").alias("avg_bid"), ratio("ask").alias("avg_ask"),
+        safe_ratio(ratio("ask") - ratio("bid"), ratio("mid")).alias("spread_ratio"),
     )
 
 

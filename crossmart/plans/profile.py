@@ -49,14 +49,18 @@ def top_values(raw: DataFrame, column: str = "subcategory", count: int = TOP_LAB
     return counted.orderBy(F.desc("n"), "value").limit(count).select("value", "n")
 
 
-def price_faults(raw: DataFrame) -> DataFrame:
-    """Prices that are no number, not above zero, or below their sale price."""
+def fault_counts() -> list:
+    """Aggregates: prices that are no number, not above zero, or below their sale price."""
     price, sale = to_float(F.col("price_local")), to_float(F.col("sale_price_local"))
-    return raw.agg(
+    return [
         F.count_if(price <= 0).alias("price_le_zero"),
         F.count_if(F.col("price_local").isNotNull() & price.isNull()).alias("price_nonnumeric"),
         F.count_if(sale > price).alias("sale_gt_price"),
-    )
+    ]
+
+
+def price_faults(raw: DataFrame) -> DataFrame:
+    return raw.agg(*fault_counts())
 
 
 def sale_above_list(raw: DataFrame) -> DataFrame:
@@ -82,12 +86,6 @@ def market_histogram(raw: DataFrame) -> DataFrame:
     return markets_per_product(raw).groupBy("n_countries").agg(F.count("*").alias("n_products"))
 
 
-def grain_rows(raw: DataFrame) -> DataFrame:
-    """Rows left after sizes are collapsed."""
-    keys = ["style_color", "country_code", "snapshot_date"]
-    return keyed(raw).select(*keys).distinct().agg(F.count("*").alias("grain_rows"))
-
-
 def extract_rows(raw: DataFrame) -> DataFrame:
     """The collapsed extract with tolerant numbers, one row per style, market, snapshot."""
     keys = ["style_color", "country_code", "snapshot_date"]
@@ -117,40 +115,40 @@ def currency_coverage(raw: DataFrame, codes: DataFrame) -> DataFrame:
     )
 
 
+def as_metrics(row: DataFrame) -> DataFrame:
+    """A one-row frame of counts as (metric, value) rows."""
+    return row.unpivot([], row.columns, "metric", "value")
+
+
 def summary(raw: DataFrame, codes: DataFrame) -> DataFrame:
-    """The profile's totals as (metric, value) rows.
+    """The profile's totals as (metric, value) rows, from three scans of few columns.
 
-    Distinct counts come from the already grouped frequencies, so the raw rows are never
-    expanded once per counted column.
+    Distinct counts come from grouped rows, so the raw rows are never expanded once per
+    counted column; sizes, markets and products are counted along one chain of groups.
     """
+    wide = raw.agg(F.count("*").alias("total_raw_rows"), *fault_counts())
     counts = value_counts(raw, ["country_code", "currency"])
-    markets = markets_per_product(raw)
-    wide = raw.agg(F.count("*").alias("total_raw_rows")).unpivot([], ["total_raw_rows"], "metric", "value")
-    parts = [
-        wide,
-        counts.groupBy("field").agg(F.count("*").alias("value")).select(
-            F.concat(F.lit("distinct_"), "field").alias("metric"), "value"
-        ),
-        markets.agg(
-            F.count("*").alias("distinct_style_color"),
-            F.count_if(F.col("n_countries") >= 2).alias("products_in_2plus_countries"),
-            F.count_if(F.col("n_countries") >= 5).alias("products_in_5plus_countries"),
-            F.max("n_countries").alias("max_countries_per_product"),
-        ).unpivot([], [
-            "distinct_style_color", "products_in_2plus_countries", "products_in_5plus_countries",
-            "max_countries_per_product",
-        ], "metric", "value"),
-        grain_rows(raw).unpivot([], ["grain_rows"], "metric", "value"),
-        price_faults(raw).unpivot(
-            [], ["price_le_zero", "price_nonnumeric", "sale_gt_price"], "metric", "value"
-        ),
-        currency_coverage(raw, codes).agg(F.count_if(~F.col("covered")).alias("uncovered_currencies"))
-        .unpivot([], ["uncovered_currencies"], "metric", "value"),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    distinct = counts.groupBy("field").agg(F.count("*").alias("value")).select(
+        F.concat(F.lit("distinct_"), "field").alias("metric"), "value"
+    )
+    grain = keyed(raw).select("style_color", "country_code", "snapshot_date").distinct()
+    pairs = grain.groupBy("style_color", "country_code").agg(F.count("*").alias("_days"))
+    products = pairs.groupBy("style_color").agg(
+        F.count("*").alias("n_countries"), F.sum("_days").alias("_rows")
+    )
+    overlap = products.agg(
+        F.count("*").alias("distinct_style_color"),
+        F.count_if(F.col("n_countries") >= 2).alias("products_in_2plus_countries"),
+        F.count_if(F.col("n_countries") >= 5).alias("products_in_5plus_countries"),
+        F.max("n_countries").alias("max_countries_per_product"),
+        F.sum("_rows").alias("grain_rows"),
+    )
+    covered = currency_coverage(raw, codes)
+    uncovered = covered.agg(F.count_if(~F.col("covered")).alias("uncovered_currencies"))
+    return (
+        as_metrics(wide).unionByName(distinct).unionByName(as_metrics(overlap))
+        .unionByName(as_metrics(uncovered))
+    )
 
 
 def profile(raw: DataFrame, codes: DataFrame) -> dict[str, DataFrame]:

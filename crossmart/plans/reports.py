@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crossmart.functions import is_sensible, price_bucket
+from crossmart.functions.markets import distinct_markets
 from crossmart.plans import marts, measures
 
 Tables = dict[str, DataFrame]
@@ -23,7 +24,7 @@ def widest_product(t: Tables, category: str):
     """Scalar subquery: key of the current product of a category sold in most markets."""
     products = t["dim_product"].where(F.col("is_current") & (F.col("category") == category))
     sold = t["fact_prices"].where(is_sensible(F.col("price_pln"))).select("product_key", "geo_key")
-    counts = sold.groupBy("product_key").agg(F.size(F.collect_set("geo_key")).alias("n"))
+    counts = sold.groupBy("product_key").agg(distinct_markets(F.col("geo_key")).alias("n"))
     widest = counts.join(products, "product_key").orderBy(F.desc("n"), "style_color").limit(1)
     return widest.select("product_key").scalar()
 
@@ -150,7 +151,7 @@ def top_spreads(t: Tables, count: int = 10, min_markets: int = 5) -> DataFrame:
         t["fact_prices"].where(F.col("price_pln").isNotNull())
         .groupBy("product_key")
         .agg(
-            F.size(F.collect_set("geo_key")).alias("n_markets"),
+            distinct_markets(F.col("geo_key")).alias("n_markets"),
             F.min("price_pln").alias("min_pln"), F.max("price_pln").alias("max_pln"),
         )
         .where(F.col("n_markets") >= min_markets)
@@ -178,14 +179,17 @@ def table_counts(t: Tables) -> DataFrame:
 
 
 def drill_down(t: Tables, levels: list[str]) -> DataFrame:
-    """Totals along a drill path; the depth says how many of its levels a row fixes."""
-    rows = measures.with_attributes(
-        t["fact_prices"].where(F.col("price_pln").isNotNull()), t, levels
-    ).select(*levels, "price_pln")
-    # one row per leaf before the rollup repeats rows once per level
-    leaves = rows.groupBy(*levels).agg(F.count("*").alias("_n"), F.sum("price_pln").alias("_s"))
+    """Totals along a drill path; the depth says how many of its levels a row fixes.
+
+    Prices are combined per dimension key before the attributes are joined and the rollup
+    repeats rows once per level.
+    """
+    rows = t["fact_prices"].where(F.col("price_pln").isNotNull())
+    keyed = rows.groupBy(*measures.keys_of(levels)).agg(
+        F.count("*").alias("_n"), F.sum("price_pln").alias("_s")
+    )
     depth = F.lit(len(levels)) - F.bit_count(F.grouping_id())
-    return leaves.rollup(*levels).agg(
+    return measures.with_attributes(keyed, t, levels).rollup(*levels).agg(
         depth.cast("int").alias("depth"), F.sum("_n").alias("n_prices"),
         F.sum("_s").cast("double").alias("sum_pln"),
     )

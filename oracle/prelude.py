@@ -22,6 +22,12 @@ def half_up(num: str, den: str) -> str:
     return f"(sign({num}) * ((2 * abs({num}) + ({den})) // (2 * ({den}))))"
 
 
+def surrogate(natural: str, order: str) -> str:
+    """Key numbering: the n-th row of MD5 bucket b gets 4096 (n - 1) + b + 1."""
+    bucket = f"('0x' || substr(md5({natural}), 1, 3))::BIGINT"
+    return f"((row_number() OVER (PARTITION BY {bucket} ORDER BY {order}) - 1) * 4096 + {bucket} + 1)"
+
+
 def money(cents: str) -> str:
     return f"(({cents}) // 100)::VARCHAR || '.' || lpad((({cents}) % 100)::VARCHAR, 2, '0')"
 
@@ -192,7 +198,7 @@ quoted AS (
 ),
 codes AS (SELECT code FROM quoted UNION SELECT currency FROM cat_stg UNION SELECT 'PLN'),
 dim_currency0 AS (
-  SELECT row_number() OVER (ORDER BY substr(md5(code), 1, 3), code) AS currency_key,
+  SELECT {surrogate('code', 'code')} AS currency_key,
          code AS currency_code,
          CASE WHEN code = 'PLN' THEN 'Polish zloty' ELSE coalesce(english, pl, code) END AS currency_name,
          CASE WHEN code = 'PLN' THEN 'złoty polski' ELSE pl END AS currency_name_pl,
@@ -221,16 +227,15 @@ dim_currency AS (
   FROM dim_currency0 c LEFT JOIN newest_mid m USING (currency_key)
 ),
 tops AS (
-  SELECT row_number() OVER (ORDER BY substr(md5(category), 1, 3), category) AS category_key, category
+  SELECT {surrogate('category', 'category')} AS category_key, category
   FROM (SELECT DISTINCT category FROM cat_stg WHERE category IS NOT NULL)
 ),
 dim_category AS (
   SELECT category_key, category, category AS subcategory, 1 AS category_level,
          NULL::BIGINT AS parent_category_key FROM tops
   UNION ALL
-  SELECT (SELECT count(*) FROM tops)
-           + row_number() OVER (ORDER BY substr(md5(category || '|' || subcategory), 1, 3),
-                                category, subcategory),
+  SELECT (SELECT max(category_key) FROM tops)
+           + {surrogate("category || '|' || subcategory", 'category, subcategory')},
          category, subcategory, 2, tops.category_key
   FROM (SELECT DISTINCT category, subcategory FROM cat_stg WHERE subcategory <> category)
   JOIN tops USING (category)
@@ -245,7 +250,7 @@ canonical AS (
   WHERE rn = 1
 ),
 dim_product AS (
-  SELECT row_number() OVER (ORDER BY substr(md5(style_color), 1, 3), style_color) AS product_key, *,
+  SELECT {surrogate('style_color', 'style_color')} AS product_key, *,
          DATE '2024-01-15' AS valid_from, NULL::DATE AS valid_to, true AS is_current
   FROM canonical
 )"""

@@ -132,7 +132,7 @@ later_product AS (
   FROM dim_product
   UNION ALL
   SELECT (SELECT max(product_key) FROM dim_product)
-           + row_number() OVER (ORDER BY substr(md5(style_color), 1, 3), style_color),
+           + """ + p.surrogate("style_color", "style_color") + """,
          style_color, model_number, product_name, color_name, gender_segment, category,
          DATE '2024-02-15', NULL, true
   FROM changed
