@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import cached_property, lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,13 +51,16 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self.wh = demo.warehouse(spark, sf_dir)
-        self.t = self.wh.tables()
 
-    @property
+    @cached_property
+    def t(self) -> dict[str, DataFrame]:
+        return self.wh.tables()
+
+    @cached_property
     def catalogue_stg(self) -> DataFrame:
         return self.wh.table("staging_catalogue")
 
-    @property
+    @cached_property
     def rates_stg(self) -> DataFrame:
         return self.wh.table("staging_rates")
 
@@ -427,9 +431,17 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["v2_product_arbitrage"](spark, "/root/testdata/sf0.001")
 
 
+@lru_cache(maxsize=8)
+def inputs(spark: SparkSession, app: str, sf_dir: str) -> Inputs:
+    """One opened warehouse per application and folder, shared by all queries."""
+    return Inputs(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def runnable(build: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, sf_dir: published(build(Inputs(spark, sf_dir)))
+        return lambda spark, sf_dir: published(
+            build(inputs(spark, spark.sparkContext.applicationId, sf_dir))
+        )
 
     return {name: runnable(build) for name, build in BUILDERS.items()}
 

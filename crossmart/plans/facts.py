@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -186,6 +188,12 @@ def fact_columns(rows: DataFrame, eur: Column, usd: Column) -> DataFrame:
     )
 
 
+def batch_days(catalogue_stg: DataFrame) -> tuple[date | None, date | None, date | None]:
+    """(snapshot, first day, last day) of a written batch, in one scan of one column."""
+    text, day = F.col("snapshot_date"), to_date_or_null(F.col("snapshot_date"))
+    return tuple(catalogue_stg.agg(to_date_or_null(F.max(text)), F.min(day), F.max(day)).head())
+
+
 def snapshot_bounds(catalogue_stg: DataFrame) -> tuple[Column, Column]:
     """Scalar subqueries: first and last snapshot day of a batch (a one-column scan)."""
     day = to_date_or_null(F.col("snapshot_date"))
@@ -209,15 +217,17 @@ def not_loaded_yet(rows: DataFrame, fact: DataFrame, first: Column, last: Column
 def new_prices(
     fact: DataFrame, catalogue_stg: DataFrame, dims: dict[str, DataFrame], fact_rates: DataFrame,
     unique: bool = False, rates: DataFrame | None = None,
+    bounds: tuple[Column, Column] | None = None,
 ) -> DataFrame:
     """Price rows to append for a batch: keys, conversion at the snapshot's rates, guard.
 
-    ``rates`` are the rates of the snapshot where a load has written them already.
+    A load passes the snapshot's ``rates`` and the batch's day ``bounds`` it has found out
+    already; otherwise they are subqueries over the staged rows.
     """
     if rates is None:
         rates = rates_on(fact_rates, dims["dim_currency"], snapshot_day(catalogue_stg))
     rows = priced(keyed_prices(catalogue_stg, dims, unique), rates)
-    return not_loaded_yet(rows, fact, *snapshot_bounds(catalogue_stg))
+    return not_loaded_yet(rows, fact, *(bounds or snapshot_bounds(catalogue_stg)))
 
 
 def daily_rates(

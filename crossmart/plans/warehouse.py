@@ -59,9 +59,7 @@ class Warehouse:
         )
         rows = committed.orderBy("run_id").collect()  # one short row per load ever run
         self.runs = [r.run_id for r in rows]
-        full = [r.run_id for r in rows if not r.load_type.endswith(RATES_ONLY)]
-        self.last_run = self.runs[-1] if self.runs else None
-        self.last_catalogue_run = full[-1] if full else None
+        self.price_runs = [r.run_id for r in rows if not r.load_type.endswith(RATES_ONLY)]
 
     def path(self, table: str, run: int | None = None) -> str:
         return f"{self.root}/{table}" + (f"/run={run}" if run is not None else "")
@@ -74,7 +72,8 @@ class Warehouse:
         if name in FACTS:
             return self._fact(name)
         schema = DIMENSIONS.get(name) or STAGING[name]
-        run = self.last_catalogue_run if name == "staging_catalogue" else self.last_run
+        runs = self.price_runs if name == "staging_catalogue" else self.runs
+        run = runs[-1] if runs else None
         if run is not None:
             return self.spark.read.schema(schema).parquet(self.path(name, run))
         if name == "dim_date":
@@ -84,20 +83,14 @@ class Warehouse:
         return dims.empty(self.spark, schema)
 
     def _fact(self, name: str) -> DataFrame:
-        runs = self.fact_runs(name)
+        # a rates-only run writes no price folder
+        runs = self.price_runs if name == "fact_prices" else self.runs
         if not runs:
             return dims.empty(self.spark, FACTS[name])
         paths = [self.path(name, run) for run in runs]
         stored = self.spark.read.schema(FACTS[name]).option("basePath", self.path(name)).parquet(*paths)
         return stored.select(*FACTS[name].names)
 
-    def fact_runs(self, name: str) -> list[int]:
-        """Runs that appended to a fact; a rates-only run writes no price folder."""
-        if name == "fact_rates":
-            return self.runs
-        log = self.run_events().where(f"status = 'SUCCESS' AND load_type NOT LIKE '%{RATES_ONLY}'")
-        return [r.run_id for r in log.select("run_id").distinct().orderBy("run_id").collect()]
-
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in [*DIMENSIONS, *FACTS]}
 
@@ -161,13 +154,14 @@ def together(spark: SparkSession, *steps: Callable[[], None]) -> None:
             outcome.result()
 
 
-def append_prices(rows: DataFrame, path: str) -> DataFrame:
+def append_prices(rows: DataFrame, path: str, one_day: bool) -> DataFrame:
     """Write a price batch, one folder per day.
 
-    The rebalance hint lets AQE merge small and split large output partitions, so a
-    batch of one day is still written by many tasks and many days make no tiny files.
+    A batch of one day is written as it comes. With many days a rebalance brings rows of
+    a day together, where AQE splits large days and merges small ones: neither a day in
+    one task nor one tiny file per task and day.
     """
-    laid_out = rows.hint("rebalance", F.col("date_key"))
+    laid_out = rows if one_day else rows.hint("rebalance", F.col("date_key"))
     laid_out.write.mode("overwrite").partitionBy("date_key").parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path).select(*rows.columns)
 
@@ -277,11 +271,14 @@ def load_warehouse(
     rows_in, rows_out = rates_stg.count(), old["fact_prices"].count() + now["fact_rates"].count()
     if catalogue_stg is None:
         return {"rows_in": rows_in, "rows_out": rows_out, "rows_rejected": 0}
-    day = facts.snapshot_day(catalogue_stg)
-    rates = work("rates", facts.rates_on(now["fact_rates"], now["dim_currency"], day))
+    snapshot, first, last = facts.batch_days(catalogue_stg)
+    rates = work("rates", facts.rates_on(now["fact_rates"], now["dim_currency"], F.lit(snapshot)))
+    bounds = F.lit(first).cast("date"), F.lit(last).cast("date")
     added = append_prices(
-        facts.new_prices(old["fact_prices"], catalogue_stg, now, now["fact_rates"], unique, rates),
-        state.path("fact_prices", run),
+        facts.new_prices(
+            old["fact_prices"], catalogue_stg, now, now["fact_rates"], unique, rates, bounds
+        ),
+        state.path("fact_prices", run), first == last,
     )
     return {
         "rows_in": rows_in + catalogue_stg.count(),

@@ -7,6 +7,7 @@ rules are listed in FIXTURES.md; the arithmetic is integer or decimal throughout
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -221,7 +222,12 @@ def rate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_day.select("table_type", F.to_json(F.array(document)).alias("body"))
 
 
-_loaded: dict[tuple[str, str], str] = {}
+_loaded: dict[tuple[str, str], Warehouse] = {}
+
+
+def remember(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Let later queries of this application use a warehouse that is loaded already."""
+    _loaded[spark.sparkContext.applicationId, sf_dir.rstrip("/")] = Warehouse(spark, root)
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -229,13 +235,12 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
 
     Loaded once per application and input folder, into the shared work folder.
     """
-    app = spark.sparkContext.applicationId
-    key = (app, sf_dir)
+    sf_dir = sf_dir.rstrip("/")
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _loaded:
-        name = sf_dir.strip("/").replace("/", "_")
-        root = f"{work_dir(spark)}/warehouse-{app}-{name}"
+        root = f"{work_dir(spark)}/warehouse-{uuid.uuid4().hex}"
         run_load(
             spark, root, catalogue(spark, sf_dir), quotes(spark, sf_dir), "initial", SNAPSHOT, unique=True
         )
-        _loaded[key] = root
-    return Warehouse(spark, _loaded[key])
+        remember(spark, sf_dir, root)
+    return _loaded[key]
