@@ -139,7 +139,8 @@ def first_seen(i: Inputs) -> DataFrame:
 
 def shipping_bounds(i: Inputs):
     days = i.spark.read.parquet(f"{i.sf_dir}/lineitem.parquet").select(F.to_date("l_shipdate").alias("d"))
-    return days.select(F.min("d").alias("d")).scalar(), days.select(F.max("d").alias("d")).scalar()
+    both = days.select(F.struct(F.min("d").alias("first"), F.max("d").alias("last")).alias("b")).scalar()
+    return both["first"], both["last"]
 
 
 def shipping_calendar(i: Inputs) -> DataFrame:

@@ -11,6 +11,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from crossmart import schemas
 from crossmart.functions import differs, table_label, table_rank
@@ -25,8 +26,10 @@ TRACKED = ["product_name", "color_name", "gender_segment", "category", "model_nu
 # -----------------------------------------------------------------------------------------------
 
 
-def empty(spark: SparkSession, schema) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def empty(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows, in a form the optimizer sees as empty: joins against it are planned away."""
+    columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields)
+    return spark.sql(f"SELECT {columns} WHERE false")
 
 
 def quoted_currencies(rates_stg: DataFrame) -> DataFrame:

@@ -194,22 +194,13 @@ def batch_days(catalogue_stg: DataFrame) -> tuple[date | None, date | None, date
     return tuple(catalogue_stg.agg(to_date_or_null(F.max(text)), F.min(day), F.max(day)).head())
 
 
-def snapshot_bounds(catalogue_stg: DataFrame) -> tuple[Column, Column]:
-    """Scalar subqueries: first and last snapshot day of a batch (a one-column scan)."""
-    day = to_date_or_null(F.col("snapshot_date"))
-    return (
-        catalogue_stg.select(F.min(day).alias("d")).scalar(),
-        catalogue_stg.select(F.max(day).alias("d")).scalar(),
-    )
-
-
-def not_loaded_yet(rows: DataFrame, fact: DataFrame, first: Column, last: Column) -> DataFrame:
+def not_loaded_yet(rows: DataFrame, fact: DataFrame, first: date, last: date) -> DataFrame:
     """Guard of the incremental load: drop rows whose grain the fact already holds.
 
-    Only the fact's days between the batch's first and last snapshot matter; the filter
-    prunes the fact's day partitions before the anti join.
+    Only the fact's days between the batch's first and last snapshot matter; the literal
+    bounds prune the fact's day folders before the anti join.
     """
-    held = fact.where(F.col("date_key").between(date_key(first), date_key(last)))
+    held = fact.where(F.col("date_key").between(date_key(F.lit(first)), date_key(F.lit(last))))
     keys = ["product_key", "geo_key", "date_key"]
     return rows.join(held.select(*keys), keys, "left_anti").select(*rows.columns)
 
@@ -217,17 +208,20 @@ def not_loaded_yet(rows: DataFrame, fact: DataFrame, first: Column, last: Column
 def new_prices(
     fact: DataFrame, catalogue_stg: DataFrame, dims: dict[str, DataFrame], fact_rates: DataFrame,
     unique: bool = False, rates: DataFrame | None = None,
-    bounds: tuple[Column, Column] | None = None,
 ) -> DataFrame:
-    """Price rows to append for a batch: keys, conversion at the snapshot's rates, guard.
+    """Price rows to append for a written batch: keys, conversion, guard.
 
-    A load passes the snapshot's ``rates`` and the batch's day ``bounds`` it has found out
-    already; otherwise they are subqueries over the staged rows.
+    The whole batch converts at the rates of its newest snapshot; a load passes them as
+    ``rates`` where it has written them already. A batch without a readable snapshot
+    loads nothing.
     """
+    snapshot, first, last = batch_days(catalogue_stg)
+    if first is None:
+        return fact.where(F.lit(False))
     if rates is None:
-        rates = rates_on(fact_rates, dims["dim_currency"], snapshot_day(catalogue_stg))
+        rates = rates_on(fact_rates, dims["dim_currency"], F.lit(snapshot).cast("date"))
     rows = priced(keyed_prices(catalogue_stg, dims, unique), rates)
-    return not_loaded_yet(rows, fact, *(bounds or snapshot_bounds(catalogue_stg)))
+    return not_loaded_yet(rows, fact, first, last)
 
 
 def daily_rates(
@@ -254,7 +248,7 @@ def priced_per_row(
     catalogue_stg: DataFrame, dims: dict[str, DataFrame], fact_rates: DataFrame, unique: bool = False
 ) -> DataFrame:
     """As-of per row: every row converts at the rates in force on its own snapshot day."""
-    first, last = snapshot_bounds(catalogue_stg)
+    first, last = (F.lit(day).cast("date") for day in batch_days(catalogue_stg)[1:])
     daily = daily_rates(fact_rates, dims["dim_currency"], dims["dim_date"], first, last)
     table = daily.withColumnsRenamed({"currency_code": "currency", "day": "snapshot_day"})
     keyed = keyed_prices(catalogue_stg, dims, unique)

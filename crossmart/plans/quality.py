@@ -25,22 +25,28 @@ def completeness(source: DataFrame, staged: DataFrame) -> DataFrame:
 
 
 def no_loss(catalogue_stg: DataFrame, t: Tables) -> DataFrame:
-    """Valid staged rows against those found in the fact by their natural keys."""
-    valid = facts.valid_rows(catalogue_stg)
-    found = facts.unique_rows(catalogue_stg)
+    """Valid staged rows against those found in the fact by their natural keys.
+
+    Staged rows are counted per natural key first; the keys then look for their fact row.
+    """
+    day = to_date_or_null(F.col("snapshot_date")).alias("snapshot_day")
+    grain = facts.valid_rows(catalogue_stg).groupBy("style_color", "country_code", day).agg(
+        F.count("*").alias("_rows")
+    )
     products = t["dim_product"].where("is_current").select("product_key", "style_color")
     markets = F.broadcast(t["dim_geography"].select("geo_key", "country_code"))
     days = F.broadcast(t["dim_date"].select("date_key", F.col("full_date").alias("snapshot_day")))
     keys = ["product_key", "geo_key", "date_key"]
-    matched = (
-        found.join(markets, "country_code").join(days, "snapshot_day").join(products, "style_color")
-        .join(t["fact_prices"].select(*keys), keys, "left_semi")
+    stored = t["fact_prices"].select(*keys, F.lit(1).alias("_stored"))
+    looked_up = (
+        grain.join(markets, "country_code", "left").join(days, "snapshot_day", "left")
+        .join(products, "style_color", "left").join(stored, keys, "left")
     )
-    n = matched.select(F.count("*").alias("n")).scalar()
-    grain = found.select(F.count("*").alias("n")).scalar()
-    return valid.agg(F.count("*").alias("valid_rows")).select(
-        "valid_rows", grain.alias("valid_grain_rows"), n.alias("matched_rows"),
-        (grain - n).alias("lost_rows"),
+    return looked_up.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("valid_rows"),
+        F.count("*").alias("valid_grain_rows"),
+        F.count("_stored").alias("matched_rows"),
+        F.count_if(F.col("_stored").isNull()).alias("lost_rows"),
     )
 
 
@@ -102,7 +108,7 @@ def duplicate_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def conversion_error(t: Tables, catalogue_stg: DataFrame) -> DataFrame:
     """Largest deviation of the stored price from local price times rate, per currency."""
-    day = facts.snapshot_day(catalogue_stg)
+    day = F.lit(facts.batch_days(catalogue_stg)[0]).cast("date")
     rates = facts.rates_on(t["fact_rates"], t["dim_currency"], day)
     codes = t["dim_currency"].select("currency_key", "currency_code").join(rates, "currency_code")
     error = F.abs(F.col("price_pln") - F.col("local_price") * F.col("mid_rate"))

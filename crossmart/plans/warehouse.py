@@ -272,12 +272,9 @@ def load_warehouse(
     if catalogue_stg is None:
         return {"rows_in": rows_in, "rows_out": rows_out, "rows_rejected": 0}
     snapshot, first, last = facts.batch_days(catalogue_stg)
-    rates = work("rates", facts.rates_on(now["fact_rates"], now["dim_currency"], F.lit(snapshot)))
-    bounds = F.lit(first).cast("date"), F.lit(last).cast("date")
+    rates = work("rates", facts.rates_on(now["fact_rates"], now["dim_currency"], F.lit(snapshot).cast("date")))
     added = append_prices(
-        facts.new_prices(
-            old["fact_prices"], catalogue_stg, now, now["fact_rates"], unique, rates, bounds
-        ),
+        facts.new_prices(old["fact_prices"], catalogue_stg, now, now["fact_rates"], unique, rates),
         state.path("fact_prices", run), first == last,
     )
     return {
