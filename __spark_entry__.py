@@ -75,6 +75,18 @@ class Inputs:
         """A staging frame written to the work folder, as a load does before it reads it."""
         return write_table(df, self.scratch(name))
 
+    @cached_property
+    def recolored(self) -> DataFrame:
+        """A staged second delivery in which every tenth product has a new color."""
+        later = demo.catalogue(self.spark, self.sf_dir, recolored=True)
+        return self.stored("recolored", files.stage_catalogue(later, 2))
+
+    @cached_property
+    def recolored_products(self) -> DataFrame:
+        """The product dimension after the second delivery."""
+        now = dims.load_product_scd2(self.t["dim_product"], self.recolored, LATER)
+        return self.stored("products", now)
+
     def empty(self, schema) -> DataFrame:
         return dims.empty(self.spark, schema)
 
@@ -108,6 +120,19 @@ def repeated_quotes(i: Inputs) -> DataFrame:
     return files.distinct_quotes(quotes.unionByName(quotes))
 
 
+def profile_files(i: Inputs) -> DataFrame:
+    """The written profile, read back: every part and its number of records."""
+    path = i.scratch("profile")
+    parts = profile.profile(i.stored("raw", i.raw), files.currency_map(i.rates_stg))
+    files.write_profile(parts, path)
+    out = None
+    for name in [*parts, "currency_coverage_csv"]:
+        lines = i.spark.read.text(f"{path}/{name}").agg(F.count("*").alias("lines"))
+        part = lines.select(F.lit(name).alias("part"), "lines")
+        out = out.unionByName(part) if out else part
+    return out
+
+
 def stock_flags(i: Inputs) -> DataFrame:
     return i.catalogue_stg.groupBy("in_stock", to_boolean(F.col("in_stock")).alias("flag")).agg(
         F.count("*").alias("n")
@@ -243,18 +268,13 @@ def category_load(i: Inputs) -> DataFrame:
     return dims.load_category(i.empty(schemas.DIM_CATEGORY), i.catalogue_stg)
 
 
-def recolored(i: Inputs) -> DataFrame:
-    later = demo.catalogue(i.spark, i.sf_dir, recolored=True)
-    return i.stored("recolored", files.stage_catalogue(later, 2))
-
-
 def product_load(i: Inputs) -> DataFrame:
     first = dims.load_product_scd2(i.empty(schemas.DIM_PRODUCT), i.catalogue_stg, demo.SNAPSHOT)
     return first.drop("etl_load_date")
 
 
 def product_reload(i: Inputs) -> DataFrame:
-    second = dims.load_product_scd2(i.t["dim_product"], recolored(i), LATER)
+    second = dims.load_product_scd2(i.t["dim_product"], i.recolored, LATER)
     return second.drop("etl_load_date")
 
 
@@ -274,11 +294,8 @@ def price_load(i: Inputs) -> DataFrame:
 
 def price_reload(i: Inputs) -> DataFrame:
     """Rows a second delivery adds: products with a new version enter again."""
-    later = recolored(i)
-    products = i.stored("products", dims.load_product_scd2(i.t["dim_product"], later, LATER))
-    new = facts.new_prices(
-        i.t["fact_prices"], later, {**i.t, "dim_product": products}, i.t["fact_rates"], unique=True
-    )
+    now = {**i.t, "dim_product": i.recolored_products}
+    new = facts.new_prices(i.t["fact_prices"], i.recolored, now, i.t["fact_rates"], unique=True)
     return new.groupBy("geo_key", "date_key").agg(
         F.count("*").alias("n"), F.sum("local_price").alias("local_price")
     )
@@ -318,6 +335,9 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "s5_staging_catalogue": lambda i: files.stage_catalogue(demo.catalogue(i.spark, i.sf_dir), 1),
     "s7_currency_map": lambda i: files.currency_map(i.rates_stg),
     "s8_extract": lambda i: profile.extract_rows(i.raw),
+    "s8_extract_head": lambda i: files.product_country_extract(
+        files.collapse_sizes(i.raw), 50).drop("product_name", "subcategory"),
+    "s9_profile_files": profile_files,
     "p5_stock_flags": stock_flags,
     "p7_split": split_counts,
     "p8_reject_reasons": rejects,

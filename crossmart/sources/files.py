@@ -152,6 +152,15 @@ def write_currency_map(rates: DataFrame, path: str) -> None:
     write_csv(codes, f"{path}/seed", ["currency_code"])
 
 
+def write_profile(parts: dict[str, DataFrame], path: str) -> None:
+    """Profile parts as JSON lines; the currency coverage also as CSV, most rows first."""
+    for name, part in parts.items():
+        part.write.mode("overwrite").json(f"{path}/{name}")
+    write_csv(
+        parts["currency_coverage"], f"{path}/currency_coverage_csv", [F.desc("rows"), F.col("currency")]
+    )
+
+
 def product_country_extract(collapsed: DataFrame, limit: int = 0) -> DataFrame:
     """Product x country extract, whole or the first ``limit`` rows by style and country."""
     listed = collapsed.select(*schemas.CATALOGUE_COLUMNS)

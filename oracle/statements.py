@@ -193,6 +193,19 @@ SELECT style_color, country_code, snapshot_date, model_number, product_name, col
        TRY_CAST(sale_price_local AS DOUBLE) AS sale_price_local,
        TRY_CAST(discount_pct AS DOUBLE) AS discount_pct, in_stock, availability_level
 FROM texts""",
+        "s8_extract_head": PART(p.FIRST, p.with_texts("texts", "listing_first")) + """
+SELECT style_color, country_code, snapshot_date, model_number, color_name, gender_segment, category,
+       currency, price_local, sale_price_local, discount_pct, in_stock, availability_level
+FROM texts ORDER BY style_color, country_code, snapshot_date LIMIT 50""",
+        "s9_profile_files": PART(p.RAW) + """
+SELECT 'summary' AS part, 12::BIGINT AS lines
+UNION ALL SELECT 'null_counts', 1
+UNION ALL SELECT 'value_counts', """ + " + ".join(f"count(DISTINCT {c})" for c in COUNTED) + """ FROM raw
+UNION ALL SELECT 'top_subcategories', least(20, count(DISTINCT subcategory)) FROM raw
+UNION ALL SELECT 'markets_histogram', count(DISTINCT n) FROM (
+            SELECT count(DISTINCT country_code) AS n FROM raw WHERE style_color IS NOT NULL GROUP BY style_color)
+UNION ALL SELECT 'currency_coverage', count(DISTINCT currency) FROM raw
+UNION ALL SELECT 'currency_coverage_csv', count(DISTINCT currency) + 1 FROM raw""",
         "p5_stock_flags": staged + """
 SELECT in_stock, CASE in_stock WHEN 'true' THEN true WHEN 'false' THEN false END AS flag, count(*) AS n
 FROM cat_stg GROUP BY 1, 2""",
