@@ -64,9 +64,10 @@ class Inputs:
     def rates_stg(self) -> DataFrame:
         return self.wh.table("staging_rates")
 
-    @property
+    @cached_property
     def raw(self) -> DataFrame:
-        return demo.raw_catalogue(self.spark, self.sf_dir)
+        """The per-size catalogue, landed as files once, as a delivery would be."""
+        return self.stored("raw", demo.raw_catalogue(self.spark, self.sf_dir))
 
     def scratch(self, name: str) -> str:
         return f"{work_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
@@ -123,7 +124,7 @@ def repeated_quotes(i: Inputs) -> DataFrame:
 def profile_files(i: Inputs) -> DataFrame:
     """The written profile, read back: every part and its number of records."""
     path = i.scratch("profile")
-    parts = profile.profile(i.stored("raw", i.raw), files.currency_map(i.rates_stg))
+    parts = profile.profile(i.raw, files.currency_map(i.rates_stg))
     files.write_profile(parts, path)
     out = None
     for name in [*parts, "currency_coverage_csv"]:
