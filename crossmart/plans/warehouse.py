@@ -267,10 +267,18 @@ def load_warehouse(
             facts.refresh_reject_log(before, catalogue_stg, run) if catalogue_stg else before,
         )
 
-    together(state.spark, currencies_and_rates, categories, products, markets_and_rejects)
-    rows_in, rows_out = rates_stg.count(), old["fact_prices"].count() + now["fact_rates"].count()
+    seen: dict[str, int] = {}
+
+    def figures() -> None:
+        seen["in"] = rates_stg.count() + (catalogue_stg.count() if catalogue_stg else 0)
+        seen["prices"] = old["fact_prices"].count()
+
+    together(
+        state.spark, currencies_and_rates, categories, products, markets_and_rejects, figures
+    )
+    rows_out = seen["prices"] + now["fact_rates"].count()
     if catalogue_stg is None:
-        return {"rows_in": rows_in, "rows_out": rows_out, "rows_rejected": 0}
+        return {"rows_in": seen["in"], "rows_out": rows_out, "rows_rejected": 0}
     snapshot, first, last = facts.batch_days(catalogue_stg)
     rates = work("rates", facts.rates_on(now["fact_rates"], now["dim_currency"], F.lit(snapshot).cast("date")))
     added = append_prices(
@@ -278,7 +286,7 @@ def load_warehouse(
         state.path("fact_prices", run), first == last,
     )
     return {
-        "rows_in": rows_in + catalogue_stg.count(),
+        "rows_in": seen["in"],
         "rows_out": rows_out + added.count(),
         "rows_rejected": now["reject_log"].where(F.col("load_batch_id") == run).count(),
     }
