@@ -79,10 +79,7 @@ def long_segments(segments: DataFrame, limit: int = MAX_REQUEST_DAYS) -> DataFra
 
 
 def orphans(t: Tables) -> DataFrame:
-    """Price rows whose key is missing in some dimension, with one flag per dimension.
-
-    The distinct keys are checked, not the rows: a row set is reduced to its keys first.
-    """
+    """Price rows whose key is missing in some dimension, with one flag per dimension."""
     rows = t["fact_prices"]
     names = {
         "dim_product": "product_key", "dim_geography": "geo_key", "dim_currency": "currency_key",
@@ -112,7 +109,6 @@ def conversion_error(t: Tables, catalogue_stg: DataFrame) -> DataFrame:
     rates = facts.rates_on(t["fact_rates"], t["dim_currency"], day)
     codes = t["dim_currency"].select("currency_key", "currency_code").join(rates, "currency_code")
     error = F.abs(F.col("price_pln") - F.col("local_price") * F.col("mid_rate"))
-    # rates are one row per currency: combined with the prices before the aggregate
     return (
         t["fact_prices"].select("currency_key", "local_price", "price_pln").join(codes, "currency_key")
         .groupBy("currency_code")
