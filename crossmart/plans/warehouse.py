@@ -184,6 +184,8 @@ def run_load(
     """
     if mode not in MODES:
         raise ValueError(f"mode is one of {MODES}")
+    # an empty log on the very first run; nothing happens where one exists
+    dims.empty(spark, schemas.RUN_LOG).write.mode("ignore").parquet(f"{root}/run_log")
     before = Warehouse(spark, root)
     highest = before.run_events().agg(F.max("run_id")).head()[0]
     run = (highest or 0) + 1
