@@ -459,16 +459,33 @@ def inputs(spark: SparkSession, app: str, sf_dir: str) -> Inputs:
     return Inputs(spark, sf_dir)
 
 
+try:  # the text operators come as a folder of their own and may be absent
+    import corpus_pipeline
+    from crossmart.llm import queries as llm_queries
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "crossmart.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def runnable(build: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: published(
             build(inputs(spark, spark.sparkContext.applicationId, sf_dir))
         )
 
-    return {name: runnable(build) for name, build in BUILDERS.items()}
+    found = {name: runnable(build) for name, build in BUILDERS.items()}
+    if llm_queries:
+        found |= {**llm_queries.QUERIES, "pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle.statements import statements
 
-    return statements()
+    found = statements()
+    if llm_queries:
+        found |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
