@@ -114,7 +114,9 @@ def judged(df: DataFrame, text: str = "text", rules=RULES, base=BASE_RULES) -> D
     """
     own = [F.col(c) for c in df.columns if c not in MEASURES and c not in ("base_failed", "failed_rules", "kept")]
     split = with_repeats(df.select(*own, words(F.col(text)).alias("_words")), "_words", "n_repeat_words")
-    measured = split.select(*own, "n_repeat_words", *[c.alias(n) for n, c in measures(text).items()])
+    found = F.struct("n_repeat_words", *[c.alias(n) for n, c in measures(text).items()])
+    # a generated row is a fence: filters on measures stay above it, so nothing is measured twice
+    measured = split.select(*own, F.explode_outer(F.array(found)).alias("_m")).select(*own, *[F.col(f"_m.{n}").alias(n) for n in MEASURES])
     failed = F.array_compact(F.array(*[F.when(~passes(r), F.lit(r.name)) for r in (*base, *rules)]))
     base_failed = F.lit(False)
     for r in base:
