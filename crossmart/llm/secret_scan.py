@@ -31,6 +31,7 @@ SAMPLE_DOCUMENTS = 20_000
 #: A candidate is random from this mean log-likelihood ratio a transition, in thousandths of a nat.
 MIN_RATIO = 700
 BLOCK = 256
+PRIOR = 10.0
 
 
 def offsets(lengths: Column) -> Column:
@@ -100,7 +101,9 @@ def place_of(char: Column) -> Column:
 def train(sample: DataFrame) -> list[int] | None:
     """Log-likelihood ratio of every transition, random over ordinary, in thousandths of a nat.
 
-    First-order models with one added to each count. None if a label has no transition.
+    First-order models; a row is smoothed with ``PRIOR`` transitions drawn from the label's
+    character frequencies, so characters that identifiers rarely use speak for chance even
+    after a character they never use. None if a label has no transition.
     """
     pairs = sample.where(F.length("token") > 1).select("label", F.explode(F.transform(
         F.sequence(F.lit(1), F.length("token") - 1), lambda i: F.substring("token", i, F.lit(2)))).alias("pair"))
@@ -112,12 +115,15 @@ def train(sample: DataFrame) -> list[int] | None:
     if not counts[0] or not counts[1]:
         return None
     n = len(ALPHABET)
-    rows = {lab: [sum(c.get((a, b), 0) for b in range(1, n + 1)) + n for a in range(1, n + 1)] for lab, c in counts.items()}
+    places = range(1, n + 1)
+    rows = {k: [sum(c.get((a, b), 0) for b in places) for a in places] for k, c in counts.items()}
+    columns = {k: [sum(c.get((a, b), 0) for a in places) + 0.5 for b in places] for k, c in counts.items()}
 
     def log(label, a, b):
-        return math.log((counts[label].get((a, b), 0) + 1) / rows[label][a - 1])
+        back = columns[label][b - 1] / sum(columns[label])
+        return math.log((counts[label].get((a, b), 0) + PRIOR * back) / (rows[label][a - 1] + PRIOR))
 
-    return [round(1000 * (log(1, a, b) - log(0, a, b))) for a in range(1, n + 1) for b in range(1, n + 1)]
+    return [round(1000 * (log(1, a, b) - log(0, a, b))) for a in places for b in places]
 
 
 def random_spans(text: Column, weights: Column, taken: Column, least: int = MIN_RATIO) -> Column:

@@ -23,12 +23,13 @@ SENTENCE = re.compile(r"(?<=[.!?])[ \t\x0b\x0c\r]+")
 BATCH = 20_000
 
 
-def units(text: str | None) -> Iterator[tuple[int, int, int, int, int]]:
-    """(start, end, words, digest, digest) of the units long enough to count, in code points.
+def units(text: str | None) -> Iterator[tuple[int, int, int, int, int, int]]:
+    """(start, end, words, digest, digest, gap) of the units long enough to count, in code points.
 
-    A unit is normalised to lower case and single spaces before it is hashed (XXH3, 128 bits).
+    A unit is normalised to lower case and single spaces before it is hashed (XXH3, 128 bits);
+    ``gap`` hashes what was too short to count since the unit before.
     """
-    at = 0
+    at, gap = 0, []
     for line in (text or "").split("\n"):
         cuts = [0, *[m.end() for m in SENTENCE.finditer(line)], len(line)]
         for lo, hi in zip(cuts, cuts[1:], strict=False):
@@ -37,7 +38,11 @@ def units(text: str | None) -> Iterator[tuple[int, int, int, int, int]]:
             if len(tokens) >= (LINE_WORDS if hi - lo == len(line) else SENTENCE_WORDS):
                 start = at + lo + len(part) - len(part.lstrip())
                 value = xxhash.xxh3_128_intdigest(" ".join(tokens).encode("utf-8", "surrogatepass"))
-                yield start, at + lo + len(part.rstrip()), len(tokens), signed(value >> 64), signed(value & (2**64 - 1))
+                skipped = signed(xxhash.xxh3_64_intdigest(" ".join(gap).encode("utf-8", "surrogatepass")))
+                yield start, at + lo + len(part.rstrip()), len(tokens), signed(value >> 64), signed(value & (2**64 - 1)), skipped
+                gap = []
+            else:
+                gap += tokens
         at += len(line) + 1
 
 
@@ -46,10 +51,10 @@ def signed(value: int) -> int:
 
 
 def unit_table(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, nr, start, end, n_words, d1, d2): every unit of every text."""
+    """(doc_id, nr, start, end, n_words, d1, d2, gap): every unit of every text."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["doc_id", "nr", "start", "end", "n_words", "d1", "d2"]
+        columns = ["doc_id", "nr", "start", "end", "n_words", "d1", "d2", "gap"]
         for batch in batches:
             rows = []
             for doc, body in zip(batch["doc_id"], batch["text"], strict=True):
@@ -62,14 +67,14 @@ def unit_table(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
     narrow = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    return narrow.mapInPandas(cut, f"doc_id {kind}, nr int, start int, end int, n_words int, d1 long, d2 long")
+    return narrow.mapInPandas(cut, f"doc_id {kind}, nr int, start int, end int, n_words int, d1 long, d2 long, gap long")
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, start, end, n_words, n_units, keeper_doc_id, keeper_start): spans to remove.
 
-    Occurrences rank by id and then place; the first stays. Neighbouring removed units whose
-    keeper is one document become one span. Digests are grouped with a salt first, so a unit
+    Occurrences rank by id and then place; the first stays. Neighbouring removed units
+    become one span if they are neighbours in the keeper too, with the same short units between. Digests are grouped with a salt first, so a unit
     that a third of all documents share fills no task. Null and blank texts have no units,
     rows with a null id are left alone, rows that repeat an id count as one document.
     """
@@ -80,13 +85,15 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     twice = partly.groupBy(*digest).agg(F.sum("n").alias("n"), F.min("doc").alias("keeper_doc_id")).where("n > 1").drop("n")
     shared = stage(partly.select(*digest, "salt").join(twice, digest), "shared")
     found = stage(cut.join(shared, [*digest, "salt"]), "repeated")
-    firsts = found.where("doc_id = keeper_doc_id").groupBy(*digest).agg(F.min("start").alias("keeper_start"))
+    firsts = found.where("doc_id = keeper_doc_id").groupBy(*digest).agg(
+        F.min("start").alias("keeper_start"), F.min_by("nr", "start").alias("keeper_nr"), F.min_by("gap", "start").alias("keeper_gap"))
     places = shared.select(*digest, "salt").join(firsts, digest)
     later = found.join(places, [*digest, "salt"]).where(
         (F.col("doc_id") != F.col("keeper_doc_id")) | (F.col("start") != F.col("keeper_start")))
     order = Window.partitionBy("doc_id").orderBy("nr", "start")
     step = F.col("nr") - F.lag("nr").over(order)
-    follows = (step <= 1) & (F.col("keeper_doc_id") == F.lag("keeper_doc_id").over(order))
+    beside = (step == 1) & (F.col("keeper_nr") == F.lag("keeper_nr").over(order) + 1) & (F.col("gap") == F.col("keeper_gap"))
+    follows = (F.col("keeper_doc_id") == F.lag("keeper_doc_id").over(order)) & ((step == 0) | beside)
     runs = later.withColumn("again", step == 0).withColumn("new", F.when(follows, 0).otherwise(1)).withColumn(
         "run", F.sum("new").over(order)).where("again IS NULL OR NOT again")
     return runs.groupBy("doc_id", "run").agg(
