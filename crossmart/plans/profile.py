@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crossmart.functions import to_float
@@ -49,12 +49,18 @@ def top_values(raw: DataFrame, column: str = "subcategory", count: int = TOP_LAB
     return counted.orderBy(F.desc("n"), "value").limit(count).select("value", "n")
 
 
+def comparable(c: Column) -> Column:
+    """A number that orders like one: NaN is above and below nothing, so it becomes NULL."""
+    number = to_float(c)
+    return F.when(~F.isnan(number), number)
+
+
 def fault_counts() -> list:
     """Aggregates: prices that are no number, not above zero, or below their sale price."""
-    price, sale = to_float(F.col("price_local")), to_float(F.col("sale_price_local"))
+    price, sale = comparable(F.col("price_local")), comparable(F.col("sale_price_local"))
     return [
         F.count_if(price <= 0).alias("price_le_zero"),
-        F.count_if(F.col("price_local").isNotNull() & price.isNull()).alias("price_nonnumeric"),
+        F.count_if(F.col("price_local").isNotNull() & to_float(F.col("price_local")).isNull()).alias("price_nonnumeric"),
         F.count_if(sale > price).alias("sale_gt_price"),
     ]
 
@@ -65,7 +71,7 @@ def price_faults(raw: DataFrame) -> DataFrame:
 
 def sale_above_list(raw: DataFrame) -> DataFrame:
     """Every row with a flag for a sale price above the list price; nothing is rejected."""
-    flag = to_float(F.col("sale_price_local")) > to_float(F.col("price_local"))
+    flag = comparable(F.col("sale_price_local")) > comparable(F.col("price_local"))
     return raw.withColumn("sale_gt_price", F.coalesce(flag, F.lit(False)))
 
 

@@ -129,7 +129,7 @@ def log_event(
     values = {
         "run_id": run, "package_name": PACKAGE, "load_type": load_type, "rows_in": rows_in,
         "rows_out": rows_out, "rows_rejected": rows_rejected, "status": status,
-        "message": message[:480] if message else None,
+        "message": message,
     }
     row = spark.range(1).select(
         *[

@@ -100,9 +100,12 @@ def table_rows(text: str) -> list[tuple[str, ...]]:
 
 def inline_table(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
     """A literal relation of known size, so the optimizer may fold or broadcast it."""
-    quoted = ", ".join(
-        "(" + ", ".join(str(v) if isinstance(v, int) else f"'{v}'" for v in row) + ")" for row in rows
-    )
+    def literal(value) -> str:
+        if isinstance(value, int):
+            return str(value)
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    quoted = ", ".join("(" + ", ".join(map(literal, row)) + ")" for row in rows)
     return spark.sql(f"SELECT * FROM VALUES {quoted} AS t({columns})")
 
 
