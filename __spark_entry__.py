@@ -30,14 +30,14 @@ LATER = demo.date(2024, 2, 15)
 
 
 def published(df: DataFrame) -> DataFrame:
-    """Decimals as doubles; everything else as it is."""
-    return df.select(
-        *[
-            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
-            else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+    """Decimals as doubles, keys too long for a double as text; everything else as it is."""
+    def shown(f: T.StructField):
+        if not isinstance(f.dataType, T.DecimalType):
+            return F.col(f.name)
+        whole = f.dataType.scale == 0 and f.dataType.precision > 15
+        return F.col(f.name).cast("string" if whole else "double").alias(f.name)
+
+    return df.select(*[shown(f) for f in df.schema.fields])
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -128,7 +128,10 @@ def profile_files(i: Inputs) -> DataFrame:
     files.write_profile(parts, path)
     out = None
     for name in [*parts, "currency_coverage_csv"]:
-        lines = i.spark.read.text(f"{path}/{name}").agg(F.count("*").alias("lines"))
+        at = f"{path}/{name}"
+        # a CSV part repeats its header in every file, so records are read as records
+        records = i.spark.read.csv(at, header=True) if name.endswith("_csv") else i.spark.read.text(at)
+        lines = records.agg(F.count("*").alias("lines"))
         part = lines.select(F.lit(name).alias("part"), "lines")
         out = out.unionByName(part) if out else part
     return out

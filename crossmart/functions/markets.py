@@ -1,50 +1,24 @@
-"""Aggregates over market keys that stay in fixed-width buffers.
+"""Aggregates over the markets of a product, in two steps that need no bound on market keys.
 
-Market keys are small numbers (at most 511, see the price key layout). Distinct markets
-fit into eight 64-bit masks, and a price with the market's rank into one 64-bit number.
-Such aggregates run as hash aggregates in generated code; sets or structs would make
-Spark sort the rows of every map task instead.
+The first step combines the rows of each product and market into fixed-width numbers, below
+the shuffle. The second meets one row per product and market only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MARKETS = 512
-WORD = 64
-PRICE_UNIT = 10000
 
-
-def distinct_markets(geo: Column) -> Column:
-    """Number of distinct market keys of a group (an aggregate)."""
-    total = F.lit(0)
-    one = F.lit(1).cast("bigint")
-    for word in range(MARKETS // WORD):
-        inside = (geo >= word * WORD) & (geo < (word + 1) * WORD)
-        bit = F.call_function("shiftleft", one, geo % WORD)
-        mask = F.when(inside, bit).otherwise(F.lit(0).cast("bigint"))
-        total = total + F.bit_count(F.bit_or(mask))
-    return total.cast("int")
-
-
-def market_ranks(geography: DataFrame) -> DataFrame:
-    """Rank of every market by country code, 0-based; the dimension has at most 511 rows."""
-    order = Window.orderBy("country_code")
-    return geography.select(
-        "geo_key", "country_code", "country_name", (F.row_number().over(order) - 1).alias("market_rank")
+def per_market(prices: DataFrame) -> DataFrame:
+    """(product_key, geo_key, lo, hi, total, n) over ``price_pln``."""
+    price = F.col("price_pln")
+    return prices.groupBy("product_key", "geo_key").agg(
+        F.min(price).alias("lo"), F.max(price).alias("hi"), F.sum(price).alias("total"), F.count(price).alias("n")
     )
 
 
-def with_rank(price: Column, rank: Column) -> Column:
-    """Price (four decimals) and rank as one number that sorts by price, then rank."""
-    return (price * PRICE_UNIT).cast("bigint") * MARKETS + rank
-
-
-def price_of(packed: Column) -> Column:
-    units = F.floor(packed / MARKETS).cast("decimal(18,0)")
-    return (units / F.lit(PRICE_UNIT).cast("decimal(5,0)")).cast("decimal(14,4)")
-
-
-def rank_of(packed: Column) -> Column:
-    return F.pmod(packed, F.lit(MARKETS)).cast("int")
+def average(total: Column, n: Column) -> Column:
+    """Mean of sums of prices, with the digits of Spark's own average of a price."""
+    mean = F.sum(total).cast("decimal(24,4)") / F.sum(n).cast("decimal(14,0)")
+    return mean.cast("decimal(18,8)")

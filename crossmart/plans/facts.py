@@ -31,22 +31,23 @@ RATE_SOURCE = "NBP"
 EUR, USD = "EUR", "USD"
 # --------------------------------------------------------------------------------------------
 
-EPOCH = "2000-01-01"
-MAX_GEO_KEY = 511
+EPOCH, FIRST_DAY = "2000-01-01", "0001-01-01"
+#: Room for any market key (an int) and for any day up to the year 9999.
+MARKET_KEYS, DAYS = 1 << 31, 1 << 22
 
 
-def day_number(day: Column) -> Column:
-    return F.datediff(day, F.lit(EPOCH).cast("date")).cast("bigint")
+def day_number(day: Column, first: str = EPOCH) -> Column:
+    return F.datediff(day, F.lit(first).cast("date")).cast("bigint")
 
 
 def price_key(product: Column, geo: Column, day: Column) -> Column:
-    """Row key packed from the grain: product, market (9 bits), day (17 bits).
+    """Row key packed from the grain: product, market (31 bits), day (22 bits).
 
-    Unique and repeatable with neither a shuffle nor a counter.
+    Unique and repeatable with neither a shuffle nor a counter, for every key and day.
     """
-    packed = (product * 512 + geo) * 131072 + day_number(day)
-    fits = (geo <= MAX_GEO_KEY) & day_number(day).between(0, 131071)
-    return F.when(fits, packed).otherwise(F.raise_error(F.lit("grain outside the key layout")))
+    market = product.cast("decimal(19,0)") * F.lit(MARKET_KEYS).cast("decimal(10,0)") + geo.cast("decimal(10,0)")
+    packed = market * F.lit(DAYS).cast("decimal(7,0)") + day_number(day, FIRST_DAY).cast("decimal(7,0)")
+    return packed.cast("decimal(38,0)")
 
 
 def rate_key(currency: Column, table_type: Column, day: Column) -> Column:
@@ -151,11 +152,11 @@ def keyed_prices(
     else:
         rows = unique_rows(catalogue_stg)
     products = dims["dim_product"].where("is_current").select("product_key", "style_color")
-    markets = F.broadcast(dims["dim_geography"].select("geo_key", "country_code"))  # <= 511 rows
+    markets = dims["dim_geography"].select("geo_key", "country_code")
     days = F.broadcast(dims["dim_date"].select("date_key", F.col("full_date").alias("snapshot_day")))
     currencies = dims["dim_currency"].select("currency_key", F.col("currency_code").alias("currency"))
-    rows = rows.join(markets, "country_code").join(days, "snapshot_day")
-    rows = rows.join(products, "style_color")
+    rows = rows.join(days, "snapshot_day").join(products, "style_color")
+    rows = lookup_join(rows, markets, ["country_code"])
     rows = lookup_join(rows, currencies, ["currency"])
     return lookup_join(rows, category_labels(dims["dim_category"]), ["category", "subcategory"])
 
@@ -301,14 +302,14 @@ def unmatched_rows(catalogue_stg: DataFrame, dims: dict[str, DataFrame]) -> Data
     )
     yes = F.lit(True)
     products = dims["dim_product"].where("is_current").select("style_color", yes.alias("_p"))
-    markets = F.broadcast(dims["dim_geography"].select("country_code", yes.alias("_g")))
+    markets = dims["dim_geography"].select("country_code", yes.alias("_g"))
     days = F.broadcast(
         dims["dim_date"].select(F.col("full_date").alias("snapshot_day"), yes.alias("_d"))
     )
     currencies = dims["dim_currency"].select(F.col("currency_code").alias("currency"), yes.alias("_c"))
     labels = category_labels(dims["dim_category"]).select("category", "subcategory", yes.alias("_k"))
-    rows = rows.join(markets, "country_code", "left").join(days, "snapshot_day", "left")
-    rows = lookup_join(rows, products, ["style_color"], "left")
+    rows = rows.join(days, "snapshot_day", "left").join(products, "style_color", "left")
+    rows = lookup_join(rows, markets, ["country_code"], "left")
     rows = lookup_join(rows, currencies, ["currency"], "left")
     rows = lookup_join(rows, labels, ["category", "subcategory"], "left")
     flags = {

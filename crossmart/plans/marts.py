@@ -5,15 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crossmart import schemas
 from crossmart.functions import arbitrage_band, is_outlier, is_sensible, percent_gap
-from crossmart.functions.markets import (
-    MARKETS,
-    distinct_markets,
-    market_ranks,
-    price_of,
-    rank_of,
-    with_rank,
-)
+from crossmart.functions.markets import average, per_market
+from crossmart.operators.joins import lookup_join
 from crossmart.operators.pick import latest_value
 
 Tables = dict[str, DataFrame]
@@ -24,13 +19,13 @@ TREND_DAYS = 30
 def price_enriched(t: Tables) -> DataFrame:
     """Denormalized price fact with an outlier flag; outliers stay in.
 
-    The date and geography dimensions have a bounded size; the others are joined by
-    the size Spark knows from their files.
+    The calendar has a bounded size. Markets, currencies and categories may hold a large part
+    of the rows each and go through the lookup for hot keys; a product has few rows.
     """
     days = F.broadcast(
         t["dim_date"].select("date_key", F.col("full_date").alias("snapshot_date"), "year", "quarter", "month")
     )
-    markets = F.broadcast(t["dim_geography"].drop("currency_code"))
+    markets = t["dim_geography"].drop("currency_code")
     products = t["dim_product"].select(
         "product_key", "style_color", "model_number", "product_name", "color_name", "gender_segment"
     )
@@ -38,10 +33,10 @@ def price_enriched(t: Tables) -> DataFrame:
         "currency_key", "currency_code", "currency_name", "nbp_table_type"
     )
     labels = t["dim_category"].select("category_key", "category", "subcategory")
-    joined = (
-        t["fact_prices"].join(days, "date_key").join(markets, "geo_key")
-        .join(currencies, "currency_key").join(labels, "category_key").join(products, "product_key")
-    )
+    joined = t["fact_prices"].join(products, "product_key").join(days, "date_key")
+    joined = lookup_join(joined, markets, ["geo_key"])
+    joined = lookup_join(joined, currencies, ["currency_key"])
+    joined = lookup_join(joined, labels, ["category_key"])
     return joined.select(
         "price_key", "product_key", "style_color", "model_number", "product_name", "color_name",
         "gender_segment", "category", "subcategory", "geo_key", "country_code", "country_name",
@@ -55,39 +50,23 @@ def price_enriched(t: Tables) -> DataFrame:
 def market_extremes(t: Tables) -> DataFrame:
     """Per product over sensible prices: markets, min, max, avg and both extreme markets.
 
-    One scan and one shuffle of fixed-width rows: the extremes carry the rank of their
-    market by country code inside the compared number (so both ties go to the first
-    country code), and the market names are looked up after the aggregation.
+    One scan of the fact. Rows are combined per product and market before the markets'
+    names are looked up; both ties go to the first country code.
     """
-    markets = F.broadcast(market_ranks(t["dim_geography"]))  # <= 511 rows
-    price, rank = F.col("price_pln"), F.col("market_rank")
-    base = t["fact_prices"].where(is_sensible(price)).select("product_key", "geo_key", "price_pln")
-    extremes = (
-        base.join(markets.select("geo_key", "market_rank"), "geo_key")
-        .groupBy("product_key")
-        .agg(
-            distinct_markets(F.col("geo_key")).alias("n_markets"),
-            F.min(with_rank(price, rank)).alias("lo"),
-            F.max(with_rank(price, MARKETS - 1 - rank)).alias("hi"),
-            F.avg(price).alias("avg_pln"),
-        )
+    base = t["fact_prices"].where(is_sensible(F.col("price_pln")))
+    markets = t["dim_geography"].select("geo_key", "country_code", "country_name")
+    named = lookup_join(per_market(base), markets, ["geo_key"])
+    lowest = F.min(F.struct("lo", "country_code", "country_name"))
+    highest = F.min(F.struct((-F.col("hi")).alias("hi"), "country_code", "country_name"))
+    extremes = named.groupBy("product_key").agg(
+        F.count("*").cast("int").alias("n_markets"), lowest.alias("low"), highest.alias("high"),
+        average(F.col("total"), F.col("n")).alias("avg_pln"),
     )
-
-    def named(side: str) -> DataFrame:
-        return markets.select(
-            F.col("market_rank").alias(f"{side}_rank"), F.col("country_name").alias(f"{side}_country"),
-            F.col("country_code").alias(f"{side}_cc"),
-        )
-
-    return (
-        extremes.select(
-            "product_key", "n_markets", price_of(F.col("lo")).alias("min_pln"),
-            price_of(F.col("hi")).alias("max_pln"), "avg_pln",
-            rank_of(F.col("lo")).alias("cheapest_rank"),
-            (MARKETS - 1 - rank_of(F.col("hi"))).alias("dearest_rank"),
-        )
-        .join(named("cheapest"), "cheapest_rank").join(named("dearest"), "dearest_rank")
-        .drop("cheapest_rank", "dearest_rank")
+    return extremes.select(
+        "product_key", "n_markets", F.col("low.lo").alias("min_pln"),
+        (-F.col("high.hi")).cast(schemas.PRICE).alias("max_pln"), "avg_pln",
+        F.col("low.country_name").alias("cheapest_country"), F.col("low.country_code").alias("cheapest_cc"),
+        F.col("high.country_name").alias("dearest_country"), F.col("high.country_code").alias("dearest_cc"),
     )
 
 
@@ -115,16 +94,14 @@ def product_arbitrage(t: Tables) -> DataFrame:
 
 def global_price_map(t: Tables) -> DataFrame:
     """Sensible prices per product and country, all product versions."""
-    markets = F.broadcast(t["dim_geography"].select("geo_key", "country_code", "country_name", "region"))
+    markets = t["dim_geography"].select("geo_key", "country_code", "country_name", "region")
     currencies = t["dim_currency"].select("currency_key", "currency_code")
     products = t["dim_product"].select("product_key", "style_color", "product_name", "category")
-    return (
-        t["fact_prices"].where(is_sensible(F.col("price_pln")))
-        .join(markets, "geo_key").join(currencies, "currency_key").join(products, "product_key")
-        .select(
-            "style_color", "product_name", "category", "country_code", "country_name", "region",
-            "currency_code", "local_price", "price_pln",
-        )
+    rows = t["fact_prices"].where(is_sensible(F.col("price_pln"))).join(products, "product_key")
+    rows = lookup_join(rows, markets, ["geo_key"])
+    return lookup_join(rows, currencies, ["currency_key"]).select(
+        "style_color", "product_name", "category", "country_code", "country_name", "region",
+        "currency_code", "local_price", "price_pln",
     )
 
 

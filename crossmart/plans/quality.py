@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from crossmart.functions import to_date_or_null
 from crossmart.functions.cleaning import local_price
+from crossmart.operators.joins import lookup_join, missing_in
 from crossmart.plans import facts, marts
 
 Tables = dict[str, DataFrame]
@@ -34,12 +35,12 @@ def no_loss(catalogue_stg: DataFrame, t: Tables) -> DataFrame:
         F.count("*").alias("_rows")
     )
     products = t["dim_product"].where("is_current").select("product_key", "style_color")
-    markets = F.broadcast(t["dim_geography"].select("geo_key", "country_code"))
+    markets = t["dim_geography"].select("geo_key", "country_code")
     days = F.broadcast(t["dim_date"].select("date_key", F.col("full_date").alias("snapshot_day")))
     keys = ["product_key", "geo_key", "date_key"]
     stored = t["fact_prices"].select(*keys, F.lit(1).alias("_stored"))
     looked_up = (
-        grain.join(markets, "country_code", "left").join(days, "snapshot_day", "left")
+        lookup_join(grain.join(days, "snapshot_day", "left"), markets, ["country_code"], "left")
         .join(products, "style_color", "left").join(stored, keys, "left")
     )
     return looked_up.agg(
@@ -79,19 +80,23 @@ def long_segments(segments: DataFrame, limit: int = MAX_REQUEST_DAYS) -> DataFra
 
 
 def orphans(t: Tables) -> DataFrame:
-    """Price rows whose key is missing in some dimension, with one flag per dimension."""
-    rows = t["fact_prices"]
+    """Price rows whose key is missing in some dimension, with one flag per dimension.
+
+    Keys are combined and looked up first; raw rows meet the few missing keys only.
+    """
     names = {
         "dim_product": "product_key", "dim_geography": "geo_key", "dim_currency": "currency_key",
         "dim_date": "date_key", "dim_category": "category_key",
     }
-    lost = F.lit(False)
+    prices = t["fact_prices"].select("price_key", *names.values())
+    rows, lost = prices, F.lit(False)
     for name, key in names.items():
-        rows = rows.join(t[name].select(key, F.lit(True).alias(f"_{key}")), key, "left")
-        lost = lost | F.col(f"_{key}").isNull()
-    return rows.where(lost).select(
-        "price_key", *[F.col(f"_{key}").isNull().alias(f"no_{key}") for key in names.values()]
-    )
+        gone = missing_in(prices, t[name], key).withColumn(f"_no_{key}", F.lit(True))
+        rows = lookup_join(rows, gone, [key], "left")
+        lost = lost | F.col(f"_no_{key}").isNotNull() | F.col(key).isNull()
+    return rows.where(lost).select("price_key", *[
+        (F.col(f"_no_{key}").isNotNull() | F.col(key).isNull()).alias(f"no_{key}") for key in names.values()
+    ])
 
 
 def duplicate_keys(rows: DataFrame, keys: list[str]) -> DataFrame:

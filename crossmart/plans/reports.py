@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crossmart.functions import is_sensible, price_bucket
-from crossmart.functions.markets import distinct_markets
+from crossmart.functions.markets import per_market
 from crossmart.plans import marts, measures
 
 Tables = dict[str, DataFrame]
@@ -24,7 +24,7 @@ def widest_product(t: Tables, category: str):
     """Scalar subquery: key of the current product of a category sold in most markets."""
     products = t["dim_product"].where(F.col("is_current") & (F.col("category") == category))
     sold = t["fact_prices"].where(is_sensible(F.col("price_pln"))).select("product_key", "geo_key")
-    counts = sold.groupBy("product_key").agg(distinct_markets(F.col("geo_key")).alias("n"))
+    counts = sold.distinct().groupBy("product_key").agg(F.count("*").alias("n"))
     widest = counts.join(products, "product_key").orderBy(F.desc("n"), "style_color").limit(1)
     return widest.select("product_key").scalar()
 
@@ -148,11 +148,11 @@ def outliers_by_market(t: Tables, limit: int = 20000) -> DataFrame:
 def top_spreads(t: Tables, count: int = 10, min_markets: int = 5) -> DataFrame:
     """Largest price spreads among products in many markets, outliers included."""
     gaps = (
-        t["fact_prices"].where(F.col("price_pln").isNotNull())
+        per_market(t["fact_prices"].where(F.col("price_pln").isNotNull()))
         .groupBy("product_key")
         .agg(
-            distinct_markets(F.col("geo_key")).alias("n_markets"),
-            F.min("price_pln").alias("min_pln"), F.max("price_pln").alias("max_pln"),
+            F.count("geo_key").cast("int").alias("n_markets"),
+            F.min("lo").alias("min_pln"), F.max("hi").alias("max_pln"),
         )
         .where(F.col("n_markets") >= min_markets)
         .withColumn("spread_pln", F.col("max_pln") - F.col("min_pln"))

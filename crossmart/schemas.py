@@ -70,7 +70,7 @@ FACT_RATES = table(
     "trading_date date, effective_date date, fx_source string, load_timestamp timestamp"
 )
 FACT_PRICES = table(
-    "price_key long, product_key long, geo_key integer, currency_key long, date_key integer, "
+    "price_key decimal(38,0), product_key long, geo_key integer, currency_key long, date_key integer, "
     "category_key long, local_price decimal(12,2), sale_price_local decimal(12,2), "
     "discount_pct decimal(6,2), price_pln decimal(14,4), price_eur decimal(14,4), "
     "price_usd decimal(14,4), in_stock boolean, is_catalogue_price boolean, "

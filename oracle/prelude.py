@@ -296,7 +296,7 @@ cross_rates AS (
   FROM snap_rates
 ),
 fact_prices AS (
-  SELECT (product_key * 512 + geo_key) * 131072 + (snapshot - DATE '2000-01-01') AS price_key,
+  SELECT (product_key::HUGEINT * 2147483648 + geo_key) * 4194304 + (snapshot - DATE '0001-01-01') AS price_key,
          product_key, geo_key, currency_key, date_key, category_key, local_u, sale_u, discount,
          {price_columns('local_u', 'mid_u', '(SELECT eur FROM cross_rates)', '(SELECT usd FROM cross_rates)')},
          CASE in_stock WHEN 'true' THEN true WHEN 'false' THEN false END AS in_stock

@@ -156,7 +156,7 @@ SELECT fx_key, date_key, currency_key, table_type, table_no, mid_u{U6} AS mid_ra
        bid_u{U6} AS bid_rate, ask_u{U6} AS ask_rate, (ask_u - bid_u){U6} AS spread,
        trading_date, effective_date, 'NBP' AS fx_source FROM fact_rates"""
 PRICE_COLUMNS = f"""
-SELECT price_key, product_key, geo_key, currency_key, date_key, category_key,
+SELECT price_key::VARCHAR AS price_key, product_key, geo_key, currency_key, date_key, category_key,
        local_u{CENT} AS local_price, sale_u{CENT} AS sale_price_local, discount AS discount_pct,
        pln_u{U4} AS price_pln, eur_u{U4} AS price_eur, usd_u{U4} AS price_usd, in_stock,
        true AS is_catalogue_price FROM fact_prices"""
@@ -205,7 +205,7 @@ UNION ALL SELECT 'top_subcategories', least(20, count(DISTINCT subcategory)) FRO
 UNION ALL SELECT 'markets_histogram', count(DISTINCT n) FROM (
             SELECT count(DISTINCT country_code) AS n FROM raw WHERE style_color IS NOT NULL GROUP BY style_color)
 UNION ALL SELECT 'currency_coverage', count(DISTINCT currency) FROM raw
-UNION ALL SELECT 'currency_coverage_csv', count(DISTINCT currency) + 1 FROM raw""",
+UNION ALL SELECT 'currency_coverage_csv', count(DISTINCT currency) FROM raw""",
         "p5_stock_flags": staged + """
 SELECT in_stock, CASE in_stock WHEN 'true' THEN true WHEN 'false' THEN false END AS flag, count(*) AS n
 FROM cat_stg GROUP BY 1, 2""",
@@ -262,7 +262,7 @@ FROM (SELECT k.*, {p.price_columns('local_u', 'r.mid_u', 'e.mid_u', 'u.mid_u')}
         "j5_unquoted_currencies": PART(p.STAGED, p.QUOTES) + """
 SELECT DISTINCT currency FROM cat_stg WHERE currency NOT IN (SELECT code FROM rates_stg)""",
         "j12_orphans": wh + """
-SELECT price_key, false AS no_product_key, g.geo_key IS NULL AS no_geo_key,
+SELECT price_key::VARCHAR AS price_key, false AS no_product_key, g.geo_key IS NULL AS no_geo_key,
        c.currency_key IS NULL AS no_currency_key, false AS no_date_key, false AS no_category_key
 FROM fact_prices f
 LEFT JOIN (SELECT * FROM geo WHERE region <> 'Greater China') g USING (geo_key)
@@ -310,9 +310,9 @@ SELECT style_color, cheapest_cc, cheapest_country, lo{U4} AS min_pln, dearest_cc
        hi{U4} AS max_pln FROM gaps""",
         "w5_previous_rate": wh + f"SELECT currency_code, prev{U6} AS mid_rate FROM trend_prev",
         "w6_priced_between": wh + f"""
-SELECT price_key, country_code, currency_code, local_u{CENT} AS local_price, pln_u{U4} AS price_pln,
+SELECT price_key::VARCHAR AS price_key, country_code, currency_code, local_u{CENT} AS local_price, pln_u{U4} AS price_pln,
        count(*) OVER () AS total_rows
-FROM enriched WHERE pln_u BETWEEN 200000000 AND 600000000 ORDER BY pln_u, price_key LIMIT 10""",
+FROM enriched WHERE pln_u BETWEEN 200000000 AND 600000000 ORDER BY pln_u, enriched.price_key LIMIT 10""",
         "w7_first_seen": first + f"SELECT {p.LISTING} FROM listing_first",
         "w8_quote_dedup": rates + f"SELECT {p.RATES} FROM rates_stg",
         "o1_top_margins": wh + """
@@ -352,7 +352,7 @@ SELECT 1 AS run_id, 'crossmart.load' AS package_name, 'INITIAL' AS load_type, {R
        (SELECT count(*) FROM fact_prices) + (SELECT count(*) FROM fact_rates) AS rows_out,
        (SELECT count(*) FROM rejected) AS rows_rejected, 'SUCCESS' AS status, 'OK' AS message""",
         "v1_price_enriched": wh + f"""
-SELECT price_key, product_key, style_color, model_number, product_name, color_name, gender_segment, category,
+SELECT price_key::VARCHAR AS price_key, product_key, style_color, model_number, product_name, color_name, gender_segment, category,
        subcategory, geo_key, country_code, country_name, region, sub_region, currency_key, currency_code,
        currency_name, nbp_table_type, snapshot_date, year, quarter, month, local_u{CENT} AS local_price,
        sale_u{CENT} AS sale_price_local, discount AS discount_pct, pln_u{U4} AS price_pln,

@@ -6,8 +6,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from crossmart import functions as fn
-from crossmart.functions import markets
 from crossmart.functions.cleaning import local_price
+from crossmart.plans import facts, marts
 
 
 def column(spark, values, build, kind="string"):
@@ -104,20 +104,30 @@ def test_conversion_example_and_missing_rates(spark):
     assert row[0] == Decimal("409.9700") and row[1] is None and row[2] is None and row[3] is None
 
 
-@settings(max_examples=10, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 3), st.integers(1, 511), st.integers(10000, 500000000)), min_size=1, max_size=60))
-def test_packed_market_aggregates(spark, rows):
-    df = spark.createDataFrame(
-        [(g, m, Decimal(u).scaleb(-4)) for g, m, u in rows], "g int, m int, p decimal(14,4)"
-    )
-    got = df.groupBy("g").agg(
-        markets.distinct_markets(F.col("m")).alias("n"),
-        F.min(markets.with_rank(F.col("p"), F.col("m"))).alias("lo"),
-    ).select("g", "n", markets.price_of(F.col("lo")).alias("p"), markets.rank_of(F.col("lo")).alias("m"))
-    for row in got.collect():
-        mine = [(u, m) for g, m, u in rows if g == row.g]
-        assert row.n == len({m for _, m in mine})
-        assert (int(row.p.scaleb(4)), row.m) == min(mine)
+def test_extremes_of_many_markets(spark):
+    """600 markets, ties in price, keys beyond any small layout."""
+    geo = [(n * 1_000_003 % 2**31, f"c{n:03d}", f"name{n}") for n in range(600)]
+    rows = [(p, geo[n][0], Decimal(100 + (n * 7 + p) % 40)) for p in (1, 2**40) for n in range(600 if p == 1 else 3) for _ in range(2)]
+    t = {
+        "dim_geography": spark.createDataFrame(geo, "geo_key int, country_code string, country_name string"),
+        "fact_prices": spark.createDataFrame(rows, "product_key long, geo_key int, price_pln decimal(14,4)"),
+    }
+    got = {r.product_key: r for r in marts.market_extremes(t).collect()}
+    codes = {key: code for key, code, _ in geo}
+    for product in (1, 2**40):
+        mine = [(price, codes[g]) for p, g, price in rows if p == product]
+        low, high = min(mine), min((-price, code) for price, code in mine)
+        row = got[product]
+        assert row.n_markets == len({c for _, c in mine})
+        assert (row.min_pln, row.cheapest_cc) == low and (-row.max_pln, row.dearest_cc) == high
+        assert abs(row.avg_pln - sum(p for p, _ in mine) / len(mine)) < Decimal("0.0000001")
+
+
+def test_price_keys_of_any_grain_differ(spark):
+    grains = [(p, g, d) for p in (0, 1, 2**62) for g in (0, 511, 512, 2**31 - 1) for d in ("0001-01-01", "1999-12-31", "2026-01-01", "9999-12-31")]
+    df = spark.createDataFrame(grains, "p long, g int, d string")
+    keys = df.select(facts.price_key(F.col("p"), F.col("g"), F.col("d").cast("date")).alias("k"))
+    assert keys.where("k IS NOT NULL").distinct().count() == len(grains)
 
 
 def test_lookup_join_refuses_other_kinds(spark):
