@@ -21,7 +21,7 @@ from crossmart.operators.joins import missing_in
 from crossmart.operators.pick import latest_value
 from crossmart.plans import calendar as cal
 from crossmart.plans import dims, facts, marts, measures, profile, quality, reports
-from crossmart.plans.warehouse import write_table
+from crossmart.plans.warehouse import run_load, write_table
 from crossmart.session import work_dir
 from crossmart.sources import demo, files
 
@@ -137,6 +137,32 @@ def profile_files(i: Inputs) -> DataFrame:
     return out
 
 
+def profile_rows(i: Inputs) -> DataFrame:
+    """The counts of the written profile, read back as (part, key, value)."""
+    path = i.scratch("profile")
+    files.write_profile(profile.profile(i.raw, files.currency_map(i.rates_stg)), path)
+    keyed = {
+        "value_counts": (["field", "value"], "n"), "top_subcategories": (["value"], "n"),
+        "markets_histogram": (["n_countries"], "n_products"), "currency_coverage": (["currency", "nbp_table"], "rows"),
+        "currency_coverage_csv": (["currency", "nbp_table"], "rows"),
+    }
+    nulls = i.spark.read.json(f"{path}/null_counts").unpivot([], profile.KEY_FIELDS, "key", "value")
+    out = nulls.select(F.lit("null_counts").alias("part"), "key", "value")
+    for name, (keys, value) in keyed.items():
+        at = f"{path}/{name}"
+        records = i.spark.read.csv(at, header=True) if name.endswith("_csv") else i.spark.read.json(at)
+        out = out.unionByName(records.select(
+            F.lit(name).alias("part"), F.concat_ws("|", *keys).alias("key"), F.col(value).cast("long").alias("value")))
+    return out
+
+
+def rate_statistics(i: Inputs) -> DataFrame:
+    """Figures of an ingestion whose two overlapping requests return every quote twice."""
+    quotes = i.rates_stg.select(*schemas.RATE_COLUMNS)
+    fetched = quotes.unionByName(quotes)
+    return files.rate_statistics(fetched, files.distinct_quotes(fetched))
+
+
 def stock_flags(i: Inputs) -> DataFrame:
     return i.catalogue_stg.groupBy("in_stock", to_boolean(F.col("in_stock")).alias("flag")).agg(
         F.count("*").alias("n")
@@ -187,6 +213,14 @@ def shipping_segments(i: Inputs) -> DataFrame:
     return cal.date_segments(i.spark, *shipping_bounds(i))
 
 
+def last_shipments(i: Inputs) -> DataFrame:
+    """Shipments of the last 30 days, taking the last shipping day as today."""
+    day = F.to_date("l_shipdate")
+    bounds = cal.last_days(30, shipping_bounds(i)[1])
+    items = i.spark.read.parquet(f"{i.sf_dir}/lineitem.parquet").where(day.between(*bounds))
+    return items.groupBy(day.alias("full_date")).agg(F.count("*").alias("shipments"))
+
+
 def working_days(i: Inputs) -> DataFrame:
     return cal.refresh_working_days(cal.calendar(i.spark), i.t["fact_rates"])
 
@@ -305,6 +339,32 @@ def price_reload(i: Inputs) -> DataFrame:
     )
 
 
+def price_reload_rows(i: Inputs) -> DataFrame:
+    """The rows of the second delivery by their natural keys, with all prices."""
+    now = {**i.t, "dim_product": i.recolored_products}
+    new = facts.new_prices(i.t["fact_prices"], i.recolored, now, i.t["fact_rates"])
+    named = measures.with_attributes(new, now, ["style_color", "country_code", "currency_code"])
+    return named.select(
+        "style_color", "country_code", "date_key", "currency_code", "local_price", "price_pln", "price_eur",
+        "price_usd",
+    )
+
+
+def load_modes(i: Inputs) -> DataFrame:
+    """Audit of an initial load, the same batch again, and its rates alone."""
+    root = i.scratch("modes")
+    batch, quotes = i.catalogue_stg.select(*schemas.CATALOGUE_COLUMNS), i.rates_stg.select(*schemas.RATE_COLUMNS)
+    run_load(i.spark, root, batch, quotes, "initial", demo.SNAPSHOT)
+    run_load(i.spark, root, batch, quotes, "incremental", demo.SNAPSHOT)
+    last = run_load(i.spark, root, None, quotes, "incremental", demo.SNAPSHOT, rates_only=True)
+    return last.run_audit().drop("start_time", "end_time")
+
+
+def model_products(i: Inputs) -> DataFrame:
+    """Products of the model tables after the second delivery: current versions only."""
+    return marts.model_tables({**i.t, "dim_product": i.recolored_products})["dim_product"].drop("etl_load_date")
+
+
 def run_audit(i: Inputs) -> DataFrame:
     return i.wh.run_audit().drop("start_time", "end_time")
 
@@ -318,13 +378,21 @@ def reject_log(i: Inputs) -> DataFrame:
 # --- checks ---------------------------------------------------------------------------------------
 
 
-def audit_drift(i: Inputs) -> DataFrame:
-    """The stored run against a later one that delivers a quarter less."""
+def two_runs(i: Inputs) -> DataFrame:
+    """The audit of the stored run and of a later one that delivers a quarter less."""
     audit = i.wh.run_audit()
     less = audit.withColumn("run_id", F.col("run_id") + 1).withColumn(
         "rows_in", F.floor(F.col("rows_in") * 3 / 4)
     )
-    return quality.volume_drift(audit.unionByName(less))
+    return audit.unionByName(less)
+
+
+def shifted_trace(i: Inputs) -> DataFrame:
+    """The price trace per market over a fact whose prices are off by one in every fifth market."""
+    facts_now = i.t["fact_prices"]
+    off = F.when(F.col("geo_key") % 5 == 0, F.col("local_price") + 1).otherwise(F.col("local_price"))
+    shifted = facts_now.withColumn("local_price", off.cast(facts_now.schema["local_price"].dataType))
+    return quality.price_trace(i.catalogue_stg, {**i.t, "fact_prices": shifted}, ["country_code"])
 
 
 def on_tables(build: Callable, *args, **options) -> Callable[[Inputs], DataFrame]:
@@ -340,8 +408,11 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "s7_currency_map": lambda i: files.currency_map(i.rates_stg),
     "s8_extract": lambda i: profile.extract_rows(i.raw),
     "s8_extract_head": lambda i: files.product_country_extract(
-        files.collapse_sizes(i.raw), 50).drop("product_name", "subcategory"),
+        files.collapse_sizes(i.raw), 50),
     "s9_profile_files": profile_files,
+    "s9_profile_rows": profile_rows,
+    "s4_rate_statistics": rate_statistics,
+    "s11_model_products": model_products,
     "p5_stock_flags": stock_flags,
     "p7_split": split_counts,
     "p8_reject_reasons": rejects,
@@ -349,6 +420,7 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     # calendar
     "d1_calendar": shipping_calendar,
     "d4_working_days": working_days,
+    "d7_last_days": last_shipments,
     "d6_segments": shipping_segments,
     "d6_segment_check": lambda i: quality.long_segments(shipping_segments(i)),
     # joins
@@ -381,6 +453,7 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "w8_quote_dedup": repeated_quotes,
     "o1_top_margins": on_tables(reports.top_margins, 15, 5),
     "o1_top_spreads": on_tables(reports.top_spreads),
+    "o3_latest_run": lambda i: quality.latest_run(two_runs(i)).drop("start_time", "end_time"),
     "o4_trend_listing": on_tables(reports.trend_listing),
     "u2_table_counts": on_tables(reports.table_counts),
     # warehouse maintenance
@@ -391,8 +464,11 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "m9_rate_load": rate_load,
     "m10_price_load": price_load,
     "m10_price_reload": price_reload,
+    "m10_price_reload_rows": price_reload_rows,
     "m12_reject_log": reject_log,
+    "m12_reject_rows": lambda i: i.t["reject_log"].select("source_table", "raw_row", "reject_reason", "load_batch_id"),
     "m13_run_audit": run_audit,
+    "m15_load_modes": load_modes,
     # views
     "v1_price_enriched": on_tables(marts.price_enriched),
     "v2_product_arbitrage": on_tables(marts.product_arbitrage),
@@ -435,6 +511,7 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
         demo.listings(i.spark, i.sf_dir), files.currency_map(i.rates_stg)),
     "q3_completeness": lambda i: quality.completeness(demo.catalogue(i.spark, i.sf_dir), i.catalogue_stg),
     "q4_no_loss": lambda i: quality.no_loss(i.catalogue_stg, i.t),
+    "q4_reconciliation": lambda i: quality.reconciliation(i.catalogue_stg, i.t),
     "q5_rejects_explained": on_tables(quality.rejects_explained),
     "q5_table_a_coverage": on_tables(quality.table_a_coverage),
     "q7_rate_key": lambda i: quality.duplicate_keys(
@@ -446,8 +523,9 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "q8_conversion_error": lambda i: quality.conversion_error(i.t, i.catalogue_stg),
     "q8_margin_recheck": on_tables(quality.margin_recheck),
     "q9_price_trace": lambda i: quality.price_trace(i.catalogue_stg, i.t),
+    "q9_shifted_prices": shifted_trace,
     "q10_reload_growth": lambda i: quality.reload_growth(i.t, i.rates_stg),
-    "q11_volume_drift": audit_drift,
+    "q11_volume_drift": lambda i: quality.volume_drift(two_runs(i)),
 }
 
 

@@ -77,6 +77,7 @@ def rates_job(spark: SparkSession, args: argparse.Namespace) -> None:
     unique = files.distinct_quotes(quotes)
     files.write_rates_csv(unique, f"{args.out}/rates")
     files.write_currency_map(unique, f"{args.out}/currency_map")
+    files.rate_statistics(quotes, unique).write.mode("overwrite").json(f"{args.out}/statistics")
 
 
 def profile_job(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -98,6 +98,7 @@ def date_segments(
     )
 
 
-def last_days(days: int) -> tuple[Column, Column]:
+def last_days(days: int, today: Column | None = None) -> tuple[Column, Column]:
     """Range bounds of an incremental request: the last ``days`` days up to today."""
-    return F.date_sub(F.current_date(), days), F.current_date()
+    end = F.current_date() if today is None else today
+    return F.date_sub(end, days), end

@@ -125,11 +125,12 @@ def valid_rows(catalogue_stg: DataFrame) -> DataFrame:
 
 
 def unique_rows(catalogue_stg: DataFrame) -> DataFrame:
-    """First valid row per (style, country, snapshot day) of a batch."""
+    """First valid row per (style, country, snapshot day) of a batch: the lowest price, as a number."""
     dated = valid_rows(catalogue_stg).withColumn(
         "snapshot_day", to_date_or_null(F.col("snapshot_date"))
     ).drop("snapshot_date", "load_batch_id")
-    return first_row(dated, ["style_color", "country_code", "snapshot_day"], ["price_local"])
+    number = local_price(F.col("price_local"))
+    return first_row(dated, ["style_color", "country_code", "snapshot_day"], [number, "price_local"])
 
 
 def category_labels(dim_category: DataFrame) -> DataFrame:
@@ -172,6 +173,15 @@ def priced(keyed: DataFrame, rates: DataFrame) -> DataFrame:
     return fact_columns(lookup_join(keyed, by_code, ["currency"], "left"), eur, usd)
 
 
+def fitting(price: Column, local: Column, *rates: Column) -> Column:
+    """A converted price; one that exists but does not fit its column fails the load."""
+    asked = local.isNotNull()
+    for rate in rates:
+        asked = asked & (rate > 0)
+    message = F.concat(F.lit("converted price out of range: "), local.cast("string"))
+    return F.when(asked & price.isNull(), F.raise_error(message)).otherwise(price)
+
+
 def fact_columns(rows: DataFrame, eur: Column, usd: Column) -> DataFrame:
     local, mid = local_price(F.col("price_local")), F.col("mid_rate")
     return rows.select(
@@ -180,9 +190,9 @@ def fact_columns(rows: DataFrame, eur: Column, usd: Column) -> DataFrame:
         local.alias("local_price"),
         local_price(F.col("sale_price_local")).alias("sale_price_local"),
         to_decimal(F.col("discount_pct"), 6, 2).alias("discount_pct"),
-        convert(local, mid).alias("price_pln"),
-        convert_cross(local, mid, eur).alias("price_eur"),
-        convert_cross(local, mid, usd).alias("price_usd"),
+        fitting(convert(local, mid), local, mid).alias("price_pln"),
+        fitting(convert_cross(local, mid, eur), local, mid, eur).alias("price_eur"),
+        fitting(convert_cross(local, mid, usd), local, mid, usd).alias("price_usd"),
         to_boolean(F.col("in_stock")).alias("in_stock"),
         F.lit(True).alias("is_catalogue_price"),
         F.current_timestamp().alias("etl_load_date"),

@@ -51,6 +51,16 @@ def no_loss(catalogue_stg: DataFrame, t: Tables) -> DataFrame:
     )
 
 
+def reconciliation(catalogue_stg: DataFrame, t: Tables) -> DataFrame:
+    """Staged rows against stored prices plus logged rejects, by count alone."""
+    prices = t["fact_prices"].select(F.count("*").alias("n")).scalar()
+    refused = t["reject_log"].select(F.count("*").alias("n")).scalar()
+    return catalogue_stg.agg(F.count("*").alias("staged")).select(
+        "staged", prices.alias("stored"), refused.alias("rejected"),
+        (F.col("staged") == prices + refused).alias("passed"),
+    )
+
+
 def rejects_explained(t: Tables) -> DataFrame:
     """Bad prices in the fact, and rejects by kind of reason."""
     bad = t["fact_prices"].where("local_price <= 0").select(F.count("*").alias("n")).scalar()
@@ -139,8 +149,8 @@ def margin_recheck(t: Tables) -> DataFrame:
     )
 
 
-def price_trace(catalogue_stg: DataFrame, t: Tables) -> DataFrame:
-    """Every loaded price followed from staging through the fact to the view."""
+def price_trace(catalogue_stg: DataFrame, t: Tables, by: list[str] | None = None) -> DataFrame:
+    """Every loaded price followed from staging through the fact to the view, per group of ``by``."""
     staged = facts.unique_rows(catalogue_stg).select(
         "style_color", "country_code", F.col("snapshot_day").alias("snapshot_date"),
         local_price(F.col("price_local")).alias("staged_price"),
@@ -152,7 +162,7 @@ def price_trace(catalogue_stg: DataFrame, t: Tables) -> DataFrame:
     gap = F.greatest("staged_price", "fact_price", "view_price") - F.least(
         "staged_price", "fact_price", "view_price"
     )
-    return traced.agg(
+    return traced.groupBy(*(by or [])).agg(
         F.count("*").alias("traced"),
         F.count_if(gap >= F.lit("0.01").cast("decimal(3,2)")).alias("deviating"),
     )

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from crossmart.functions import is_sensible, price_bucket
 from crossmart.functions.markets import per_market
+from crossmart.functions.pricing import percent_gap
 from crossmart.plans import marts, measures
 
 Tables = dict[str, DataFrame]
 
 # --- fixed values: currencies of the history chart and of the trend listing ------------------
+NAME_CHARS = 30
 CHART_CURRENCIES = ["USD", "EUR", "GBP", "CHF"]
 TREND_CURRENCIES = ["USD", "EUR", "GBP", "JPY", "TRY", "ZAR", "CHF", "KRW"]
 # -----------------------------------------------------------------------------------------------
@@ -146,7 +148,10 @@ def outliers_by_market(t: Tables, limit: int = 20000) -> DataFrame:
 
 
 def top_spreads(t: Tables, count: int = 10, min_markets: int = 5) -> DataFrame:
-    """Largest price spreads among products in many markets, outliers included."""
+    """Largest price spreads among products in many markets, outliers included.
+
+    Prices are listed with two decimals, the margin with one, names up to ``NAME_CHARS``.
+    """
     gaps = (
         per_market(t["fact_prices"].where(F.col("price_pln").isNotNull()))
         .groupBy("product_key")
@@ -158,9 +163,13 @@ def top_spreads(t: Tables, count: int = 10, min_markets: int = 5) -> DataFrame:
         .withColumn("spread_pln", F.col("max_pln") - F.col("min_pln"))
     )
     products = t["dim_product"].select("product_key", "style_color", "product_name")
-    return (
-        gaps.join(products, "product_key").drop("product_key")
-        .orderBy(F.desc("spread_pln"), "style_color").limit(count)
+    first = gaps.join(products, "product_key").orderBy(F.desc("spread_pln"), "style_color").limit(count)
+    money = "decimal(14,2)"
+    return first.select(
+        "style_color", F.substring("product_name", 1, NAME_CHARS).alias("product_name"), "n_markets",
+        F.col("min_pln").cast(money).alias("min_pln"), F.col("max_pln").cast(money).alias("max_pln"),
+        F.col("spread_pln").cast(money).alias("spread_pln"),
+        percent_gap(F.col("max_pln"), F.col("min_pln")).cast("decimal(18,1)").alias("margin_pct"),
     )
 
 

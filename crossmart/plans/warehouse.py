@@ -45,7 +45,10 @@ STAGING = {
     "staging_rates": schemas.text_schema(schemas.RATE_COLUMNS).add("load_batch_id", "integer"),
     "staging_catalogue": schemas.text_schema(schemas.CATALOGUE_COLUMNS).add("load_batch_id", "integer"),
 }
+WORK = ["currency", "pairs", "products", "rates"]
 PACKAGE = "crossmart.load"
+#: Successful runs whose staging and dimension tables stay readable.
+KEPT_RUNS = 3
 
 
 class Warehouse:
@@ -175,12 +178,15 @@ def run_load(
     load_date: date | None = None,
     rates_only: bool = False,
     unique: bool = False,
+    keep: int = KEPT_RUNS,
 ) -> Warehouse:
     """One warehouse load with its audit trail; returns the warehouse after the load.
 
     Modes only label the run: the load logic is the same and repeatable. ``rates_only``
     leaves the staged catalogue of earlier runs alone and loads no prices. ``unique``
-    says that ``catalogue`` holds one row per style, country and snapshot.
+    says that ``catalogue`` holds one row per style, country and snapshot; the load fails
+    if that is not so. Staging and dimension folders of the last ``keep`` successful runs
+    stay, older ones are removed after a successful load, facts never are.
     """
     if mode not in MODES:
         raise ValueError(f"mode is one of {MODES}")
@@ -191,6 +197,9 @@ def run_load(
     run = (highest or 0) + 1
     label = mode.upper() + (f"-{RATES_ONLY}" if rates_only else "")
     log_event(spark, before.root, run, label, "RUNNING")
+    started = before.run_events().where(F.col("run_id") == run).count()
+    if started != 1:  # both loads write before they look, so at most one of them goes on
+        raise RuntimeError(f"another load has taken run {run} of {root}")
     try:
         staged = stage_batch(before, run, None if rates_only else catalogue, rates)
         counts = load_warehouse(before, run, staged, load_date or date.today(), unique)
@@ -198,7 +207,24 @@ def run_load(
         log_event(spark, before.root, run, label, "FAILED", str(error))
         raise
     log_event(spark, before.root, run, label, "SUCCESS", "OK", **counts)
-    return Warehouse(spark, root)
+    after = Warehouse(spark, root)
+    remove_old_folders(after, run, keep)
+    return after
+
+
+def remove_old_folders(state: Warehouse, run: int, keep: int) -> None:
+    """Drop the work tables of this run, and tables of runs that none of the last ``keep`` needs.
+
+    Readers that opened the warehouse up to ``keep - 1`` loads ago still find their tables.
+    """
+    paths = state.spark._jvm.org.apache.hadoop.fs.Path
+    fs = paths(state.root).getFileSystem(state.spark._jsc.hadoopConfiguration())
+    for name in WORK:
+        fs.delete(paths(state.path(f"work_{name}", run)), True)
+    for name in [*STAGING, *DIMENSIONS]:
+        runs = state.price_runs if name == "staging_catalogue" else state.runs
+        for old in runs[: -max(keep, 1)]:
+            fs.delete(paths(state.path(name, old)), True)
 
 
 def stage_batch(
@@ -287,6 +313,8 @@ def load_warehouse(
         facts.new_prices(old["fact_prices"], catalogue_stg, now, now["fact_rates"], unique, rates),
         state.path("fact_prices", run), first == last,
     )
+    if unique and added.groupBy("price_key").count().where("count > 1").limit(1).count():
+        raise ValueError("the catalogue repeats a style, country and snapshot; load it without unique")
     return {
         "rows_in": seen["in"],
         "rows_out": rows_out + added.count(),

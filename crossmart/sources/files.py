@@ -111,6 +111,25 @@ def distinct_quotes(rates: DataFrame) -> DataFrame:
     return first_row(rates, ["effective_date", "code", "table_type"], ["table_no"])
 
 
+def rate_statistics(fetched: DataFrame, kept: DataFrame) -> DataFrame:
+    """One row about an ingestion: rows before and after dedup, codes per table, quoted days."""
+    best = currency_map(kept).agg(
+        F.count("*").alias("currencies"),
+        *[F.count_if(F.col("nbp_table_type") == t).alias(f"currencies_{t.lower()}") for t in "ABC"],
+    )
+    # days are grouped first, so no task gathers the quotes of all days
+    days = kept.where(F.col("effective_date").isNotNull()).groupBy("effective_date").agg(F.count("*")).agg(
+        F.min("effective_date").alias("first_day"), F.max("effective_date").alias("last_day"),
+        F.count("*").alias("days"),
+    )
+    rows = lambda df: df.select(F.count("*").alias("n")).scalar()
+    span = days.select(F.struct("first_day", "last_day", "days").alias("s")).scalar()
+    return best.select(
+        rows(fetched).alias("rows_fetched"), rows(kept).alias("rows_kept"), "*",
+        span["first_day"].alias("first_day"), span["last_day"].alias("last_day"), span["days"].alias("days"),
+    )
+
+
 def currency_map(rates: DataFrame) -> DataFrame:
     """Best table per code (A over B over C) and the name seen first in that order."""
     seen = F.struct(

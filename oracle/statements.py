@@ -88,6 +88,10 @@ coverage AS (
          coalesce(any_value(nbp_table_type), 'BRAK') IN ('A', 'B') AS covered
   FROM raw LEFT JOIN code_map ON currency_code = currency GROUP BY currency
 )"""
+KEY_FIELDS = [
+    "sku", "style_color", "model_number", "price_local", "currency", "country_code", "category",
+    "product_name",
+]
 COUNTED = [
     "country_code", "currency", "category", "subcategory", "gender_segment", "snapshot_date",
     "availability_level",
@@ -194,8 +198,8 @@ SELECT style_color, country_code, snapshot_date, model_number, product_name, col
        TRY_CAST(discount_pct AS DOUBLE) AS discount_pct, in_stock, availability_level
 FROM texts""",
         "s8_extract_head": PART(p.FIRST, p.with_texts("texts", "listing_first")) + """
-SELECT style_color, country_code, snapshot_date, model_number, color_name, gender_segment, category,
-       currency, price_local, sale_price_local, discount_pct, in_stock, availability_level
+SELECT style_color, country_code, snapshot_date, model_number, product_name, color_name, gender_segment,
+       category, subcategory, currency, price_local, sale_price_local, discount_pct, in_stock, availability_level
 FROM texts ORDER BY style_color, country_code, snapshot_date LIMIT 50""",
         "s9_profile_files": PART(p.RAW) + """
 SELECT 'summary' AS part, 12::BIGINT AS lines
@@ -206,6 +210,26 @@ UNION ALL SELECT 'markets_histogram', count(DISTINCT n) FROM (
             SELECT count(DISTINCT country_code) AS n FROM raw WHERE style_color IS NOT NULL GROUP BY style_color)
 UNION ALL SELECT 'currency_coverage', count(DISTINCT currency) FROM raw
 UNION ALL SELECT 'currency_coverage_csv', count(DISTINCT currency) FROM raw""",
+        "s9_profile_rows": PART(p.RAW, p.QUOTES, CODE_MAP, COVERAGE) + """
+, counts AS (""" + " UNION ALL ".join(
+            f"SELECT '{c}' AS field, {c}::VARCHAR AS value, count(*) AS n FROM raw WHERE {c} IS NOT NULL GROUP BY ALL"
+            for c in COUNTED) + """)
+""" + " UNION ALL ".join(
+            f"SELECT 'null_counts' AS part, '{c}' AS key, count(*) - count({c}) AS value FROM raw" for c in KEY_FIELDS) + """
+UNION ALL SELECT 'value_counts', field || '|' || value, n FROM counts
+UNION ALL (SELECT 'top_subcategories', value, n FROM counts WHERE field = 'subcategory' ORDER BY n DESC, value LIMIT 20)
+UNION ALL SELECT 'markets_histogram', n::VARCHAR, count(*) FROM (
+            SELECT count(DISTINCT country_code) AS n FROM raw WHERE style_color IS NOT NULL GROUP BY style_color) GROUP BY n
+UNION ALL SELECT 'currency_coverage', currency || '|' || nbp_table, rows FROM coverage
+UNION ALL SELECT 'currency_coverage_csv', currency || '|' || nbp_table, rows FROM coverage""",
+        "s4_rate_statistics": PART(p.QUOTES, CODE_MAP) + """
+SELECT 2 * count(*) AS rows_fetched, count(*) AS rows_kept, (SELECT count(*) FROM code_map) AS currencies,
+       (SELECT count(*) FROM code_map WHERE nbp_table_type = 'A') AS currencies_a,
+       (SELECT count(*) FROM code_map WHERE nbp_table_type = 'B') AS currencies_b,
+       (SELECT count(*) FROM code_map WHERE nbp_table_type = 'C') AS currencies_c,
+       min(effective_date) AS first_day, max(effective_date) AS last_day, count(DISTINCT effective_date) AS days
+FROM rates_stg""",
+        "s11_model_products": PART(WH, LATER) + f"SELECT {PRODUCT_COLUMNS} FROM later_product WHERE is_current",
         "p5_stock_flags": staged + """
 SELECT in_stock, CASE in_stock WHEN 'true' THEN true WHEN 'false' THEN false END AS flag, count(*) AS n
 FROM cat_stg GROUP BY 1, 2""",
@@ -231,6 +255,9 @@ SELECT * EXCLUDE (is_nbp_working_day),
                                               AND (SELECT max(effective_date)::DATE FROM rates_stg) THEN false
             ELSE is_nbp_working_day END AS is_nbp_working_day
 FROM dim_date""",
+        "d7_last_days": """
+SELECT l_shipdate::DATE AS full_date, count(*) AS shipments FROM lineitem
+WHERE l_shipdate::DATE >= (SELECT max(l_shipdate::DATE) FROM lineitem) - 30 GROUP BY 1""",
         "d6_segments": f"WITH {SHIPPING} SELECT segment_start, segment_end FROM segments",
         "d6_segment_check": f"""
 WITH {SHIPPING}
@@ -319,10 +346,17 @@ FROM enriched WHERE pln_u BETWEEN 200000000 AND 600000000 ORDER BY pln_u, enrich
 SELECT * REPLACE (left(product_name, 28) AS product_name) FROM arbitrage WHERE n_markets >= 5
 ORDER BY margin_pct DESC, style_color LIMIT 15""",
         "o1_top_spreads": wh + f"""
-SELECT style_color, product_name, count(DISTINCT geo_key)::INT AS n_markets, min(pln_u){U4} AS min_pln,
-       max(pln_u){U4} AS max_pln, (max(pln_u) - min(pln_u)){U4} AS spread_pln
-FROM enriched WHERE pln_u IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT geo_key) >= 5
+SELECT style_color, substr(product_name, 1, 30) AS product_name, count(DISTINCT geo_key)::INT AS n_markets,
+       {p.half_up('min(pln_u)', '100')}{CENT} AS min_pln, {p.half_up('max(pln_u)', '100')}{CENT} AS max_pln,
+       {p.half_up('(max(pln_u) - min(pln_u))', '100')}{CENT} AS spread_pln,
+       {p.half_up('((max(pln_u) - min(pln_u)) * 1000)', 'min(pln_u)')}::DOUBLE / 10 AS margin_pct
+FROM enriched WHERE pln_u IS NOT NULL GROUP BY style_color, enriched.product_name HAVING count(DISTINCT geo_key) >= 5
 ORDER BY max(pln_u) - min(pln_u) DESC, style_color LIMIT 10""",
+        "o3_latest_run": PART(WH, REJECTS) + f"""
+SELECT 2 AS run_id, 'crossmart.load' AS package_name, 'INITIAL' AS load_type,
+       (({RUN_COUNTS}) * 3) // 4 AS rows_in,
+       (SELECT count(*) FROM fact_prices) + (SELECT count(*) FROM fact_rates) AS rows_out,
+       (SELECT count(*) FROM rejected) AS rows_rejected, 'SUCCESS' AS status, 'OK' AS message""",
         "o4_trend_listing": wh + """
 SELECT currency_code, as_of_date, mid_now, mid_30d_ago, change_30d_pct FROM trend
 WHERE currency_code IN ('USD', 'EUR', 'GBP', 'JPY', 'TRY', 'ZAR', 'CHF', 'KRW')""",
@@ -347,6 +381,21 @@ FROM later_keyed WHERE product_key NOT IN (SELECT product_key FROM fact_prices)
 GROUP BY 1, 2""",
         "m12_reject_log": PART(p.STAGED, REJECTS) + """
 SELECT source_table, reject_reason, load_batch_id, count(*) AS n FROM rejected GROUP BY ALL""",
+        "m10_price_reload_rows": PART(WH, LATER, p.facts("later", "later_stg", "later_product")) + f"""
+SELECT style_color, country_code, date_key, currency AS currency_code, local_u{CENT} AS local_price,
+       pln_u{U4} AS price_pln, eur_u{U4} AS price_eur, usd_u{U4} AS price_usd
+FROM (SELECT later_keyed.*,
+             {p.price_columns('local_u', 'mid_u', '(SELECT eur FROM cross_rates)', '(SELECT usd FROM cross_rates)')}
+      FROM later_keyed LEFT JOIN snap_rates ON currency_code = currency
+      WHERE product_key NOT IN (SELECT product_key FROM fact_prices))""",
+        "m12_reject_rows": PART(p.STAGED, REJECTS) + "SELECT * FROM rejected",
+        "m15_load_modes": PART(WH, REJECTS) + f""",
+stored AS (SELECT (SELECT count(*) FROM fact_prices) + (SELECT count(*) FROM fact_rates) AS n)
+SELECT r.run_id, 'crossmart.load' AS package_name, r.load_type,
+       CASE WHEN r.run_id < 3 THEN {RUN_COUNTS} ELSE (SELECT count(*) FROM rates_stg) END AS rows_in,
+       n AS rows_out, CASE WHEN r.run_id < 3 THEN (SELECT count(*) FROM rejected) ELSE 0 END AS rows_rejected,
+       'SUCCESS' AS status, 'OK' AS message
+FROM stored, (VALUES (1, 'INITIAL'), (2, 'INCREMENTAL'), (3, 'INCREMENTAL-RATES_ONLY')) r(run_id, load_type)""",
         "m13_run_audit": PART(WH, REJECTS) + f"""
 SELECT 1 AS run_id, 'crossmart.load' AS package_name, 'INITIAL' AS load_type, {RUN_COUNTS} AS rows_in,
        (SELECT count(*) FROM fact_prices) + (SELECT count(*) FROM fact_rates) AS rows_out,
@@ -473,6 +522,10 @@ SELECT (SELECT count(*) FROM cat_stg_grain) AS source_rows, count(*) AS staged_r
 SELECT count(*) AS valid_rows, count(*) AS valid_grain_rows, (SELECT count(*) FROM fact_prices) AS matched_rows,
        count(*) - (SELECT count(*) FROM fact_prices) AS lost_rows
 FROM cat_stg WHERE {VALID}""",
+        "q4_reconciliation": PART(WH, REJECTS) + """
+SELECT s AS staged, f AS stored, r AS rejected, s = f + r AS passed
+FROM (SELECT (SELECT count(*) FROM cat_stg) AS s, (SELECT count(*) FROM fact_prices) AS f,
+             (SELECT count(*) FROM rejected) AS r)""",
         "q5_rejects_explained": PART(p.STAGED, REJECTS) + """
 SELECT count(*) AS rejects, count(*) FILTER (reject_reason LIKE 'price%') AS price_rejects,
        count(*) FILTER (reject_reason IS NULL) AS unexplained, 0::BIGINT AS bad_prices_in_fact FROM rejected""",
@@ -499,6 +552,9 @@ SELECT count(*) AS products,
        count(*) FILTER (max_price_pln > 50000) AS outliers_listed
 FROM arbitrage JOIN gaps USING (style_color)""",
         "q9_price_trace": wh + "SELECT count(*) AS traced, 0::BIGINT AS deviating FROM fact_prices",
+        "q9_shifted_prices": wh + """
+SELECT country_code, count(*) AS traced, count(*) FILTER (geo_key % 5 = 0) AS deviating
+FROM fact_prices JOIN geo USING (geo_key) GROUP BY 1""",
         "q10_reload_growth": wh + "SELECT count(*) AS rows_before, 0::BIGINT AS rows_added FROM fact_rates",
         "q11_volume_drift": wh + f"""
 SELECT 1 AS run_id, 'INITIAL' AS load_type, {RUN_COUNTS} AS rows_in, NULL::BIGINT AS previous_rows_in,
