@@ -234,3 +234,47 @@ def test_views_are_registered_for_sql(spark, loaded):
     assert (row.style_color, row.n_markets, row.cheapest_cc, row.dearest_cc) == ("S1", 2, "US", "GB")
     assert row.margin_pct == Decimal("9.8") and row.arbitrage_status == "LOW (<10%)"
     assert spark.sql("SELECT * FROM v_kpi_summary").head().arbitrage_products == 1
+
+
+def test_a_price_too_large_for_its_column_fails_the_load(spark, tmp_path):
+    huge = builders.catalogue(spark, {"price_local": "9999999999"})
+    with pytest.raises(Exception, match="out of range"):
+        run_load(spark, str(tmp_path), huge, builders.rates(spark, *RATES), "initial", DAY)
+    assert Warehouse(spark, str(tmp_path)).runs == []
+
+
+def test_a_false_promise_of_unique_rows_fails_the_load(spark, tmp_path):
+    twice = builders.catalogue(spark, {}, {"price_local": "120"})
+    with pytest.raises(ValueError, match="repeats"):
+        run_load(spark, str(tmp_path), twice, builders.rates(spark, *RATES), "initial", DAY, unique=True)
+    assert Warehouse(spark, str(tmp_path)).runs == []
+
+
+def test_duplicates_are_ordered_as_numbers(spark):
+    staged = stage_catalogue(builders.catalogue(spark, {"price_local": "1000.00"}, {"price_local": "99.00"}), 1)
+    assert [r.price_local for r in facts.unique_rows(staged).collect()] == ["99.00"]
+
+
+def test_old_staging_and_dimension_folders_are_removed(spark, tmp_path):
+    root, rates = str(tmp_path), builders.rates(spark, *RATES)
+    for mode in ("initial", "incremental"):
+        wh = run_load(spark, root, builders.catalogue(spark, *ROWS), rates, mode, DAY, keep=1)
+    left = {p.name: sorted(r.name for r in p.glob("run=*")) for p in tmp_path.iterdir() if p.is_dir()}
+    assert left["staging_catalogue"] == left["dim_product"] == ["run=2"]
+    assert left["fact_prices"] == ["run=1", "run=2"]
+    assert not any(runs for name, runs in left.items() if name.startswith("work_"))
+    assert wh.table("fact_prices").count() == 5 and wh.table("dim_product").count() > 0
+
+
+def test_two_loads_cannot_share_a_run(spark, tmp_path, monkeypatch):
+    from crossmart.plans import warehouse
+
+    write = warehouse.log_event
+
+    def both(*args, **figures):
+        write(*args, **figures)
+        write(*args, **figures)
+
+    monkeypatch.setattr(warehouse, "log_event", both)
+    with pytest.raises(RuntimeError, match="another load"):
+        run_load(spark, str(tmp_path), builders.catalogue(spark, {}), builders.rates(spark, *RATES), "initial", DAY)
