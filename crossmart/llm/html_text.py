@@ -247,7 +247,7 @@ def train(pages: DataFrame, key: str = "page_id", html: str = "html", sample: in
                     yield pd.DataFrame({"id": name, "label": np.array(y, dtype=float), "x": list(x)}, columns=["id", "label", "x"])
 
     found = drawn.mapInPandas(rows, "id string, label double, x array<double>")
-    nodes = stage(found.select("label", "x").coalesce(1).sortWithinPartitions("label", "x"), "nodes")  # a bounded sample
+    nodes = stage(found.select("label", "x").repartition(1).sortWithinPartitions("label", "x"), "nodes")  # a bounded sample meets here, the pages are read by many tasks
     if nodes.select("label").distinct().count() < 2:
         return []
     ready = nodes.select("label", array_to_vector("x").alias("features"))
