@@ -25,7 +25,11 @@ from crossmart.llm.common import stage, unit_hash
 SAMPLE_PAGES = 300
 TREES, DEPTH = 12, 3
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg select option button".split())
+RAW = frozenset("script style noscript template textarea title iframe svg select".split())
+#: Raw elements that last to the end of the page without an end tag; the others then end with their parent.
+ENDLESS = frozenset("script style textarea title iframe".split())
+#: Elements in which no text is shown, however deep.
+HIDDEN = frozenset("noscript template svg select option button".split())
 SILENT = frozenset("script style noscript template iframe svg head title select option button textarea form".split())
 INLINE = frozenset("a abbr b bdi bdo cite code data del dfn em font i ins kbd label mark q s samp small span strong sub sup time tt u var wbr".split())
 #: Elements whose start tag ends an open p.
@@ -42,6 +46,7 @@ BAD = re.compile(
 DECOYS = ("comments", "sidebar", "related", "newsletter", "cookie-notice", "advert", "promo", "share-bar", "menu")
 BAD_TAGS = frozenset("nav header footer aside form menu dialog".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
+END_TAG = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I) for tag in RAW}
 ATTRIBUTE = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 SPACE = re.compile(r"\s+")
 FEATURES = (
@@ -51,7 +56,7 @@ FEATURES = (
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "children", "depth", "own", "total", "linked", "tags", "inside", "around", "bad")
+    __slots__ = ("tag", "attrs", "parent", "children", "depth", "own", "total", "linked", "tags", "inside", "around", "bad", "hidden")
 
     def __init__(self, tag: str, attrs: str, parent: Node | None):
         self.tag, self.parent, self.children = tag, parent, []
@@ -60,6 +65,7 @@ class Node:
         self.depth = parent.depth + 1 if parent else 0
         self.own = self.total = self.linked = 0
         self.tags, self.around = 1, False
+        self.hidden = bool(parent and parent.hidden) or tag in HIDDEN
         self.inside = bool(parent and parent.inside) or tag in ("article", "main") or "articleBody" in self.attrs
         self.bad = bool(parent and parent.bad) or tag in BAD_TAGS or bool(self.attrs and BAD.search(self.attrs) and not GOOD.search(self.attrs))
 
@@ -68,25 +74,23 @@ def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
     """Nodes in document order, and the page's text pieces as (node, text); a break is a piece of one space.
 
     Unclosed elements end with their parent, end tags without a start are ignored, an open
-    p or list item ends where HTML says so. Text of scripts and the like is no text.
+    p or list item ends where HTML says so. Text of scripts and the like is no text; what is
+    between their start and the next end tag of the same name is not read as markup.
     """
+    page = page or ""
     root = Node("#root", "", None)
-    nodes, at, pieces, raw = [root], [0], [], None
-    for m in TOKEN.finditer(page or ""):
+    nodes, at, pieces, place, endless = [root], [0], [], 0, set()
+    while m := TOKEN.match(page, place):
+        place = m.end()
         close, tag, attrs = m.group(1), m.group(2), m.group(3)
         if tag is None:
-            if raw is None and m.group()[0] != "<" or m.group() == "<":
+            if m.group()[0] != "<" or m.group() == "<":
                 top = nodes[at[-1]]
-                if raw is None and not (top.tag in SILENT):
+                if not (top.hidden or top.tag in SILENT):
                     text = references.unescape(m.group())
                     pieces.append((at[-1], text))
             continue
         tag = tag.lower()
-        if raw is not None:
-            if close and tag == raw:
-                raw = None
-                at.pop()
-            continue
         if close:
             for i in range(len(at) - 1, 0, -1):
                 if nodes[at[i]].tag == tag:
@@ -107,7 +111,7 @@ def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
                 if nodes[at[i]].tag in SIBLINGS[tag]:
                     del at[i:]
                     break
-                if nodes[at[i]].tag in ("ul", "ol", "dl", "table", "select"):
+                if nodes[at[i]].tag in ("ul", "ol", "dl", "table", "select", "datalist"):
                     break
         if tag in VOID:
             if tag in ("br", "hr"):
@@ -122,7 +126,12 @@ def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
         if attrs.endswith("/") and tag not in INLINE and tag in RAW:
             at.pop()
         elif tag in RAW:
-            raw = tag
+            end = None if tag in endless else END_TAG[tag].search(page, place)
+            if not end:
+                endless.add(tag)
+            if end or tag in ENDLESS:
+                place = end.end() if end else len(page)
+                at.pop()
     return nodes, pieces
 
 
@@ -176,8 +185,8 @@ def weak_labels(nodes: list[Node]) -> list[int]:
     """1 for nodes of the main text and around it, see the module text."""
     marked = any(n.inside for n in nodes)
     if marked:
-        return [int((n.inside or n.around) and not n.bad and n.tag not in SILENT) for n in nodes]
-    return [int(not n.bad and n.tag not in SILENT and n.total >= 25 and n.linked < 0.3 * n.total) for n in nodes]
+        return [int((n.inside or n.around) and not n.bad and not n.hidden and n.tag not in SILENT) for n in nodes]
+    return [int(not n.bad and not n.hidden and n.tag not in SILENT and n.total >= 25 and n.linked < 0.3 * n.total) for n in nodes]
 
 
 def logits(trees: list[dict], x: np.ndarray) -> np.ndarray:

@@ -331,6 +331,19 @@ def test_closed_nodes_hide_everything_below(spark):
     assert html_text.extracted(pages.where("false")).count() == 0
 
 
+def test_scripts_and_open_options_hide_no_text_behind_them():
+    def shown(page):
+        nodes, pieces = html_text.parse(page)
+        return " ".join("".join(t for _, t in pieces).split())
+
+    for inner in ("for(i=0;i<n;i++){f(i)}", "var x='<!--';", "if(a<b){c='</p>'}", 'x="<a href=\'";'):
+        assert shown(f"<p>one<script>{inner}</script><p>two</p>") == "one two"
+        assert shown(f"<p>one<style>{inner}</STYLE ><p>two</p>") == "one two"
+    assert shown("<p>one<datalist><option>a<option>b</datalist><p>two</p>") == "one two"
+    assert shown("<p>one<button><span>press</span></button> two<div><button>press<p>on</div>three") == "one two three"
+    assert shown("<p>one<div><select><option>a</div>two") == "one two" and shown("<p>one<script>f(a<b)<p>gone") == "one"
+
+
 # --- chat ---------------------------------------------------------------------------------
 
 
