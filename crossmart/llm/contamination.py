@@ -1,9 +1,10 @@
 """Benchmark decontamination on templates: numbers, units and names become typed slots.
 
 Two texts with the same wording but other parameters share their template. Windows of five
-template words are joined on their hash. Windows that match at one offset are one occurrence,
-whose slots must be consistent: a benchmark value always stands for the same document value,
-and the reverse. Windows made of slots alone must also agree in their values.
+template words are joined on their hash. Windows that match at one offset are one occurrence.
+In it a benchmark value stands for the document value that most windows bind to it; windows
+that bind another one do not count, unless all of their own slots are unchanged. Two benchmark
+values may stand for one document value. Windows made of slots alone must agree in their values.
 """
 
 from __future__ import annotations
@@ -102,11 +103,31 @@ def windows(df: DataFrame, key: str, text: str) -> DataFrame:
     return found.select("id", n.alias("n_windows"), "place", F.col("_x.h").alias("h"), F.col("_x.slots").alias("slots"))
 
 
-def bindings(seen: Column) -> Column:
-    """Distinct (benchmark value, document value) pairs of matched (b, d) slot strings."""
-    pairs = F.flatten(F.transform(seen, lambda x: F.arrays_zip(
-        F.split(x["b"], BETWEEN, -1).alias("b"), F.split(x["d"], BETWEEN, -1).alias("d"))))
-    return F.array_distinct(F.filter(pairs, lambda p: p["b"] != ""))
+def pairs_of(b: Column, d: Column) -> Column:
+    """(benchmark value, document value) of every slot in two slot strings."""
+    both = F.arrays_zip(F.split(b, BETWEEN, -1).alias("b"), F.split(d, BETWEEN, -1).alias("d"))
+    return F.filter(both, lambda p: p["b"] != "")
+
+
+def voted(pairs: Column) -> Column:
+    """For each benchmark value the pair that most windows bind; of equal votes the unchanged value, then the largest."""
+
+    def settled(every, distinct):
+        def votes(p):
+            return F.struct(F.size(F.filter(every, lambda q: q == p)).alias("n"), (p["b"] == p["d"]).alias("same"), p["d"].alias("d"))
+
+        ranked = F.transform(distinct, lambda p: F.struct(p["b"].alias("b"), p["d"].alias("d"), votes(p).alias("votes")))
+        best = let(ranked, lambda r: F.filter(r, lambda x: ~F.exists(r, lambda y: (y["b"] == x["b"]) & (y["votes"] > x["votes"]))))
+        once = F.size(F.array_distinct(F.transform(distinct, lambda p: p["b"]))) == F.size(distinct)
+        return F.when(once, distinct).otherwise(F.transform(best, lambda x: F.struct(x["b"].alias("b"), x["d"].alias("d"))))
+
+    return let(pairs, lambda every: let(F.array_distinct(every), lambda distinct: settled(every, distinct)))
+
+
+def standing(seen: Column) -> Column:
+    """The matched (at, b, d) windows with slots that are unchanged, or bind only what the occurrence voted for."""
+    return let(voted(F.flatten(F.transform(seen, lambda x: pairs_of(x["b"], x["d"])))), lambda bound: F.filter(
+        seen, lambda x: (x["b"] == x["d"]) | F.forall(pairs_of(x["b"], x["d"]), lambda p: F.exists(bound, lambda q: q == p))))
 
 
 def contaminated(
@@ -115,8 +136,8 @@ def contaminated(
 ) -> DataFrame:
     """(doc_id, item_id, n_matched, n_windows, n_slots, n_changed) of every leaked benchmark item.
 
-    n_matched counts the item's windows found in consistent occurrences, n_slots its bound slot
-    values and n_changed those with another value in the document (0: leaked as it is).
+    n_matched counts the item's windows that stand in an occurrence, n_slots the slot values bound
+    in them and n_changed those with another value in the document (0: these windows are as they are).
     An item leaks if n_matched is at least ``threshold`` of its windows. Null and blank texts
     leak nothing; repeated rows are one document or item; empty tables give no rows.
     """
@@ -126,15 +147,16 @@ def contaminated(
     small = asked.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
     told = windows(docs, key, text).select(F.col("id").alias("doc_id"), "place", "h", F.col("slots").alias("d"))
     met = told.join(F.broadcast(asked) if small else asked, "h")
-    slots = F.when(F.regexp_replace("b", BETWEEN, "") != "", F.struct("b", "d"))
+    has_slots = F.regexp_replace("b", BETWEEN, "") != ""
     occurrence = met.groupBy("doc_id", "item_id", "n_windows", (F.col("place") - F.col("at")).alias("offset")).agg(
-        F.collect_set("at").alias("places"), F.collect_set(slots).alias("seen"))
-    bound = occurrence.withColumn("bound", bindings(F.col("seen")))
-    distinct = lambda side: F.size(F.array_distinct(F.transform("bound", lambda p: p[side])))
-    consistent = bound.where((distinct("b") == F.size("bound")) & (distinct("d") == F.size("bound")))
-    changed = F.size(F.filter("bound", lambda p: p["b"] != p["d"]))
-    per_place = consistent.select(
-        "doc_id", "item_id", "n_windows", F.size("bound").alias("slots"), changed.alias("changed"), F.explode("places").alias("at"))
+        F.collect_set(F.when(~has_slots, F.col("at"))).alias("plain"), F.collect_set(F.when(has_slots, F.struct("at", "b", "d"))).alias("seen"))
+    stood = occurrence.withColumn("stood", F.when(F.size("seen") > 0, standing(F.col("seen"))).otherwise(F.col("seen")))
+    bound = stood.withColumn("bound", F.flatten(F.transform("stood", lambda x: pairs_of(x["b"], x["d"]))))
+    values = lambda pairs: F.size(F.array_distinct(F.transform(pairs, lambda p: p["b"])))
+    per_place = bound.select(
+        "doc_id", "item_id", "n_windows", values(F.col("bound")).alias("slots"),
+        values(F.filter("bound", lambda p: p["b"] != p["d"])).alias("changed"),
+        F.explode(F.array_union("plain", F.transform("stood", lambda x: x["at"]))).alias("at"))
     found = per_place.groupBy("doc_id", "item_id", "n_windows", "at").agg(
         F.max("slots").alias("slots"), F.min("changed").alias("changed"))
     whole = found.groupBy("doc_id", "item_id", "n_windows").agg(

@@ -138,6 +138,17 @@ def test_exact_and_reparameterised_questions_are_found(spark):
     assert got[0][2] == 0 and got[1][2] >= 4
 
 
+def test_one_conflicting_slot_costs_its_own_windows_only(spark):
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60)]
+    item = " ".join([*words[:10], "5", *words[10:50], "5", *words[50:], "3", "end"])
+    once, merged = item[::-1].replace("5", "6", 1)[::-1], item.replace("5", "7").replace("3", "7")
+    several = item.replace("5", "8", 1).replace("5", "9")
+    assert leaks(spark, [(1, item), (2, once), (3, merged), (4, several)], [(1, item)]) == [(1, 1, 0), (2, 1, 0), (3, 1, 2), (4, 1, 1)]
+    found = {r["doc_id"]: r["n_matched"] for r in contamination.contaminated(
+        docs(spark, (1, item), (2, once)), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
+    assert found[1] - found[2] == 5
+
+
 def test_short_items_meet_whole_texts_only(spark):
     items = [(1, "Two words"), (2, ""), (3, None)]
     assert leaks(spark, [(1, "two words."), (2, "now two words more")], items) == [(1, 1, 0)]
