@@ -32,6 +32,8 @@ PUNCTUATION = r"[!-/:-@\[-`{-~]+"
 NAME_MARK, NUMBER_MARK, UNIT_MARK = "\ue001", "\ue002", "\ue003"
 MARKS = "[\ue001-\ue003]"
 NAME = rf"(?<=[\p{{L}}\p{{N}},;]{SPACE})\p{{Lu}}\p{{Ll}}+(?![\p{{L}}\p{{N}}])"
+QUOTES = "[\"'`()\\[\\]{}<>\u00ab\u00bb\u2018-\u201f\u2039\u203a]+"
+QUOTED = rf"{QUOTES}(?=[.,;:!?]*{SPACE})|({SPACE}){QUOTES}"
 EDGES = rf"{PUNCTUATION}(?={SPACE})|({SPACE}){PUNCTUATION}"
 NUMBER = rf"({SPACE})([0-9][0-9.,:/]*(?:st|nd|rd|th)?)(?={SPACE})"
 UNIT = rf"({NUMBER_MARK}{NO_SPACE}+{SPACE}+)({'|'.join(UNITS)})(?={SPACE})"
@@ -43,11 +45,13 @@ def marked(text: Column) -> Column:
     """The text in lower case without ASCII punctuation at word edges, slot words marked.
 
     A capitalised word after a letter, digit, comma or semicolon and one white space is a name,
-    digits are a number, and a unit word right after a number is a unit. One pass a rule over
+    digits are a number, and a unit word right after a number is a unit. Quotation marks and
+    brackets at word edges and further white space go first. One pass a rule over
     the whole text costs far less than rules applied word by word; the passes expect a space
     at both ends.
     """
     padded = F.concat(F.lit(" "), F.regexp_replace(text, MARKS, ""), F.lit(" "))
+    padded = F.regexp_replace(F.regexp_replace(padded, QUOTED, "$1"), SPACE + "+", " ")
     bare = F.regexp_replace(F.lower(F.regexp_replace(padded, NAME, NAME_MARK + "$0")), EDGES, "$1")
     counted = F.regexp_replace(F.regexp_replace(bare, NUMBER, "$1" + NUMBER_MARK + "$2"), UNIT, "$1" + UNIT_MARK + "$2")
     return F.when(text.rlike("[0-9]"), counted).otherwise(bare)
@@ -56,39 +60,50 @@ def marked(text: Column) -> Column:
 def windows(df: DataFrame, key: str, text: str) -> DataFrame:
     """A row per window: id, hash, place, slots (values joined) and the text's number of windows.
 
-    Fewer template words than a window are one window of the whole sequence, which meets
-    other such texts only; a text without words has none.
+    A window with a name has a second row in which names are literal words, so that it meets
+    copies in lower or upper case. Fewer template words than a window are one window of the
+    whole sequence, which meets other such texts only; a text without words has none.
     """
 
     def is_slot(word):
         return F.substring(word, 1, 1).isin(NAME_MARK, NUMBER_MARK, UNIT_MARK)
 
+    def is_name(word):
+        return F.substring(word, 1, 1) == NAME_MARK
+
     def literal(t, i):
         own = F.slice(t, i, WINDOW)
-        return F.struct(F.size(t).alias("n"), F.xxhash64(own).alias("h"), F.lit(NO_SLOTS).alias("slots"))
+        return F.struct(F.size(t).alias("n"), i.alias("place"), F.xxhash64(own).alias("h"), F.lit(NO_SLOTS).alias("slots"))
 
     def slotted(x, i):
         own, values, flags = (F.slice(x[c], i, WINDOW) for c in ("t", "v", "f"))
         h = F.when(F.array_contains(flags, False), F.xxhash64(own)).otherwise(F.xxhash64(F.lit("values"), values))
         slots = F.when(F.array_contains(flags, True), F.concat_ws(BETWEEN, values)).otherwise(NO_SLOTS)
-        return F.struct(F.size(x["t"]).alias("n"), h.alias("h"), slots.alias("slots"))
+        return F.struct(F.size(x["t"]).alias("n"), i.alias("place"), h.alias("h"), slots.alias("slots"))
 
     def with_slots(w):
+        named = let(template(w), slotted_windows)
+        return F.when(~F.exists(w, is_name), named).otherwise(F.concat(named, let(
+            template(F.transform(w, lambda x: F.when(is_name(x), F.substring(x, 2, 1 << 30)).otherwise(x))), lambda x: let(F.transform(w, is_name), lambda names: F.when(
+                F.size(w) >= WINDOW, F.transform(F.filter(at(w), lambda i: F.array_contains(F.slice(names, i, WINDOW), True)), lambda i: slotted(x, i))
+            ).otherwise(slotted_windows(x))))))
+
+    def template(w):
         parts = F.transform(w, lambda x: F.when(is_slot(x), F.struct(
             F.substring(x, 1, 1).alias("t"), x.alias("v"), F.lit(True).alias("f"))).otherwise(F.struct(x.alias("t"), F.lit("").alias("v"), F.lit(False).alias("f"))))
-        return let(parts, lambda p: let(F.struct(*[p[c].alias(c) for c in "tvf"]), slotted_windows))
+        return let(parts, lambda p: F.struct(*[p[c].alias(c) for c in "tvf"]))
 
     def at(t):
         return F.sequence(F.lit(1), F.size(t) - (WINDOW - 1))
 
     def slotted_windows(x):
         whole = F.array(F.struct(
-            F.size(x["t"]).alias("n"), F.xxhash64(F.lit("whole"), x["t"]).alias("h"), F.concat_ws(BETWEEN, x["v"]).alias("slots")))
+            F.size(x["t"]).alias("n"), F.lit(1).alias("place"), F.xxhash64(F.lit("whole"), x["t"]).alias("h"), F.concat_ws(BETWEEN, x["v"]).alias("slots")))
         return F.when(F.size(x["t"]) >= WINDOW, F.transform(at(x["t"]), lambda i: slotted(x, i))).otherwise(whole)
 
     def literal_windows(t):
         whole = F.array(F.struct(
-            F.size(t).alias("n"), F.xxhash64(F.lit("whole"), t).alias("h"), F.array_join(F.transform(t, lambda _: F.lit("")), BETWEEN).alias("slots")))
+            F.size(t).alias("n"), F.lit(1).alias("place"), F.xxhash64(F.lit("whole"), t).alias("h"), F.array_join(F.transform(t, lambda _: F.lit("")), BETWEEN).alias("slots")))
         return F.when(F.size(t) >= WINDOW, F.transform(at(t), lambda i: literal(t, i))).when(F.size(t) > 0, whole)
 
     def every(s):
@@ -98,9 +113,9 @@ def windows(df: DataFrame, key: str, text: str) -> DataFrame:
     all_ = let(marked(F.coalesce(F.col(text), F.lit(""))), every)
     # the outer form keeps Spark from testing the array for rows, and so computing it, a second time
     found = df.select(F.col(key).alias("id"), all_.alias("_all")).select(
-        "id", F.posexplode_outer("_all").alias("place", "_x")).where("place IS NOT NULL")
+        "id", F.explode_outer("_all").alias("_x")).where("_x IS NOT NULL")
     n = F.greatest(F.lit(1), F.col("_x.n") - (WINDOW - 1))
-    return found.select("id", n.alias("n_windows"), "place", F.col("_x.h").alias("h"), F.col("_x.slots").alias("slots"))
+    return found.select("id", n.alias("n_windows"), F.col("_x.place").alias("place"), F.col("_x.h").alias("h"), F.col("_x.slots").alias("slots"))
 
 
 def pairs_of(b: Column, d: Column) -> Column:

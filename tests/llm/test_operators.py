@@ -149,6 +149,15 @@ def test_one_conflicting_slot_costs_its_own_windows_only(spark):
     assert found[1] - found[2] == 5
 
 
+def test_names_are_found_in_any_case_and_behind_quotes_and_blanks(spark):
+    item = "Yesterday the old Baker met Miller near the Bridge and gave Miller 12 rolls for the Feast of that Village"
+    quoted = item.replace("Baker", "\u201eCook\u201c").replace("Miller", "(Smith)").replace(" Bridge", "  'River'")
+    texts = [(1, item), (2, item.lower()), (3, item.upper()), (4, item.lower().replace("12", "40")), (5, quoted), (6, "met miller near the bridge")]
+    assert leaks(spark, texts, [(1, item)]) == [(1, 1, 0), (2, 1, 0), (3, 1, 0), (4, 1, 1), (5, 1, 3)]
+    assert [d for d, _, _ in leaks(spark, texts, [(1, item.lower())])] == [1, 2, 3, 4]
+    assert leaks(spark, [(1, "ask anna now"), (2, "ask Eve now")], [(1, "Ask Anna now")]) == [(1, 1, 0), (2, 1, 1)]
+
+
 def test_short_items_meet_whole_texts_only(spark):
     items = [(1, "Two words"), (2, ""), (3, None)]
     assert leaks(spark, [(1, "two words."), (2, "now two words more")], items) == [(1, 1, 0)]
