@@ -238,13 +238,15 @@ def flat(node, out: list[list]) -> int:
 
 
 def train(pages: DataFrame, key: str = "page_id", html: str = "html", sample: int = SAMPLE_PAGES) -> list[dict]:
-    """Boosted trees from the nodes of about ``sample`` pages, drawn by a hash of their id.
+    """Boosted trees from the nodes of about ``sample`` pages, drawn by a hash of their id and content.
 
+    Rows of one id with other contents are drawn apart, equal rows count once.
     An empty sample, or one without both kinds of nodes, gives no tree; then every node scores
     0, and nothing is kept.
     """
     share = F.lit(float(sample)) / F.greatest(F.lit(1), F.lit(pages.count()))
-    drawn = pages.where(unit_hash(F.lit("pages"), F.col(key)) < share).select(F.col(key).cast("string").alias("id"), F.col(html).alias("html"))
+    known = pages.select(F.col(key).cast("string").alias("id"), F.col(html).alias("html"), F.md5(F.encode(html, "UTF-8")).alias("digest"))
+    drawn = known.where(unit_hash(F.lit("pages"), F.col("id"), F.col("digest")) < share).dropDuplicates(["id", "digest"]).select("id", "html")
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
