@@ -54,15 +54,18 @@ def unit_hash(*parts: Column) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(2**52))
 
 
-def salted_lookup(left: DataFrame, key: str, right: DataFrame, salt_from: list[str], how: str = "left") -> DataFrame:
+def salted_lookup(left: DataFrame, key: str, right: DataFrame, salt_from: list[str], how: str = "left", pinned: bool = False) -> DataFrame:
     """Join ``right`` (one row a key) to ``left`` although a key may hold a large part of ``left``.
 
     ``left`` is dealt by (key, salt); ``right`` is repeated only for the salts its key has there,
     so a cold key costs one row and a hot one ``SALTS`` rows. Null keys find nothing.
+    ``pinned`` asks for a merge join, which cannot turn into a broadcast of a small ``left``
+    with the rows of a key streaming through one task.
     """
     salted = left.withColumn("_salt", F.pmod(F.xxhash64(*salt_from), F.lit(SALTS)))
     present = salted.select(key, "_salt").where(F.col(key).isNotNull()).distinct()
-    return salted.join(present.join(right, key), [key, "_salt"], how).drop("_salt")
+    found = present.join(right, key)
+    return salted.join(found.hint("merge") if pinned else found, [key, "_salt"], how).drop("_salt")
 
 
 def numbered(df: DataFrame, group: list[str], bucket: Column, order: list[Column], name: str) -> DataFrame:
