@@ -92,9 +92,9 @@ f AS (SELECT lang, m, phrase, count(*) AS a FROM runs GROUP BY ALL HAVING count(
 total AS (SELECT lang, sum(len(w)) AS n FROM tok GROUP BY lang),
 cand AS (SELECT lang, m, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE m >= 2),
 absorbed AS (
-  SELECT DISTINCT lang, inner_phrase AS phrase FROM (
+  SELECT DISTINCT s.lang, inner_phrase AS phrase FROM (
     SELECT c.lang, c.a AS longer, unnest([array_to_string(w[:m - 1], ' '), array_to_string(w[2:], ' ')]) AS inner_phrase FROM cand c
-  ) JOIN cand s ON s.lang = lang AND s.phrase = inner_phrase WHERE 100 * longer >= 100 * s.a
+  ) AS o JOIN cand s ON s.lang = o.lang AND s.phrase = inner_phrase WHERE 100 * longer >= 100 * s.a
 ),
 cut AS (
   SELECT lang, phrase, a, k, array_to_string(w[:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS rest

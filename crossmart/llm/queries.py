@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crossmart.llm import (
-    chat, contamination, filter_audit, html_text, minhash, mixing, quality, secret_scan, sharding, simhash, site_lines,
+    chat, contamination, filter_audit, html_text, minhash, mixing, phrases, quality, secret_scan, sharding, simhash, site_lines,
     substrings,
 )
 from crossmart.llm.common import table
@@ -39,6 +39,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": lambda s, d: sharding.sharded(table(s, d, "documents")),
     "op9_chat_formatting": lambda s, d: chat.formatted(table(s, d, "conversations")),
     "op10_line_dedup": line_dedup,
+    "op11_phrase_collocations": lambda s, d: phrases.collocations(table(s, d, "documents")),
     "op12_minhash_near_dedup": lambda s, d: minhash.near_duplicates(table(s, d, "documents")),
     "op13_filter_interactions": lambda s, d: filter_audit.interactions(table(s, d, "documents"), table(s, d, "labels")),
 }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from crossmart.llm import mixing, quality, site_lines
-from crossmart.llm.count_statements import AUDIT, MINHASH
+from crossmart.llm.count_statements import AUDIT, MINHASH, PHRASES
 
 SPACE = r"[\x20\x09-\x0D]"
 
@@ -124,6 +124,7 @@ STATEMENTS: dict[str, str] = {
     "op2_quality_rules": QUALITY,
     "op4_source_mixing": MIXING,
     "op10_line_dedup": SITE_LINES,
+    "op11_phrase_collocations": PHRASES,
     "op12_minhash_near_dedup": MINHASH,
     "op13_filter_interactions": AUDIT,
 }
