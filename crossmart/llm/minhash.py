@@ -9,8 +9,8 @@ shingles themselves, not their hashes, were compared.
 
 Equal word sequences are one node. Buckets are settled in rounds so that a family of near
 copies never becomes all of its pairs: first every member meets one pivot of the bucket, then
-members still in different components meet about 16 pivots, then 256 and so on, until all
-members of a bucket were pivots or share a component. So no link between components is
+members not yet known to be in one component meet about 16 pivots, then 256 and so on, until
+all members of a bucket were pivots or share a component. So no link between components is
 skipped, and pairs inside a component are not needed.
 """
 
@@ -38,6 +38,8 @@ PIVOT_GROWTH = 16
 #: Shingles of a text whose coordinates are computed at once.
 BLOCK = 2048
 KNOWN_WORDS = 1 << 19
+#: Row numbers that are broadcast to fetch candidates' texts; more of them are joined by a shuffle.
+BROADCAST_ROWS = 500_000
 ODD = tuple(np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -148,58 +150,67 @@ def similar(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="bool")
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes whose sets are similar. Sizes settle what they can; texts settle the rest."""
-    sizes = nodes.select("node", "n_shingles")
-    a = salted_lookup(pairs, "a", sizes.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a")), ["b"])
-    b = salted_lookup(a, "b", sizes.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b")), ["a"])
-    fits = 100 * F.least("n_a", "n_b") >= LEAST_PERCENT * F.greatest("n_a", "n_b")
-    asked = stage(b.where(fits).select("a", "b"), "asked")
-    who = asked.select(F.col("a").alias("node")).union(asked.select("b")).distinct()
-    texts = rows.join(who.join(nodes.select("node", "row"), "node").select("row"), "row").select("node", "line")
-    lines = stage(texts, "lines")
-    of_a = salted_lookup(asked, "a", lines.select(F.col("node").alias("a"), F.col("line").alias("line_a")), ["b"])
-    of_b = salted_lookup(of_a, "b", lines.select(F.col("node").alias("b"), F.col("line").alias("line_b")), ["a"])
-    out = stage(of_b.where(similar("line_a", "line_b")).select("a", "b"), "similar")
-    drop_staged(asked)
+def confirmed(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """(a, b) of the pairs (node, row, p, p_row) whose texts have similar sets, written.
+
+    A pivot may have very many partners, so its text is looked up with salts; a node has at
+    most as many pairs as there are pivots in its buckets.
+    """
+    who = pairs.select("row").union(pairs.select("p_row")).distinct()
+    if who.count() <= BROADCAST_ROWS:  # eight bytes each
+        who = F.broadcast(who)
+    lines = stage(rows.join(who, "row"), "lines")
+    mine = pairs.join(lines, "row").select("node", "p", "p_row", F.col("line").alias("a_line"))
+    theirs = lines.select(F.col("row").alias("p_row"), F.col("line").alias("b_line"))
+    both = salted_lookup(mine, "p_row", theirs, ["node"], "inner", pinned=True)
+    out = stage(both.where(similar("b_line", "a_line")).select(F.col("node").alias("a"), F.col("p").alias("b")), "similar")
     drop_staged(lines)
     return out
 
 
+def partial_roots(found: DataFrame) -> DataFrame:
+    """(node, root) of linked nodes: the smallest label two steps away, which is in the node's component."""
+    both = found.select("a", "b").unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("root"))
+    further = near.select(F.col("node").alias("root"), F.col("root").alias("next"))
+    return stage(salted_lookup(near, "root", further, ["node"]).select("node", F.coalesce("next", "root").alias("root")), "near")
+
+
 def links(nodes: DataFrame, rows: DataFrame) -> DataFrame | None:
-    """(node, root) of all linked nodes, or None if nothing is linked."""
-    keyed = nodes.select("node", F.explode("bands").alias("bucket"))
+    """(a, b) links that give all components of nodes, or None if nothing is linked."""
+    keyed = nodes.select("node", "row", "n_shingles", F.explode("bands").alias("bucket"))
     crowds = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("pivot")).where("n > 1")
     members = stage(salted_lookup(keyed, "bucket", crowds, ["node"], "inner", pinned=True), "members")
     share = (F.pmod(F.xxhash64("node", "bucket"), F.lit(1 << 40)) + 1) / F.lit(float(1 << 40)) * F.col("n")
     rank = F.when(F.col("node") == F.col("pivot"), F.lit(0.0)).otherwise(share)
-    ranked = members.select("bucket", "node", "n", rank.alias("rank"))
-    found, roots, reach, before = None, None, 0.0, -1.0
-    most = ranked.agg(F.max("n")).first()[0] or 0
+    ranked = members.select("bucket", "node", "row", "n_shingles", rank.alias("rank"))
+    most = members.agg(F.max("n")).first()[0] or 0
+    found, reach, before = None, 0.0, -1.0
     while before < most:
-        at = ranked.where(F.col("rank") > before)  # earlier pivots have met everybody
-        if roots is not None:
-            at = salted_lookup(at, "node", roots, ["bucket"]).withColumn("root", F.coalesce("root", "node"))
-            at = stage(at, "rooted")
+        at = ranked.where(F.col("rank") > before).withColumn("root", F.col("node"))  # earlier pivots have met everybody
+        pivots = at.where(F.col("rank") <= reach)
+        if found is not None:
+            roots = partial_roots(found)
+            named = at.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            at = stage(named, "rooted")
             spans = at.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
             mixed = stage(spans.where("lo <> hi").select("bucket"), "mixed")
             if not mixed.limit(1).count():
                 break
-            at = salted_lookup(at, "bucket", mixed, ["node"], "inner", pinned=True)
-        else:
-            at = at.withColumn("root", F.col("node"))
-        pivots = at.where(F.col("rank") <= reach).select("bucket", F.col("node").alias("p"), F.col("root").alias("p_root"))
+            pivots = at.where(F.col("rank") <= reach).join(mixed, "bucket")
+        pivots = pivots.select(
+            "bucket", F.col("node").alias("p"), F.col("row").alias("p_row"), F.col("n_shingles").alias("p_n"), F.col("root").alias("p_root"))
+        met = salted_lookup(at, "bucket", pivots, ["node"], "inner", pinned=True)
         apart = (F.col("root") != F.col("p_root")) & ((F.col("rank") > reach) | (F.col("node") > F.col("p")))
-        met = salted_lookup(at, "bucket", pivots, ["node"], "inner", pinned=True).where(apart)
-        pairs = stage(met.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct(), "pairs")
-        new = confirmed(pairs, nodes, rows)
+        fits = 100 * F.least("n_shingles", "p_n") >= LEAST_PERCENT * F.greatest("n_shingles", "p_n")
+        pairs = stage(met.where(apart & fits).select("node", "row", "p", "p_row").distinct(), "pairs")
+        new = confirmed(pairs, rows)
         drop_staged(pairs)
         if new.limit(1).count():
             found = new if found is None else found.unionByName(new)
-            roots = components(found)
         before, reach = reach, (reach or 1.0) * PIVOT_GROWTH
     drop_staged(members)
-    return roots
+    return found
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -213,15 +224,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     worded = rows.where("n_shingles > 0")
     one = worded.groupBy("node").agg(F.min("id").alias("id"), F.min("row").alias("row"), F.max("n_shingles").alias("n_shingles"))
     nodes = stage(one.join(worded.select("row", "bands"), "row"), "nodes")
-    roots = links(nodes, rows.select("row", "node", "line"))
+    found = links(nodes, rows.select("row", "line"))
     named = nodes.select("node", "id")
-    if roots is None:
+    if found is None:
         named = named.select("node", F.col("id").alias("component_id"))
     else:
+        roots = components(found)
         rooted = named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
         named = salted_lookup(rooted, "root", least, ["node"]).select("node", "component_id")
-    found = salted_lookup(rows.select("id", "node", "n_shingles"), "node", named, ["id"])
+    every = salted_lookup(rows.select("id", "node", "n_shingles"), "node", named, ["id"])
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id"))
-    return found.select(F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id")).withColumn(
+    return every.select(F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
