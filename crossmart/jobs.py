@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from crossmart.plans import calendar, profile
 from crossmart.plans.warehouse import MODES, run_load
 from crossmart.sources import files
+from crossmart.sources.split_csv import read_split_csv
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -81,7 +82,7 @@ def rates_job(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def profile_job(spark: SparkSession, args: argparse.Namespace) -> None:
-    raw = files.read_text_csv(spark, args.catalogue, profile.PROFILED)
+    raw = read_split_csv(spark, args.catalogue, profile.PROFILED)
     if args.codes:
         codes = spark.read.schema("currency_code string, nbp_table_type string").json(args.codes)
     else:

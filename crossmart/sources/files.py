@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from crossmart import schemas
 from crossmart.functions import blank_to_null, default_label, table_label, table_rank
 from crossmart.operators.pick import first_row
+from crossmart.sources.split_csv import read_split_csv
 
 
 def read_text_csv(
@@ -16,8 +17,9 @@ def read_text_csv(
 ) -> DataFrame:
     """All-text CSV with a header; only the empty field is NULL, ``NA`` stays text.
 
-    Quoted fields may hold line breaks, which makes a file unsplittable: land large
-    feeds as many files, or pass ``multi_line=False`` where no field holds a break.
+    Quoted fields may hold line breaks, which takes one task a file here: use
+    :func:`crossmart.sources.split_csv.read_split_csv` for large files, or pass
+    ``multi_line=False`` where no field holds a break.
     The file may hold its columns in any order and more of them than asked for.
     """
     reader = spark.read.options(
@@ -28,7 +30,10 @@ def read_text_csv(
 
 
 def read_catalogue_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    return read_text_csv(spark, path, schemas.CATALOGUE_COLUMNS, multi_line)
+    """Catalogue files; quoted line breaks keep no file from being read by many tasks."""
+    if multi_line:
+        return read_split_csv(spark, path, schemas.CATALOGUE_COLUMNS)
+    return read_text_csv(spark, path, schemas.CATALOGUE_COLUMNS, multi_line=False)
 
 
 def read_rates_csv(spark: SparkSession, path: str) -> DataFrame:
