@@ -7,12 +7,13 @@ Layout under one root folder::
     staging_catalogue/run=7/
     dim_*/run=7/                   dimension as of run 7
     reject_log/run=7/
-    fact_rates/run=7/              rows appended by run 7 (a few hundred per day: no day folders)
-    fact_prices/run=7/date_key=.../
+    fact_rates/run=7/              rows appended by run 7, or what compaction 7 merged
+    fact_prices/run=7/             the same, bucketed by product key
+    manifest/run=7/                the fact folders that make up the tables as of run 7
 
-The audit log is the commit record. A reader takes the dimensions of the newest
-successful run and the fact folders of all successful runs, so a failed run leaves
-nothing visible, and a load never rewrites facts that are already stored.
+The audit log is the commit record. A reader takes the dimensions and the manifest of the
+newest successful run, so a failed run leaves nothing visible, and a load never rewrites
+facts that are already stored. Compactions do, into new folders (see ``storage``).
 """
 
 from __future__ import annotations
@@ -23,11 +24,11 @@ from datetime import date
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from crossmart import schemas
-from crossmart.plans import dims, facts
+from crossmart.plans import dims, facts, storage
 from crossmart.plans.calendar import calendar, refresh_working_days
 from crossmart.sources import seeds
 from crossmart.sources.files import stage_catalogue, stage_rates
@@ -47,6 +48,7 @@ STAGING = {
 }
 WORK = ["currency", "pairs", "products", "rates"]
 PACKAGE = "crossmart.load"
+COMPACTION = "COMPACTION"
 #: Successful runs whose staging and dimension tables stay readable.
 KEPT_RUNS = 3
 
@@ -61,8 +63,11 @@ class Warehouse:
             self.run_events().where("status = 'SUCCESS'").select("run_id", "load_type").distinct()
         )
         rows = committed.orderBy("run_id").collect()  # one short row per load ever run
-        self.runs = [r.run_id for r in rows]
-        self.price_runs = [r.run_id for r in rows if not r.load_type.endswith(RATES_ONLY)]
+        self.committed = [r.run_id for r in rows]
+        loads = [r for r in rows if r.load_type != COMPACTION]
+        self.runs = [r.run_id for r in loads]
+        self.price_runs = [r.run_id for r in loads if not r.load_type.endswith(RATES_ONLY)]
+        self.folders = storage.read_manifest(spark, self.root, self.committed[-1]) if rows else []
 
     def path(self, table: str, run: int | None = None) -> str:
         return f"{self.root}/{table}" + (f"/run={run}" if run is not None else "")
@@ -85,18 +90,54 @@ class Warehouse:
             return seeds.geography(self.spark)
         return dims.empty(self.spark, schema)
 
+    def folders_of(self, name: str) -> list[storage.Folder]:
+        return [f for f in self.folders if f.table == name and f.rows]
+
     def _fact(self, name: str) -> DataFrame:
-        # a rates-only run writes no price folder
-        runs = self.price_runs if name == "fact_prices" else self.runs
-        if not runs:
+        paths = [self.path(name, f.run) for f in self.folders_of(name)]
+        if not paths:
             return dims.empty(self.spark, FACTS[name])
-        paths = [self.path(name, run) for run in runs]
-        stored = self.spark.read.schema(FACTS[name]).option("basePath", self.path(name)).parquet(*paths)
-        return stored.select(*FACTS[name].names)
+        return self.spark.read.schema(FACTS[name]).parquet(*paths)
+
+    def rows_of(self, name: str) -> int:
+        return sum(f.rows for f in self.folders_of(name))
+
+    @property
+    def buckets(self) -> int | None:
+        """Buckets of the price folders; None without any, or while a compaction has yet to bring them together."""
+        used = {f.buckets for f in self.folders_of("fact_prices")}
+        return used.pop() if len(used) == 1 else None
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in [*DIMENSIONS, *FACTS]}
 
+    def _placed(self, name: str, folders: list[storage.Folder]) -> DataFrame:
+        schema = FACTS.get(name) or DIMENSIONS[name]
+        return storage.registered(
+            self.spark, self.root, name, schema, [f.run for f in folders], folders[0].buckets, SORTED[name])
+
+    def held_prices(self, first: date, last: date) -> DataFrame | None:
+        """Stored prices of folders that meet the days, bucketed by product; None if there are none."""
+        days = [int(d.strftime("%Y%m%d")) for d in (first, last)]
+        folders = [f for f in self.folders_of("fact_prices") if f.meets(*days)]
+        if not folders:
+            return None
+        rows = self.table("fact_prices") if self.buckets is None else self._placed("fact_prices", folders)
+        return rows.where(F.col("date_key").between(*days))
+
+    def tables_in_place(self) -> dict[str, DataFrame]:
+        """As :meth:`tables`, with prices and products as bucketed tables of the session's catalogue.
+
+        Grouping by product and joining products to prices then needs no shuffle.
+        """
+        found = self.tables()
+        products = [f for f in self.folders if f.table == "dim_product"]
+        if self.buckets and products:
+            found["fact_prices"] = self._placed("fact_prices", self.folders_of("fact_prices"))
+            if products[0].buckets == self.buckets:
+                found["dim_product"] = self._placed("dim_product", products)
+        return found
+
     def run_audit(self) -> DataFrame:
         """One row per run: first event's time as the start, the last event's state."""
         last = F.struct("event_time", "rows_in", "rows_out", "rows_rejected", "status", "message")
@@ -113,6 +154,7 @@ class Warehouse:
 
 RATES_ONLY = "RATES_ONLY"
 MODES = ("initial", "incremental")
+SORTED = {"fact_prices": "date_key", "dim_product": "style_color"}
 
 
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -128,9 +170,10 @@ def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
 def log_event(
     spark: SparkSession, root: str, run: int, load_type: str, status: str, message: str | None = None,
     rows_in: int | None = None, rows_out: int | None = None, rows_rejected: int | None = None,
+    package: str = PACKAGE,
 ) -> None:
     values = {
-        "run_id": run, "package_name": PACKAGE, "load_type": load_type, "rows_in": rows_in,
+        "run_id": run, "package_name": package, "load_type": load_type, "rows_in": rows_in,
         "rows_out": rows_out, "rows_rejected": rows_rejected, "status": status,
         "message": message,
     }
@@ -157,18 +200,6 @@ def together(spark: SparkSession, *steps: Callable[[], None]) -> None:
             outcome.result()
 
 
-def append_prices(rows: DataFrame, path: str, one_day: bool) -> DataFrame:
-    """Write a price batch, one folder per day.
-
-    A batch of one day is written as it comes. With many days a rebalance brings rows of
-    a day together, where AQE splits large days and merges small ones: neither a day in
-    one task nor one tiny file per task and day.
-    """
-    laid_out = rows if one_day else rows.hint("rebalance", F.col("date_key"))
-    laid_out.write.mode("overwrite").partitionBy("date_key").parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path).select(*rows.columns)
-
-
 def run_load(
     spark: SparkSession,
     root: str,
@@ -179,6 +210,7 @@ def run_load(
     rates_only: bool = False,
     unique: bool = False,
     keep: int = KEPT_RUNS,
+    buckets: int | None = None,
 ) -> Warehouse:
     """One warehouse load with its audit trail; returns the warehouse after the load.
 
@@ -186,27 +218,97 @@ def run_load(
     leaves the staged catalogue of earlier runs alone and loads no prices. ``unique``
     says that ``catalogue`` holds one row per style, country and snapshot; the load fails
     if that is not so. Staging and dimension folders of the last ``keep`` successful runs
-    stay, older ones are removed after a successful load, facts never are.
+    stay, older ones are removed after a successful load; fact folders go once a compaction
+    has replaced them and none of those runs' readers needs them. ``buckets`` is the number of
+    buckets of a new warehouse's price folders.
     """
     if mode not in MODES:
         raise ValueError(f"mode is one of {MODES}")
+    label = mode.upper() + (f"-{RATES_ONLY}" if rates_only else "")
+    before, run = started_run(spark, root, label, PACKAGE)
+    try:
+        staged, rows_in = stage_batch(before, run, None if rates_only else catalogue, rates)
+        counts, added = load_warehouse(before, run, staged, load_date or date.today(), unique, before.buckets or buckets or storage.BUCKETS)
+        kept = [f for f in before.folders if f.table != "dim_product"]
+        commit(before, run, kept, added)
+    except Exception as error:
+        log_event(spark, before.root, run, label, "FAILED", str(error))
+        raise
+    log_event(spark, before.root, run, label, "SUCCESS", "OK", rows_in=rows_in, **counts)
+    after = Warehouse(spark, root)
+    remove_old_folders(after, run, keep)
+    return after
+
+
+def started_run(spark: SparkSession, root: str, label: str, package: str) -> tuple[Warehouse, int]:
+    """The warehouse and the number of a new run, whose first event is logged."""
     # an empty log on the very first run; nothing happens where one exists
     dims.empty(spark, schemas.RUN_LOG).write.mode("ignore").parquet(f"{root}/run_log")
     before = Warehouse(spark, root)
     highest = before.run_events().agg(F.max("run_id")).head()[0]
     run = (highest or 0) + 1
-    label = mode.upper() + (f"-{RATES_ONLY}" if rates_only else "")
-    log_event(spark, before.root, run, label, "RUNNING")
+    log_event(spark, before.root, run, label, "RUNNING", package=package)
     started = before.run_events().where(F.col("run_id") == run).count()
     if started != 1:  # both loads write before they look, so at most one of them goes on
-        raise RuntimeError(f"another load has taken run {run} of {root}")
+        message = f"another load has taken run {run} of {root}"
+        log_event(spark, before.root, run, label, "FAILED", message, package=package)
+        raise RuntimeError(message)
+    return before, run
+
+
+def commit(before: Warehouse, run: int, kept: list[storage.Folder], added: list[storage.Folder]) -> None:
+    """Write the run's manifest; refuses if another run was committed since this one began."""
+    now = Warehouse(before.spark, before.root)
+    if now.committed != before.committed:
+        raise RuntimeError(f"run {now.committed[-1]} was committed while run {run} was at work; repeat it")
+    storage.write_manifest(before.spark, before.root, run, [*kept, *added])
+
+
+def compact(
+    spark: SparkSession, root: str, fan: int = storage.FAN, buckets: int | None = None, keep: int = KEPT_RUNS
+) -> Warehouse:
+    """Merge small fact folders into larger ones, as a run of its own; returns the warehouse after it.
+
+    Folders of about one size are merged as soon as ``fan`` of them are there, so the number
+    of folders grows with the logarithm of the rows and a row is rewritten as often. A new
+    number of ``buckets`` rewrites all price folders. Rows stay the same, and readers that are
+    open go on with the old folders; a run that fails leaves nothing visible. With nothing to
+    merge no run is logged.
+    """
+    seen = Warehouse(spark, root)
+    groups = {name: storage.due(seen.folders_of(name), fan) for name in FACTS}
+    if buckets and buckets != seen.buckets:
+        groups["fact_prices"] = seen.folders_of("fact_prices")
+    if not any(groups.values()):
+        return seen
+    before, run = started_run(spark, root, COMPACTION, f"{PACKAGE}.{COMPACTION.lower()}")
     try:
-        staged = stage_batch(before, run, None if rates_only else catalogue, rates)
-        counts = load_warehouse(before, run, staged, load_date or date.today(), unique)
+        merged = []
+        for name, group in groups.items():
+            if not group:
+                continue
+            rows = spark.read.schema(FACTS[name]).parquet(*[before.path(name, f.run) for f in group])
+            total, path = sum(f.rows for f in group), before.path(name, run)
+            if name == "fact_prices":
+                count = buckets or before.buckets or storage.BUCKETS
+                figures = storage.write_bucketed(rows, path, count, SORTED[name], "date_key")
+            else:
+                count = 0
+                seen_rows, figures = storage.observed(rows.repartition(-(-total // storage.RATE_ROWS)), "date_key")
+                seen_rows.write.mode("overwrite").parquet(path)
+                figures = figures.get
+            if figures["rows"] != total:
+                raise RuntimeError(f"compaction of {name} read {figures['rows']} rows of {total}")
+            merged.append(storage.folder_of(spark, before.root, name, run, figures, count))
+        gone = {(f.table, f.run) for group in groups.values() for f in group}
+        commit(before, run, [f for f in before.folders if (f.table, f.run) not in gone], merged)
     except Exception as error:
-        log_event(spark, before.root, run, label, "FAILED", str(error))
+        log_event(spark, before.root, run, COMPACTION, "FAILED", str(error), package=f"{PACKAGE}.{COMPACTION.lower()}")
         raise
-    log_event(spark, before.root, run, label, "SUCCESS", "OK", **counts)
+    total = sum(f.rows for f in merged)
+    log_event(
+        spark, before.root, run, COMPACTION, "SUCCESS", "OK", rows_in=total, rows_out=total, rows_rejected=0,
+        package=f"{PACKAGE}.{COMPACTION.lower()}")
     after = Warehouse(spark, root)
     remove_old_folders(after, run, keep)
     return after
@@ -215,45 +317,64 @@ def run_load(
 def remove_old_folders(state: Warehouse, run: int, keep: int) -> None:
     """Drop the work tables of this run, and tables of runs that none of the last ``keep`` needs.
 
-    Readers that opened the warehouse up to ``keep - 1`` loads ago still find their tables.
+    Readers that opened the warehouse up to ``keep - 1`` runs ago still find their tables.
+    Fact folders go if a manifest that falls away names them and none that stays does.
     """
-    paths = state.spark._jvm.org.apache.hadoop.fs.Path
-    fs = paths(state.root).getFileSystem(state.spark._jsc.hadoopConfiguration())
+    fs, paths = storage.file_system(state.spark, state.root)
+
+    def remove(name: str, old: int) -> None:
+        fs.delete(paths(state.path(name, old)), True)
+
     for name in WORK:
-        fs.delete(paths(state.path(f"work_{name}", run)), True)
+        remove(f"work_{name}", run)
     for name in [*STAGING, *DIMENSIONS]:
         runs = state.price_runs if name == "staging_catalogue" else state.runs
         for old in runs[: -max(keep, 1)]:
-            fs.delete(paths(state.path(name, old)), True)
+            remove(name, old)
+    staying = state.committed[-max(keep, 1):]
+    needed = {(f.table, f.run) for r in staying for f in storage.read_manifest(state.spark, state.root, r)}
+    for old in state.committed[: -max(keep, 1)]:
+        if not fs.exists(paths(state.path("manifest", old))):
+            continue
+        for f in storage.read_manifest(state.spark, state.root, old):
+            if f.table in FACTS and (f.table, f.run) not in needed:
+                remove(f.table, f.run)
+        remove("manifest", old)
 
 
 def stage_batch(
     state: Warehouse, run: int, catalogue: DataFrame | None, rates: DataFrame
-) -> dict[str, DataFrame | None]:
-    """Replace the staging tables by the text mirror of this batch."""
+) -> tuple[dict[str, DataFrame | None], int]:
+    """Replace the staging tables by the text mirror of this batch; also its number of rows."""
     staged: dict[str, DataFrame | None] = {"catalogue": None}
+    rows: list[int] = []
 
     def stage_one(name: str, df: DataFrame) -> None:
-        staged[name] = write_table(df, state.path(f"staging_{name}", run))
+        counted, seen = storage.observed(df)
+        staged[name] = write_table(counted, state.path(f"staging_{name}", run))
+        rows.append(seen.get["rows"])
 
     steps = [lambda: stage_one("rates", stage_rates(rates, run))]
     if catalogue is not None:
         steps.append(lambda: stage_one("catalogue", stage_catalogue(catalogue, run)))
     together(state.spark, *steps)
-    return staged
+    return staged, sum(rows)
 
 
 def load_warehouse(
-    state: Warehouse, run: int, staged: dict[str, DataFrame | None], load_date: date, unique: bool
-) -> dict[str, int]:
+    state: Warehouse, run: int, staged: dict[str, DataFrame | None], load_date: date, unique: bool, buckets: int
+) -> tuple[dict[str, int], list[storage.Folder]]:
     """Load order: currencies, categories, products, rates, prices, working days.
 
     Currencies with their rates, categories, products and rejects do not depend on each
-    other and are loaded together; prices need all of them.
+    other and are loaded together; prices need all of them. Returns the figures of the run,
+    which are observed on the frames being written, and the folders it adds.
     """
     rates_stg, catalogue_stg = staged["rates"], staged["catalogue"]
     old = state.tables()
     now: dict[str, DataFrame] = {}
+    added: list[storage.Folder] = []
+    rejected: list[int] = []
 
     def save(name: str, df: DataFrame) -> None:
         now[name] = write_table(df.select(*DIMENSIONS[name].names), state.path(name, run))
@@ -263,11 +384,10 @@ def load_warehouse(
 
     def currencies_and_rates() -> None:
         codes = work("currency", dims.load_currency(old["dim_currency"], rates_stg, catalogue_stg))
-        added = write_table(
-            facts.new_rates(old["fact_rates"], rates_stg, codes, old["dim_date"]),
-            state.path("fact_rates", run),
-        )
-        now["fact_rates"] = old["fact_rates"].unionByName(added)
+        new, seen = storage.observed(facts.new_rates(old["fact_rates"], rates_stg, codes, old["dim_date"]), "date_key")
+        stored = write_table(new, state.path("fact_rates", run))
+        added.append(storage.folder_of(state.spark, state.root, "fact_rates", run, seen.get, 0))
+        now["fact_rates"] = old["fact_rates"].unionByName(stored)
         together(
             state.spark,
             lambda: save("dim_currency", dims.refresh_current_rate(codes, now["fact_rates"])),
@@ -281,42 +401,36 @@ def load_warehouse(
 
     def products() -> None:
         found = catalogue_stg and work("products", dims.canonical_products(catalogue_stg))
-        before = old["dim_product"]
-        save(
-            "dim_product",
-            dims.load_product_scd2(before, catalogue_stg, load_date, found) if found else before,
-        )
+        before, path = old["dim_product"], state.path("dim_product", run)
+        after = dims.load_product_scd2(before, catalogue_stg, load_date, found) if found else before
+        figures = storage.write_bucketed(after.select(*DIMENSIONS["dim_product"].names), path, buckets, SORTED["dim_product"])
+        now["dim_product"] = state.spark.read.schema(DIMENSIONS["dim_product"]).parquet(path)
+        added.append(storage.folder_of(state.spark, state.root, "dim_product", run, figures, buckets))
 
     def markets_and_rejects() -> None:
         save("dim_geography", old["dim_geography"])
         before = old["reject_log"]
-        save(
-            "reject_log",
-            facts.refresh_reject_log(before, catalogue_stg, run) if catalogue_stg else before,
-        )
-
-    seen: dict[str, int] = {}
-
-    def figures() -> None:
-        seen["in"] = rates_stg.count() + (catalogue_stg.count() if catalogue_stg else 0)
-        seen["prices"] = old["fact_prices"].count()
-
-    together(
-        state.spark, currencies_and_rates, categories, products, markets_and_rejects, figures
-    )
-    rows_out = seen["prices"] + now["fact_rates"].count()
+        if not catalogue_stg:
+            return save("reject_log", before)
+        own, seen = F.count_if(F.col("load_batch_id") == run), Observation()
+        save("reject_log", facts.refresh_reject_log(before, catalogue_stg, run).observe(seen, own.alias("rows")))
+        rejected.append(seen.get["rows"])
+
+    together(state.spark, currencies_and_rates, categories, products, markets_and_rejects)
+    rows_out = state.rows_of("fact_prices") + state.rows_of("fact_rates") + sum(f.rows for f in added if f.table in FACTS)
     if catalogue_stg is None:
-        return {"rows_in": seen["in"], "rows_out": rows_out, "rows_rejected": 0}
+        return {"rows_out": rows_out, "rows_rejected": 0}, added
     snapshot, first, last = facts.batch_days(catalogue_stg)
+    if first is None:  # no readable snapshot
+        return {"rows_out": rows_out, "rows_rejected": sum(rejected)}, added
     rates = work("rates", facts.rates_on(now["fact_rates"], now["dim_currency"], F.lit(snapshot).cast("date")))
-    added = append_prices(
-        facts.new_prices(old["fact_prices"], catalogue_stg, now, now["fact_rates"], unique, rates),
-        state.path("fact_prices", run), first == last,
-    )
-    if unique and added.groupBy("price_key").count().where("count > 1").limit(1).count():
-        raise ValueError("the catalogue repeats a style, country and snapshot; load it without unique")
-    return {
-        "rows_in": seen["in"],
-        "rows_out": rows_out + added.count(),
-        "rows_rejected": now["reject_log"].where(F.col("load_batch_id") == run).count(),
-    }
+    rows, held = facts.priced(facts.keyed_prices(catalogue_stg, now, unique), rates), state.held_prices(first, last)
+    new = rows.repartition(buckets, storage.KEY) if held is None else storage.not_held(rows, held, buckets)
+    path = state.path("fact_prices", run)
+    figures = storage.write_bucketed(new, path, buckets, SORTED["fact_prices"], "date_key", placed=True)
+    added.append(storage.folder_of(state.spark, state.root, "fact_prices", run, figures, buckets))
+    if unique:
+        stored = state.spark.read.schema(FACTS["fact_prices"]).parquet(path)
+        if stored.groupBy("price_key").count().where("count > 1").limit(1).count():
+            raise ValueError("the catalogue repeats a style, country and snapshot; load it without unique")
+    return {"rows_out": rows_out + added[-1].rows, "rows_rejected": sum(rejected)}, added
