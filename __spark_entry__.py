@@ -21,9 +21,9 @@ from crossmart.operators.joins import missing_in
 from crossmart.operators.pick import latest_value
 from crossmart.plans import calendar as cal
 from crossmart.plans import dims, facts, marts, measures, profile, quality, reports
-from crossmart.plans.warehouse import run_load, write_table
+from crossmart.plans.warehouse import Warehouse, compact, run_load, write_table
 from crossmart.session import work_dir
-from crossmart.sources import demo, files
+from crossmart.sources import demo, files, split_csv
 
 DEMO_CATEGORY = "ECONOMY"
 LATER = demo.date(2024, 2, 15)
@@ -101,6 +101,30 @@ def catalogue_csv(i: Inputs) -> DataFrame:
     return files.stage_catalogue(files.read_catalogue_csv(i.spark, path), 1)
 
 
+def broken_lines(i: Inputs) -> DataFrame:
+    """The catalogue with names over two lines, quotes and commas, through files that many tasks read."""
+    path = i.scratch("broken-lines")
+    name = F.concat_ws("\n", "product_name", F.concat(F.lit('"'), "style_color", F.lit('", end')))
+    files.write_csv(i.catalogue_stg.withColumn("product_name", name).select(*schemas.CATALOGUE_COLUMNS), path)
+    read = split_csv.read_split_csv(i.spark, path, ["style_color", "country_code", "snapshot_date", "product_name", "price_local"])
+    return files.stage(read, read.columns, 1)
+
+
+def same_content(i: Inputs) -> DataFrame:
+    """The staged catalogue against itself in another order, and against a copy with one price changed."""
+    rows, names = i.catalogue_stg, ["style_color", "country_code", "snapshot_date", "price_local"]
+    full = rows.where("price_local IS NOT NULL AND style_color IS NOT NULL AND country_code IS NOT NULL")
+    first = full.select(F.min(F.struct("style_color", "country_code")).alias("m")).scalar()
+    here = F.struct("style_color", "country_code") == first
+    changed = rows.withColumn("price_local", F.when(here, F.concat("price_local", F.lit("1"))).otherwise(F.col("price_local")))
+    cases = {"same": rows.repartition(7, "country_code"), "changed": changed}
+    out = None
+    for case, other in cases.items():
+        one = quality.same_content(rows, other, names).select(F.lit(case).alias("case"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def rates_csv(i: Inputs) -> DataFrame:
     path = i.scratch("rates")
     files.write_rates_csv(i.rates_stg, path)
@@ -251,6 +275,32 @@ def orphaned(i: Inputs) -> DataFrame:
     return quality.orphans({**i.t, "dim_geography": markets, "dim_currency": codes})
 
 
+def version_faults(i: Inputs) -> DataFrame:
+    """The history after two changes on one day, with some ends moved by two days either way."""
+    again = dims.load_product_scd2(i.recolored_products, i.catalogue_stg, LATER)
+    moved = F.when(F.substring("style_color", -2, 1).isin("1", "4", "7"), 2).when(
+        F.substring("style_color", -2, 1).isin("2", "5", "8"), -2).otherwise(0)
+    ended = ~F.col("is_current") & (F.col("valid_to") >= F.col("valid_from"))
+    shifted = F.when(ended, F.date_add("valid_to", moved)).otherwise(F.col("valid_to"))
+    return dims.version_faults(again.withColumn("valid_to", shifted))
+
+
+def compacted(i: Inputs) -> Warehouse:
+    """A warehouse after one load a third of the markets and a compaction of their folders."""
+    root = i.scratch("compacted")
+    thirds = F.pmod(F.ascii(F.substring("country_code", 2, 1)), F.lit(3))
+    for third in range(3):
+        rows = i.catalogue_stg.where(thirds == third).drop("load_batch_id")
+        run_load(i.spark, root, rows, i.rates_stg.drop("load_batch_id"), "incremental", demo.SNAPSHOT, buckets=8)
+    return compact(i.spark, root, fan=2, keep=1)
+
+
+def compacted_prices(i: Inputs) -> DataFrame:
+    t = compacted(i).tables()
+    return marts.price_enriched(t).groupBy("country_code").agg(
+        F.count("*").alias("n"), F.countDistinct("style_color").alias("styles"), F.sum("local_price").alias("local_price"))
+
+
 def unquoted(i: Inputs) -> DataFrame:
     codes = files.currency_map(i.rates_stg).select(F.col("currency_code").alias("currency"))
     traded = i.catalogue_stg.where(F.col("currency").isNotNull())
@@ -402,6 +452,7 @@ def on_tables(build: Callable, *args, **options) -> Callable[[Inputs], DataFrame
 BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     # sources, staging, cleaning
     "s1_catalogue_csv": catalogue_csv,
+    "s1_broken_lines": broken_lines,
     "s3_rates_csv": rates_csv,
     "s4_rates_flatten": rates_documents,
     "s5_staging_catalogue": lambda i: files.stage_catalogue(demo.catalogue(i.spark, i.sf_dir), 1),
@@ -465,6 +516,8 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "m10_price_load": price_load,
     "m10_price_reload": price_reload,
     "m10_price_reload_rows": price_reload_rows,
+    "m10_compacted_prices": compacted_prices,
+    "m7_version_faults": version_faults,
     "m12_reject_log": reject_log,
     "m12_reject_rows": lambda i: i.t["reject_log"].select("source_table", "raw_row", "reject_reason", "load_batch_id"),
     "m13_run_audit": run_audit,
@@ -472,6 +525,7 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     # views
     "v1_price_enriched": on_tables(marts.price_enriched),
     "v2_product_arbitrage": on_tables(marts.product_arbitrage),
+    "v2_arbitrage_in_place": lambda i: marts.product_arbitrage(i.wh.tables_in_place()),
     "v3_global_price_map": on_tables(marts.global_price_map),
     "v4_fx_enriched": on_tables(marts.fx_enriched),
     "v5_fx_trend_30d": on_tables(marts.fx_trend_30d),
@@ -525,6 +579,9 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "q9_price_trace": lambda i: quality.price_trace(i.catalogue_stg, i.t),
     "q9_shifted_prices": shifted_trace,
     "q10_reload_growth": lambda i: quality.reload_growth(i.t, i.rates_stg),
+    "q3_same_content": same_content,
+    "b17_rate_against_average": lambda i: rounded(measures.against_average(i.t), "average", "deviation"),
+    "b18_span_volatility": lambda i: rounded(measures.span_volatility(i.t), "mean", "volatility", "variation"),
     "q11_volume_drift": lambda i: quality.volume_drift(two_runs(i)),
 }
 
@@ -543,9 +600,7 @@ def inputs(spark: SparkSession, app: str, sf_dir: str) -> Inputs:
 try:  # the text operators come as a folder of their own and may be absent
     import corpus_pipeline
     from crossmart.llm import queries as llm_queries
-except ModuleNotFoundError as error:
-    if error.name not in ("corpus_pipeline", "crossmart.llm"):
-        raise
+except ImportError:
     corpus_pipeline = llm_queries = None
 
 

@@ -9,8 +9,31 @@ BROADCAST_ROWS = 200_000
 SALTS = 16
 
 
+#: Stored bytes a dimension read from files may have to be broadcast.
+BROADCAST_BYTES = 8 << 20
+#: Operators that make a frame no larger than the files it reads.
+NARROWING = {"Project", "Filter", "LogicalRelation", "SubqueryAlias", "LocalRelation", "View"}
+
+
+def stored_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files a frame reads if it only selects from them, else None. Runs no job."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    node = plan
+    while node.getClass().getSimpleName() in NARROWING:
+        if node.children().isEmpty():
+            return int(str(plan.stats().sizeInBytes()))
+        node = node.children().head()
+    return None
+
+
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a frame has at most ``rows`` rows; the check stops once it sees more."""
+    """Whether a frame is small: by the size of its files, or by at most ``rows`` rows.
+
+    A frame that only selects from stored tables is judged without a job; others are counted,
+    and the count stops once it sees more.
+    """
+    if rows == BROADCAST_ROWS and (size := stored_bytes(df)) is not None:
+        return size <= BROADCAST_BYTES
     return df.limit(rows + 1).count() <= rows
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -223,3 +223,34 @@ def load_product_scd2(
         F.current_timestamp().alias("etl_load_date"),
     )
     return dim.where("NOT is_current").unionByName(after).unionByName(numbered)
+
+
+def settled(dim: DataFrame) -> DataFrame:
+    """The history without versions that a second change on their own day replaced.
+
+    Such a version ends before it begins, so no day ever showed it.
+    """
+    return dim.where(F.col("valid_to").isNull() | (F.col("valid_to") >= F.col("valid_from")))
+
+
+def version_faults(dim: DataFrame) -> DataFrame:
+    """(style_color, fault, valid_from, valid_to) of versions that do not fit the next one of their product.
+
+    ``reversed`` ends before it begins, as a version does that is replaced on its first day.
+    The others are swept in order of their days: ``overlap`` goes on when the next begins,
+    ``gap`` leaves days without a version, ``unmarked`` is the last one without the current
+    mark, ``twice`` carries the mark and is not the last.
+    """
+    begin, end = F.col("valid_from"), F.col("valid_to")
+    reversed_ = dim.where(end < begin).select("style_color", F.lit("reversed").alias("fault"), "valid_from", "valid_to")
+    order = Window.partitionBy("style_color").orderBy("valid_from", F.col("valid_to").asc_nulls_last(), "product_key")
+    following = F.lead("valid_from").over(order)
+    swept = settled(dim).withColumn("next_from", following)
+    last = F.col("next_from").isNull()
+    faults = F.array_compact(F.array(
+        F.when(~last & (end.isNull() | (F.col("next_from") <= end)), F.lit("overlap")),
+        F.when(F.col("next_from") > F.date_add(end, 1), F.lit("gap")),
+        F.when(last & ~F.col("is_current"), F.lit("unmarked")),
+        F.when(~last & F.col("is_current"), F.lit("twice")),
+    ))
+    return swept.select("style_color", F.explode(faults).alias("fault"), "valid_from", "valid_to").unionByName(reversed_)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +24,7 @@ from crossmart.functions.pricing import MID_TABLES
 from crossmart.operators.joins import lookup_join, rates_in_force
 from crossmart.operators.pick import first_row, latest_value
 from crossmart.plans.calendar import date_key
+from crossmart.session import work_dir
 from crossmart.sources.seeds import BASE_CODE, inline_table
 
 # --- fixed values ------------------------------------------------------------------------
@@ -261,7 +263,10 @@ def priced_per_row(
     """As-of per row: every row converts at the rates in force on its own snapshot day."""
     first, last = (F.lit(day).cast("date") for day in batch_days(catalogue_stg)[1:])
     daily = daily_rates(fact_rates, dims["dim_currency"], dims["dim_date"], first, last)
-    table = daily.withColumnsRenamed({"currency_code": "currency", "day": "snapshot_day"})
+    # written once: the lookup then judges its size by its files, and nothing is planned twice
+    path = f"{work_dir(fact_rates.sparkSession)}/daily-rates-{uuid.uuid4().hex}"
+    daily.withColumnsRenamed({"currency_code": "currency", "day": "snapshot_day"}).write.parquet(path)
+    table = fact_rates.sparkSession.read.parquet(path)
     keyed = keyed_prices(catalogue_stg, dims, unique)
     rows = lookup_join(keyed, table, ["currency", "snapshot_day"], "left")
     return fact_columns(rows, F.col("eur"), F.col("usd"))

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crossmart.functions import OUTLIER_LIMIT, arbitrage_band, safe_ratio
+from crossmart.plans.facts import usable_mids
 
 Tables = dict[str, DataFrame]
 
@@ -226,6 +227,63 @@ def rate_trend(t: Tables, by: list[str] = ("currency_code",)) -> DataFrame:
     )
 
 
+def against_average(t: Tables, days: int = TREND_DAYS) -> DataFrame:
+    """Every quote against the average of its currency's quotes of the last ``days`` days, its own included.
+
+    The frame spans days, not rows, so days without a quote shorten it and a gap longer than
+    the span leaves the quote alone with itself. A currency has one row a day.
+    """
+    mids = usable_mids(t["fact_rates"], t["dim_currency"])
+    span = Window.partitionBy("currency_code").orderBy(F.unix_date("effective_date")).rangeBetween(1 - days, 0)
+    found = mids.select(
+        "currency_code", "effective_date", "mid_rate",
+        F.count("*").over(span).alias("quotes"),
+        (F.sum("mid_rate").over(span).cast("double") / F.count("*").over(span)).alias("average"),
+    )
+    return found.withColumn("deviation", F.col("mid_rate").cast("double") / F.col("average") - 1)
+
+
+def monthly_moments(t: Tables) -> DataFrame:
+    """(currency_code, month, n, mean, m2): count, mean and squared deviations of a month's quotes.
+
+    ``month`` counts months, twelve a year. Moments of months can be merged, so no span needs
+    the quotes again.
+    """
+    mids = usable_mids(t["fact_rates"], t["dim_currency"]).withColumn("mid", F.col("mid_rate").cast("double"))
+    month = F.year("effective_date") * 12 + F.month("effective_date") - 1
+    return mids.groupBy("currency_code", month.alias("month")).agg(
+        F.count("*").alias("n"), F.avg("mid").alias("mean"), (F.var_pop("mid") * F.count("*")).alias("m2"))
+
+
+def merged(a: Column, b: Column) -> Column:
+    """Moments of two sets of values together."""
+    n = a["n"] + b["n"]
+    apart = b["mean"] - a["mean"]
+    return F.struct(
+        n.alias("n"), (a["mean"] + apart * b["n"] / n).alias("mean"),
+        (a["m2"] + b["m2"] + apart * apart * a["n"] * b["n"] / n).alias("m2"))
+
+
+def span_volatility(t: Tables, spans: tuple[int, ...] = (3, 6, 12)) -> DataFrame:
+    """Deviation and variation of each currency's quotes over the last 3, 6 and 12 months, month by month.
+
+    The moments of at most twelve months are merged a row; months without quotes count nothing,
+    a span of a single quote has no deviation.
+    """
+    moments = monthly_moments(t)
+    out = None
+    for months in spans:
+        span = Window.partitionBy("currency_code").orderBy("month").rangeBetween(1 - months, 0)
+        held = moments.select("currency_code", "month", F.collect_list(F.struct("n", "mean", "m2")).over(span).alias("held"))
+        whole = F.aggregate(F.slice("held", 2, months), F.element_at("held", 1), merged)
+        one = held.select("currency_code", "month", F.lit(months).alias("months"), whole.alias("w")).select(
+            "currency_code", F.floor(F.col("month") / 12).cast("int").alias("year"), (F.col("month") % 12 + 1).alias("month"),
+            "months", F.col("w.n").alias("quotes"), F.col("w.mean").alias("mean"),
+            F.when(F.col("w.n") > 1, F.sqrt(F.col("w.m2") / (F.col("w.n") - 1))).alias("volatility"))
+        out = one if out is None else out.unionByName(one)
+    return out.withColumn("variation", safe_ratio(F.col("volatility"), F.col("mean")))
+
+
 def under_pressure(t: Tables, count: int = 2) -> DataFrame:
     """The currencies that fell most over 30 days, as one text, strongest fall first."""
     falls = (

@@ -55,14 +55,18 @@ def comparable(c: Column) -> Column:
     return F.when(~F.isnan(number), number)
 
 
-def fault_counts() -> list:
-    """Aggregates: prices that are no number, not above zero, or below their sale price."""
+def fault_flags() -> dict[str, Column]:
+    """Prices that are no number, not above zero, or below their sale price."""
     price, sale = comparable(F.col("price_local")), comparable(F.col("sale_price_local"))
-    return [
-        F.count_if(price <= 0).alias("price_le_zero"),
-        F.count_if(F.col("price_local").isNotNull() & to_float(F.col("price_local")).isNull()).alias("price_nonnumeric"),
-        F.count_if(sale > price).alias("sale_gt_price"),
-    ]
+    return {
+        "price_le_zero": price <= 0,
+        "price_nonnumeric": F.col("price_local").isNotNull() & to_float(F.col("price_local")).isNull(),
+        "sale_gt_price": sale > price,
+    }
+
+
+def fault_counts() -> list[Column]:
+    return [F.count_if(flag).alias(name) for name, flag in fault_flags().items()]
 
 
 def price_faults(raw: DataFrame) -> DataFrame:
@@ -126,35 +130,56 @@ def as_metrics(row: DataFrame) -> DataFrame:
     return row.unpivot([], row.columns, "metric", "value")
 
 
+def expanded(raw: DataFrame) -> DataFrame:
+    """One scan of the raw rows as grouped counts: (part, k1, k2, k3, n).
+
+    Part ``rows`` counts rows by their faults (a bit each), ``country_code`` and ``currency``
+    count values, and ``grain`` counts rows per style, market and snapshot. Rows are combined
+    before the shuffle, which carries different keys only.
+    """
+    faults = F.lit(0)
+    for bit, flag in enumerate(fault_flags().values()):
+        faults = faults + F.when(flag, 1 << bit).otherwise(0)
+    none = F.lit(None).cast("string")
+    cell = lambda part, *keys: F.struct(
+        F.lit(part).alias("part"), *[(keys[i] if i < len(keys) else none).alias(f"k{i + 1}") for i in range(3)])
+    filled = [F.coalesce(c, F.lit("")) != "" for c in ("style_color", "country_code")]
+    grain = F.when(filled[0] & filled[1], cell("grain", F.col("style_color"), F.col("country_code"), F.col("snapshot_date")))
+    values = [F.when(F.col(c).isNotNull(), cell(c, F.col(c))) for c in ("country_code", "currency")]
+    cells = F.array_compact(F.array(cell("rows", faults.cast("string")), *values, grain))
+    return raw.select(F.inline(cells)).groupBy("part", "k1", "k2", "k3").agg(F.count("*").alias("n"))
+
+
 def summary(raw: DataFrame, codes: DataFrame) -> DataFrame:
-    """The profile's totals as (metric, value) rows, from three scans of few columns.
+    """The profile's totals as (metric, value) rows, from one scan of the raw rows.
 
-    Distinct counts come from grouped rows, so the raw rows are never expanded once per
-    counted column; sizes, markets and products are counted along one chain of groups.
+    The grouped counts run through one chain of groups: snapshots per style and market,
+    markets per style, totals. No branch reads the raw rows again.
     """
-    wide = raw.agg(F.count("*").alias("total_raw_rows"), *fault_counts())
-    counts = value_counts(raw, ["country_code", "currency"])
-    distinct = counts.groupBy("field").agg(F.count("*").alias("value")).select(
-        F.concat(F.lit("distinct_"), "field").alias("metric"), "value"
-    )
-    grain = keyed(raw).select("style_color", "country_code", "snapshot_date").distinct()
-    pairs = grain.groupBy("style_color", "country_code").agg(F.count("*").alias("_days"))
-    products = pairs.groupBy("style_color").agg(
-        F.count("*").alias("n_countries"), F.sum("_days").alias("_rows")
-    )
-    overlap = products.agg(
-        F.count("*").alias("distinct_style_color"),
-        F.count_if(F.col("n_countries") >= 2).alias("products_in_2plus_countries"),
-        F.count_if(F.col("n_countries") >= 5).alias("products_in_5plus_countries"),
-        F.max("n_countries").alias("max_countries_per_product"),
-        F.sum("_rows").alias("grain_rows"),
-    )
-    covered = currency_coverage(raw, codes)
-    uncovered = covered.agg(F.count_if(~F.col("covered")).alias("uncovered_currencies"))
-    return (
-        as_metrics(wide).unionByName(distinct).unionByName(as_metrics(overlap))
-        .unionByName(as_metrics(uncovered))
+    part, key = F.col("part"), F.col("k1")
+    by_market = expanded(raw).groupBy("part", "k1", "k2").agg(F.sum("n").alias("n"), F.count("*").alias("days"))
+    by_key = by_market.groupBy("part", "k1").agg(
+        F.sum("n").alias("n"), F.count("*").alias("markets"), F.sum("days").alias("grains"))
+    quoted = codes.where(F.col("nbp_table_type").isin("A", "B")).select(
+        F.lit("currency").alias("part"), F.col("currency_code").alias("k1"), F.lit(True).alias("quoted")).distinct()
+    known = by_key.join(quoted, ["part", "k1"], "left")
+    style = part == "grain"
+    total = lambda c, value: F.coalesce(F.sum(F.when(c, value)), F.lit(0)).cast("long")
+    rows = part == "rows"
+    bits = F.when(rows, key.cast("int"))
+    row = known.agg(
+        total(rows, F.col("n")).alias("total_raw_rows"),
+        *[total(rows & (bits.bitwiseAND(1 << bit) != 0), F.col("n")).alias(name) for bit, name in enumerate(fault_flags())],
+        F.count_if(part == "country_code").alias("distinct_country_code"),
+        F.count_if(part == "currency").alias("distinct_currency"),
+        F.count_if(style).alias("distinct_style_color"),
+        F.count_if(style & (F.col("markets") >= 2)).alias("products_in_2plus_countries"),
+        F.count_if(style & (F.col("markets") >= 5)).alias("products_in_5plus_countries"),
+        F.max(F.when(style, F.col("markets"))).alias("max_countries_per_product"),
+        total(style, F.col("grains")).alias("grain_rows"),
+        F.count_if((part == "currency") & F.col("quoted").isNull()).alias("uncovered_currencies"),
     )
+    return as_metrics(row)
 
 
 def profile(raw: DataFrame, codes: DataFrame) -> dict[str, DataFrame]:

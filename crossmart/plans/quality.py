@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crossmart.functions import to_date_or_null
 from crossmart.functions.cleaning import local_price
-from crossmart.operators.joins import lookup_join, missing_in
+from crossmart.operators.joins import lookup_join
 from crossmart.plans import facts, marts
+from crossmart.session import work_dir
 
 Tables = dict[str, DataFrame]
 
@@ -89,24 +92,65 @@ def long_segments(segments: DataFrame, limit: int = MAX_REQUEST_DAYS) -> DataFra
     )
 
 
+def missing_keys(prices: DataFrame, t: Tables, names: dict[str, str]) -> DataFrame:
+    """(field, key) pairs of price rows without a dimension row, from one scan of the prices."""
+    cells = [F.struct(F.lit(key).alias("field"), F.col(key).cast("long").alias("key")) for key in names.values()]
+    used = prices.select(F.inline(F.array(*cells))).where("key IS NOT NULL").distinct()
+    known = None
+    for name, key in names.items():
+        keys = t[name].select(F.lit(key).alias("field"), F.col(key).cast("long").alias("key"))
+        known = keys if known is None else known.unionByName(keys)
+    return used.join(known, ["field", "key"], "left_anti")
+
+
 def orphans(t: Tables) -> DataFrame:
     """Price rows whose key is missing in some dimension, with one flag per dimension.
 
-    Keys are combined and looked up first; raw rows meet the few missing keys only.
+    The different keys of all columns are looked up first and the missing ones written
+    once; raw rows meet only the lists that are not empty.
     """
     names = {
         "dim_product": "product_key", "dim_geography": "geo_key", "dim_currency": "currency_key",
         "dim_date": "date_key", "dim_category": "category_key",
     }
     prices = t["fact_prices"].select("price_key", *names.values())
-    rows, lost = prices, F.lit(False)
-    for name, key in names.items():
-        gone = missing_in(prices, t[name], key).withColumn(f"_no_{key}", F.lit(True))
-        rows = lookup_join(rows, gone, [key], "left")
-        lost = lost | F.col(f"_no_{key}").isNotNull() | F.col(key).isNull()
-    return rows.where(lost).select("price_key", *[
-        (F.col(f"_no_{key}").isNotNull() | F.col(key).isNull()).alias(f"no_{key}") for key in names.values()
-    ])
+    scratch = f"{work_dir(prices.sparkSession)}/missing-{uuid.uuid4().hex}"
+    missing_keys(prices, t, names).write.partitionBy("field").parquet(scratch)
+    missing = prices.sparkSession.read.schema("key long, field string").parquet(scratch)
+    found = {r.field for r in missing.select("field").distinct().collect()}  # five at most
+    rows = prices
+    for key in names.values():
+        flag = F.lit(None).cast("boolean") if key not in found else None
+        if flag is None:
+            gone = missing.where(F.col("field") == key).select(F.col("key").alias(key), F.lit(True).alias(f"_no_{key}"))
+            rows = lookup_join(rows, gone, [key], "left")
+        else:
+            rows = rows.withColumn(f"_no_{key}", flag)
+    no = {key: F.col(f"_no_{key}").isNotNull() | F.col(key).isNull() for key in names.values()}
+    lost = F.lit(False)
+    for flag in no.values():
+        lost = lost | flag
+    return rows.where(lost).select("price_key", *[flag.alias(f"no_{key}") for key, flag in no.items()])
+
+
+def content_digest(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """One row that stands for a multiset of rows, whatever their order: their number and two sums of hashes.
+
+    Equal rows count as often as they stand there, so a row swapped for a copy of another
+    one changes the sums; nulls and empty texts differ. Partial sums are all that moves.
+    """
+    cells = [F.col(c).cast("string") for c in columns]
+    marked = F.concat_ws("\x1f", *[F.coalesce(F.concat(F.lit("="), c), F.lit("-")) for c in cells])
+    hashes = [F.xxhash64(F.lit(seed), marked).cast("decimal(20,0)") for seed in (1, 2)]
+    return rows.agg(F.count("*").alias("rows"), *[F.coalesce(F.sum(h), F.lit(0)).alias(f"digest_{i}") for i, h in enumerate(hashes, 1)])
+
+
+def same_content(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
+    """(rows_left, rows_right, same_content) of two tables, compared as multisets of rows."""
+    a, b = content_digest(left, columns), content_digest(right, columns)
+    whole = lambda df: df.select(F.struct("*").alias("d")).scalar()
+    row = left.sparkSession.range(1).select(whole(a).alias("a"), whole(b).alias("b"))
+    return row.select(F.col("a.rows").alias("rows_left"), F.col("b.rows").alias("rows_right"), (F.col("a") == F.col("b")).alias("same_content"))
 
 
 def duplicate_keys(rows: DataFrame, keys: list[str]) -> DataFrame:

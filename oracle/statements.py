@@ -187,6 +187,59 @@ def statements() -> dict[str, str]:
     listing = PART(p.LISTINGS)
     out = {
         "s1_catalogue_csv": staged + STG_COLUMNS,
+        "s1_broken_lines": staged + """
+SELECT style_color, country_code, snapshot_date, price_local, load_batch_id,
+       concat_ws(chr(10), product_name, '"' || style_color || '", end') AS product_name
+FROM cat_stg""",
+        "q3_same_content": staged + """,
+target AS (SELECT min((style_color, country_code)) AS m FROM cat_stg WHERE price_local IS NOT NULL AND style_color IS NOT NULL AND country_code IS NOT NULL),
+here AS (SELECT style_color, country_code, snapshot_date, price_local FROM cat_stg),
+changed AS (
+  SELECT style_color, country_code, snapshot_date,
+         CASE WHEN (style_color, country_code) = (SELECT m FROM target) THEN price_local || '1' ELSE price_local END AS price_local
+  FROM here
+)
+SELECT 'same' AS case, (SELECT count(*) FROM here) AS rows_left, (SELECT count(*) FROM here) AS rows_right, TRUE AS same_content
+UNION ALL
+SELECT 'changed', (SELECT count(*) FROM here), (SELECT count(*) FROM changed),
+       NOT EXISTS (SELECT * FROM here EXCEPT ALL SELECT * FROM changed)""",
+        "m7_version_faults": PART(WH, LATER) + """,
+ended AS (
+  SELECT style_color, valid_from, valid_to, substr(style_color, length(style_color) - 1, 1) AS digit FROM later_product WHERE NOT is_current
+)
+SELECT style_color, 'reversed' AS fault, DATE '2024-02-15' AS valid_from, DATE '2024-02-14' AS valid_to FROM ended
+UNION ALL SELECT style_color, 'overlap', valid_from, valid_to + 2 FROM ended WHERE digit IN ('1', '4', '7')
+UNION ALL SELECT style_color, 'gap', valid_from, valid_to - 2 FROM ended WHERE digit IN ('2', '5', '8')""",
+        "m10_compacted_prices": wh + f"""
+SELECT country_code, count(*) AS n, count(DISTINCT style_color) AS styles, sum(local_u){CENT} AS local_price
+FROM enriched GROUP BY 1""",
+        "b17_rate_against_average": wh + f""",
+mids AS (
+  SELECT currency_code, effective_date, arg_min(mid_u, table_type) AS mid_u
+  FROM fact_rates WHERE table_type IN ('A', 'B') AND mid_u IS NOT NULL GROUP BY 1, 2
+),
+spans AS (
+  SELECT *, count(*) OVER w AS quotes, (sum(mid_u) OVER w)::DOUBLE / 1e6 / (count(*) OVER w) AS average
+  FROM mids WINDOW w AS (PARTITION BY currency_code ORDER BY effective_date RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW)
+)
+SELECT currency_code, effective_date, mid_u{U6} AS mid_rate, quotes, floor(average * 1e6 + 0.5) / 1e6 AS average,
+       floor((mid_u::DOUBLE / 1e6 / average - 1) * 1e6 + 0.5) / 1e6 AS deviation
+FROM spans""",
+        "b18_span_volatility": wh + """,
+mids AS (
+  SELECT currency_code, (year(effective_date) * 12 + month(effective_date) - 1)::INT AS m, arg_min(mid_u, table_type)::DOUBLE / 1e6 AS mid
+  FROM fact_rates WHERE table_type IN ('A', 'B') AND mid_u IS NOT NULL GROUP BY currency_code, effective_date
+),
+months AS (SELECT DISTINCT currency_code, m FROM mids),
+held AS (
+  SELECT o.currency_code, o.m, t.months, count(*) AS quotes, avg(mid) AS mean, stddev_samp(mid) AS volatility
+  FROM months o, (VALUES (3), (6), (12)) AS t(months), mids i
+  WHERE i.currency_code = o.currency_code AND i.m BETWEEN o.m - t.months + 1 AND o.m GROUP BY ALL
+)
+SELECT currency_code, (m // 12)::INT AS year, (m % 12 + 1)::INT AS month, months, quotes, floor(mean * 1e6 + 0.5) / 1e6 AS mean,
+       floor(volatility * 1e6 + 0.5) / 1e6 AS volatility, floor(volatility / mean * 1e6 + 0.5) / 1e6 AS variation
+FROM held""",
+        "v2_arbitrage_in_place": wh + "SELECT * FROM arbitrage",
         "s3_rates_csv": rates + f"SELECT {p.RATES}, load_batch_id FROM rates_stg",
         "s4_rates_flatten": rates + f"SELECT {p.RATES} FROM rates_stg",
         "s5_staging_catalogue": staged + STG_COLUMNS,
