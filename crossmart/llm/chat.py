@@ -18,11 +18,11 @@ from pyspark.sql import functions as F
 from crossmart.llm.common import stage, unit_hash
 
 ROLES = ("system", "user", "assistant")
-#: Speaker markers at the start of a turn, by role. Fixed values.
+#: Speaker markers at the start of a turn, by role; a colon, a closing bracket or a line end closes them. Fixed values.
 MARKERS = (
-    ("system", r"(?is)^\s*(?:\[|<\|?|#+\s*|\*\*)?(?:system)(?:\]|\|?>|\*\*)?\s*[:>\]\n-]\s*"),
-    ("user", r"(?is)^\s*(?:\[|<\|?|#+\s*|\*\*)?(?:user|human|customer|question|prompt|instruction|q)(?:\]|\|?>|\*\*)?\s*[:>\]\n-]\s*"),
-    ("assistant", r"(?is)^\s*(?:\[|<\|?|#+\s*|\*\*)?(?:assistant|bot|ai|agent|answer|response|a)(?:\]|\|?>|\*\*)?\s*[:>\]\n-]\s*"),
+    ("system", r"(?is)^\s*(?:\[|<\|?|#+\s*|\*\*)?(?:system)(?:\]|\|?>|\*\*)?\s*[:>\]\n]\s*"),
+    ("user", r"(?is)^\s*(?:\[|<\|?|#+\s*|\*\*)?(?:user|human|customer|question|prompt|instruction|q)(?:\]|\|?>|\*\*)?\s*[:>\]\n]\s*"),
+    ("assistant", r"(?is)^\s*(?:\[|<\|?|#+\s*|\*\*)?(?:assistant|bot|ai|agent|answer|response|a)(?:\]|\|?>|\*\*)?\s*[:>\]\n]\s*"),
 )
 WORD_STEPS = (4, 8, 16, 32, 48, 64, 96, 128, 192, 256)
 OBSERVATIONS = (len(MARKERS) + 1) * (len(WORD_STEPS) + 1) * 4
@@ -140,11 +140,12 @@ def decoded(turns: DataFrame, model: Model) -> DataFrame:
 
 
 def rendered(role: Column, text: Column) -> Column:
-    """The canonical turn: role line, text without its marker and outer white space, end mark."""
+    """The canonical turn: role line, text without the marker of that role, once, and outer white space, end mark."""
     body = F.coalesce(text, F.lit(""))
-    for _, pattern in MARKERS:
-        body = F.regexp_replace(body, pattern, "")
-    return F.concat(F.lit("<|"), role, F.lit("|>\n"), F.regexp_replace(body, r"^\s+|\s+$", ""), F.lit("\n<|end|>\n"))
+    shown = body
+    for name, pattern in MARKERS:
+        shown = F.when(role == name, F.regexp_replace(body, pattern, "")).otherwise(shown)
+    return F.concat(F.lit("<|"), role, F.lit("|>\n"), F.regexp_replace(shown, r"^\s+|\s+$", ""), F.lit("\n<|end|>\n"))
 
 
 def formatted(

@@ -73,7 +73,8 @@ def numbered(df: DataFrame, group: list[str], bucket: Column, order: list[Column
 
     Rows are numbered inside (group, bucket), and each bucket starts after the rows of the
     buckets before it. ``bucket`` is below ``NUMBERING_BUCKETS`` and must be a function of the
-    row, so the counts table has at most groups x buckets rows.
+    row, so the counts table has at most groups x buckets rows. Groups must not be null: rows
+    then meet their bucket's start where the numbering left them.
     """
     dealt = df.withColumn("_bucket", bucket.cast("int"))
     keys = [*group, "_bucket"]
@@ -83,7 +84,7 @@ def numbered(df: DataFrame, group: list[str], bucket: Column, order: list[Column
     inside = dealt.withColumn("_row", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     same = F.lit(True)
     for k in keys:
-        same = same & F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
+        same = same & (F.col(f"l.{k}") == F.col(f"r.{k}"))
     joined = inside.alias("l").join(starts.alias("r"), same)
     return joined.select(
         *[F.col(f"l.{c}") for c in df.columns],

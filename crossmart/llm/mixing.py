@@ -2,7 +2,8 @@
 
 Each source gets a repetition rate that brings its share of the size to its target weight.
 A document is repeated a Poisson number of times with that mean, drawn by inverting the
-distribution at a number hashed from its id, so a rerun or a lost task draws the same.
+distribution at a number hashed from its id and text, so a rerun or a lost task draws the same
+and documents without an id, or with one and the same, are drawn each for itself.
 """
 
 from __future__ import annotations
@@ -50,11 +51,11 @@ def poisson(u: Column, mean: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), steps), start, step, lambda acc: acc["n"])
 
 
-def repetitions(key: Column, rate: Column, seed: str = SEED) -> Column:
+def repetitions(rate: Column, *key: Column, seed: str = SEED) -> Column:
     """How often a document enters the mixture; 0 for a rate of 0."""
     parts = F.greatest(F.lit(1), F.ceil(rate / LARGEST_PART)).cast("int")
     mean = rate / parts
-    draws = F.transform(F.sequence(F.lit(1), parts), lambda i: poisson(unit_hash(F.lit(seed), i, key), mean))
+    draws = F.transform(F.sequence(F.lit(1), parts), lambda i: poisson(unit_hash(F.lit(seed), i, *key), mean))
     return F.aggregate(draws, F.lit(0), lambda a, n: a + n)
 
 
@@ -64,7 +65,7 @@ def mixed(
 ) -> DataFrame:
     """The mixture in a global random order: all columns, then copy, n_copies, rate and position.
 
-    Size is UTF-8 bytes plus 1 (null text: 1), so empty documents still count. Repeated ids
+    Size is UTF-8 bytes plus 1 (null text: 1), so empty documents still count. Rows of one id and text
     are drawn alike. An empty table gives an empty mixture. Columns of the input that have
     the name of an added one are replaced.
     """
@@ -81,12 +82,14 @@ def mixed(
         rated = keyed.join(F.broadcast(named), "_source")
     else:
         rated = salted_lookup(keyed, "_source", named, [key], "inner")
-    drawn = rated.withColumn("n_copies", repetitions(F.col(key), F.col("_rate"), seed)).where("n_copies > 0")
+    rated = rated.withColumn("_digest", F.md5(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")))
+    drawn = rated.withColumn("n_copies", repetitions(F.col("_rate"), F.col(key), F.col("_digest"), seed=seed)).where("n_copies > 0")
     copies = drawn.select(
-        *own, F.explode(F.sequence(F.lit(0), F.col("n_copies") - 1)).alias("copy"), "n_copies", F.col("_rate").alias("rate")
+        *own, F.explode(F.sequence(F.lit(0), F.col("n_copies") - 1)).alias("copy"), "n_copies", F.col("_rate").alias("rate"),
+        "_digest",
     )
     keyed = copies.withColumn("_order", F.md5(F.concat_ws(
-        ":", F.lit(seed + "-order"), F.coalesce(F.col(key).cast("string"), F.lit("null")), F.col("copy").cast("string"))))
+        ":", F.lit(seed + "-order"), F.coalesce(F.col(key).cast("string"), F.lit("null")), "_digest", F.col("copy").cast("string")))).drop("_digest")
     bucket = F.conv(F.substring("_order", 1, 3), 16, 10).cast("int")
     assert NUMBERING_BUCKETS == 16**3
     return numbered(keyed, [], bucket, [F.col("_order"), F.col(text)], "position").drop("_order")

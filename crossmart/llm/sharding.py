@@ -34,12 +34,18 @@ def with_shards(df: DataFrame, key: str, weights: list[float], shard: str = "sha
     return df.withColumn(shard, rendezvous(F.col(key), weights, seed))
 
 
-def with_slots(df: DataFrame, key: str, shard: str = "shard", slot: str = "slot") -> DataFrame:
+def with_slots(df: DataFrame, key: str, shard: str = "shard", slot: str = "slot", scattered: bool = False) -> DataFrame:
     """Gapless places from 0 inside each shard, ordered by a hash bucket and then the key.
 
     Repeated keys get different places, in the order of their remaining columns. A key that
-    fills many rows is spread over buckets by those columns.
+    fills many rows is spread over buckets by those columns. A column named like ``slot`` is
+    replaced. ``scattered`` gives places by a hash of where a row stands in the table, which
+    must be a stored one: copies of a row are then neighbours by chance only and share no bucket.
     """
+    df = df.drop(slot)
+    if scattered:
+        placed = df.withColumn("_place", F.xxhash64(F.monotonically_increasing_id()))
+        return numbered(placed, [shard], F.pmod("_place", F.lit(NUMBERING_BUCKETS)), [F.col("_place")], slot).drop("_place")
     rest = [c for c in df.columns if c not in (key, shard)]
     bucket = F.pmod(F.xxhash64(key, *rest), F.lit(NUMBERING_BUCKETS))
     order = [F.col(key), *[F.col(c) for c in rest if not df.schema[c].dataType.typeName().startswith("map")]]

@@ -68,7 +68,7 @@ distribution AS (
   SELECT name, mean, k + 1, p * mean / (k + 1), c + p * mean / (k + 1), steps FROM distribution WHERE k + 1 < steps
 ),
 draws AS (
-  SELECT d.*, rate, i, (('0x' || substr(md5('{mixing.SEED}:' || i || ':' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT + 0.5::DOUBLE)
+  SELECT d.*, rate, i, (('0x' || substr(md5('{mixing.SEED}:' || i || ':' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))), 1, 13))::BIGINT + 0.5::DOUBLE)
          / pow(2::DOUBLE, 52) AS u
   FROM (SELECT row_number() OVER () AS id, * FROM documents) d JOIN means ON source IS NOT DISTINCT FROM name,
        LATERAL (SELECT unnest(range(1, parts + 1)) AS i)
@@ -80,7 +80,7 @@ copies AS (
   SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, unnest(range(0, n_copies))::INT AS copy, n_copies, d.rate
   FROM draws d JOIN drawn USING (id) WHERE d.i = 1
 )
-SELECT *, row_number() OVER (ORDER BY md5('{mixing.SEED}-order:' || coalesce(doc_id::VARCHAR, 'null') || ':' || copy), text) - 1 AS position
+SELECT *, row_number() OVER (ORDER BY md5('{mixing.SEED}-order:' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, '')) || ':' || copy), text) - 1 AS position
 FROM copies"""
 
 
@@ -109,8 +109,8 @@ split AS (
 line AS (SELECT id, host, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS k FROM split),
 gone AS (
   SELECT host, line FROM (SELECT host, line, count(DISTINCT id) AS n_pages FROM line GROUP BY host, line)
-  JOIN (SELECT host, count(*) AS host_pages FROM read GROUP BY host HAVING count(*) >= {site_lines.LEAST_PAGES}) USING (host)
-  WHERE n_pages > {site_lines.RATIO}::DOUBLE * host_pages
+  JOIN (SELECT host, count(*) AS host_pages FROM read GROUP BY host ) USING (host)
+  WHERE n_pages >= 3 AND n_pages - 0.05::DOUBLE * host_pages > 1.96::DOUBLE * sqrt(0.0475::DOUBLE * host_pages)
 ),
 kept AS (
   SELECT id, count(*) AS n, string_agg(line, chr(10) ORDER BY k) AS text

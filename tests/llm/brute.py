@@ -91,12 +91,12 @@ def copies(docs):
     for _, t, s in docs:
         size[s] += len((t or "").encode()) + 1
     out = {}
-    for d, _, s in docs:
+    for d, t, s in docs:
         rate = sum(size.values()) / len(size) / size[s]
         parts = max(1, math.ceil(rate / 64))
         n = 0
         for i in range(1, parts + 1):
-            u, p = unit_hash("mix", i, d), math.exp(-rate / parts)
+            u, p = unit_hash("mix", i, d, hashlib.md5((t or "").encode()).hexdigest()), math.exp(-rate / parts)
             c, k = p, 0
             while u >= c and k < 1000:
                 k += 1

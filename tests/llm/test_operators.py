@@ -192,7 +192,7 @@ def test_mixture_matches_the_drawn_counts(spark, sf_dir):
     assert n == want
     assert sorted(r["position"] for r in got) == list(range(len(got)))
     order = sorted(got, key=lambda r: r["position"])
-    keys = [hashlib.md5(f"mix-order:{r['doc_id']}:{r['copy']}".encode()).hexdigest() for r in order]
+    keys = [hashlib.md5(f"mix-order:{r['doc_id']}:{hashlib.md5((r['text'] or '').encode()).hexdigest()}:{r['copy']}".encode()).hexdigest() for r in order]
     assert keys == sorted(keys)
 
 
@@ -302,6 +302,38 @@ def test_repeats_match_a_plain_search(spark, sf_dir):
         assert " ".join(texts[r["doc_id"]][r["start"] : r["end"]].lower().split()) in flat[r["keeper_doc_id"]]
 
 
+def test_rows_without_an_id_are_drawn_each_for_itself(spark):
+    rows = [(None, f"text {i} of a document", "a") for i in range(300)] + [(7, f"text {i} under one id", "a") for i in range(300)]
+    got = mixing.mixed(docs(spark, *rows)).collect()
+    for some in ([r for r in got if r["doc_id"] is None], [r for r in got if r["doc_id"] == 7]):
+        assert 220 < len(some) < 380 and len({r["text"] for r in some}) > 150
+    assert sorted(r["position"] for r in got) == list(range(len(got)))
+    near = sum(a["doc_id"] == b["doc_id"] for a, b in zip(*(lambda x: (x, x[1:]))(sorted(got, key=lambda r: r["position"])), strict=False))
+    assert near < 0.6 * len(got)
+
+
+def test_slots_replace_a_column_and_scatter_copies(spark, tmp_path):
+    rows = [(i, "same text", "a") for i in range(300) for _ in range(2)]
+    docs(spark, *rows).write.parquet(str(tmp_path / "docs"))
+    table = spark.read.parquet(str(tmp_path / "docs"))
+    got = sharding.with_slots(sharding.with_shards(table, "doc_id", [1.0, 1.0]), "doc_id", scattered=True)
+    assert got.columns.count("slot") == 1
+    rows = sorted(got.collect(), key=lambda r: (r["shard"], r["slot"]))
+    assert [r["slot"] for r in rows if r["shard"] == 0] == list(range(sum(r["shard"] == 0 for r in rows)))
+    assert sum(a["doc_id"] == b["doc_id"] for a, b in zip(rows, rows[1:], strict=False)) < 20
+
+
+# --- chat ---------------------------------------------------------------------------------
+
+
+def test_rendering_takes_the_marker_of_the_role_only(spark):
+    rows = [("assistant", "A-level results are out"), ("system", "System-wide outage"), ("user", "User-friendly design"),
+            ("user", "User: Assistant: hi"), ("assistant", "[assistant] hello"), ("user", "Bot: no"), ("system", None)]
+    got = spark.createDataFrame(rows, "role string, text string").select(chat.rendered(F.col("role"), F.col("text")).alias("x")).collect()
+    assert [r["x"].split("\n")[1] for r in got] == [
+        "A-level results are out", "System-wide outage", "User-friendly design", "Assistant: hi", "hello", "Bot: no", ""]
+
+
 # --- site lines ---------------------------------------------------------------------------
 
 
@@ -311,11 +343,22 @@ def test_lines_on_many_pages_of_a_host_go(spark):
     table = spark.createDataFrame(rows, "page_id long, url string, body string").repartition(4)
     got = {r["page_id"]: r for r in site_lines.without_boilerplate(table, site_lines.lines_of_text(F.col("body")), ratio=0.3).collect()}
     assert got[0]["host"] == "big.org" and got[0]["text"] == "own text 0" and got[0]["n_dropped"] == 3
-    assert got[100]["text"] == "Menu\nx" and got[200]["text"] == "a\nb" and got[201]["text"] == "" == got[202]["text"]
+    assert got[100]["text"] == "" and got[200]["text"] == "a\nb" and got[201]["text"] == "" == got[202]["text"]
     assert len(got) == len(rows)
     assert site_lines.without_boilerplate(table.where("false"), site_lines.lines_of_text(F.col("body"))).count() == 0
 
 
+def test_one_rule_for_hosts_of_every_size(spark):
+    rows = [(i, "http://ten.org", f"Menu\narticle {i}", "h", 1) for i in range(10)]
+    rows += [(100 + i, "http://many.org", f"Top\npage {i}" + ("\nA long paragraph." if i < 2 else ""), "h", 1) for i in range(28)]
+    rows += [(200 + i, "http://two.org", "Menu\nx", "h", 1) for i in range(2)] + [(300, "http://ten.org", "word " * 50_000, "h", 1)] * 2
+    table = spark.createDataFrame(rows, "page_id long, url string, body string, host string, lines int").repartition(3)
+    got = site_lines.without_boilerplate(table, site_lines.lines_of_text(F.col("body"))).collect()
+    text = {r["page_id"]: r["text"] for r in got}
+    assert len(got) == len(rows) and text[3] == "article 3" and text[100] == "page 0\nA long paragraph." and text[110] == "page 10"
+    assert text[200] == "Menu\nx" and text[300] == ("word " * 50_000).strip()
+
+
 def test_lines_of_html(spark):
     page = "<title>T</title><script>x<p></script><!-- <p>no --><p>A <b>b</b>&amp;lt;<br>C</p><ul><li>D</li></ul>tail"
     got = spark.createDataFrame([(page,), (None,)], "h string").select(site_lines.lines_of_html(F.col("h")).alias("x")).collect()
