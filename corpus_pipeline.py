@@ -38,8 +38,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their shard and their place in it."""
-    return sharding.with_slots(sharding.with_shards(docs, "doc_id", [1.0] * SHARDS), "doc_id")
+    """The documents with their shard and their place in it, which scatters the mixture's copies."""
+    return sharding.with_slots(sharding.with_shards(docs, "doc_id", [1.0] * SHARDS), "doc_id", scattered=True)
 
 
 STAGES = [
