@@ -3,15 +3,16 @@
 A document is the set of its three-word shingles. Two permutations give the whole signature:
 the first scatters a shingle over 32-bit positions, the second orders positions; coordinate k
 is the least value of the second one, shifted by k positions along the circle, over the set.
-Rows of ``ROWS`` coordinates form a band; documents that share a band are candidates. At a
-similarity of 0.85 all bands miss with a probability of 1.2e-5. A link counts only after the
-shingles themselves, not their hashes, were compared.
+``ROWS`` coordinates form a band; documents that share a band are candidates if ``AGREE`` of
+their coordinates, kept as a byte each, agree. At a similarity of 0.85 all bands miss with a
+probability of 1.2e-5 and the bytes with one below 1e-7. A link counts only after the shingles
+themselves, not their hashes, were compared.
 
 Equal word sequences are one node. Buckets are settled in rounds so that a family of near
-copies never becomes all of its pairs: first every member meets one pivot of the bucket, then
-members not yet known to be in one component meet about 16 pivots, then 256 and so on, until
-all members of a bucket were pivots or share a component. So no link between components is
-skipped, and pairs inside a component are not needed.
+copies never becomes all of its pairs: first every node meets the smallest pivot of its
+buckets, then the pivots of all of them, then about 16 pivots a bucket, then 256 and so on,
+until all members of a bucket were pivots or share a component. Pairs inside a component are
+never looked at, and none between components is skipped.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ BANDS, ROWS = 24, 6
 PIVOT_GROWTH = 16
 #: Shingles of a text whose coordinates are computed at once.
 BLOCK = 2048
+#: Coordinates of a pair that agree at least, of BANDS * ROWS; 5.3 deviations below what 0.85 gives.
+AGREE = 100
 KNOWN_WORDS = 1 << 19
 #: Row numbers that are broadcast to fetch candidates' texts; more of them are joined by a shuffle.
 BROADCAST_ROWS = 500_000
@@ -44,12 +47,12 @@ ODD = tuple(np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0
 
 
 class WordHashes(dict):
-    """XXH64 of words, remembered up to a fixed number of words."""
+    """XXH64 of words as bytes, remembered up to a fixed number of words."""
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: bytes) -> bytes:
         if len(self) >= KNOWN_WORDS:
             self.clear()
-        self[word] = found = xxhash.xxh64_intdigest(word)
+        self[word] = found = xxhash.xxh64_digest(word)
         return found
 
 
@@ -67,7 +70,7 @@ def shingles(words: list[bytes]) -> set:
 
 def scattered(words: list[bytes], hashes: WordHashes) -> np.ndarray:
     """First permutation: the 32-bit position of every shingle."""
-    codes = np.array([hashes[w] for w in words], dtype=np.uint64)
+    codes = np.frombuffer(b"".join([hashes[w] for w in words]), dtype="<u8")
     if len(words) < SHINGLE:
         codes = np.concatenate([codes, np.zeros(SHINGLE - len(words), dtype=np.uint64)])
     mixed = codes[:-2] * ODD[0] + codes[1:-1] * ODD[1] + codes[2:] * ODD[2]
@@ -104,13 +107,13 @@ def band_keys(coordinates: np.ndarray) -> list[int]:
 
 
 def signed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, node, n_shingles, bands, line) a row: line has the words, node is a digest of it."""
+    """(id, node, n_shingles, bands, bytes, line) a row: line has the words, node is a digest of it."""
     chosen = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = WordHashes(), {}
         for batch in batches:
-            nodes, counts, bands, lines = [], [], [], []
+            nodes, counts, bands, short, lines = [], [], [], [], []
             for value in batch.column("text").cast(pa.binary()):
                 words = words_of(value.as_py())
                 line = b" ".join(words)
@@ -118,25 +121,33 @@ def signed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
                 if node not in seen:
                     if len(seen) >= 4096:
                         seen.clear()
-                    found = band_keys(signature(scattered(words, hashes))) if words else []
-                    seen[node] = len(shingles(words)), found
-                n, found = seen[node]
+                    all_of = signature(scattered(words, hashes)) if words else np.zeros(0, dtype=np.uint32)
+                    seen[node] = len(shingles(words)), band_keys(all_of) if words else [], all_of.astype(np.uint8).tobytes()
+                n, found, low = seen[node]
                 nodes.append(node)
                 counts.append(n)
                 bands.append(found)
+                short.append(low)
                 lines.append(line)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(nodes, pa.binary()), pa.array(counts, pa.int64()),
-                 pa.array(bands, pa.list_(pa.int64())), pa.array(lines, pa.binary())],
-                names=["id", "node", "n_shingles", "bands", "line"])
+                 pa.array(bands, pa.list_(pa.int64())), pa.array(short, pa.binary()), pa.array(lines, pa.binary())],
+                names=["id", "node", "n_shingles", "bands", "bytes", "line"])
 
     schema = T.StructType([
         T.StructField("id", chosen.schema["id"].dataType), T.StructField("node", T.BinaryType()),
         T.StructField("n_shingles", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())),
-        T.StructField("line", T.BinaryType())])
+        T.StructField("bytes", T.BinaryType()), T.StructField("line", T.BinaryType())])
     return chosen.mapInArrow(sign, schema)
 
 
+@F.pandas_udf(T.BooleanType())
+def agreeing(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Whether enough coordinates of two signatures, a byte each, are equal."""
+    x, y = (np.frombuffer(b"".join(map(bytes, s)), dtype=np.uint8).reshape(len(s), -1) for s in (a, b))
+    return pd.Series((x == y).sum(axis=1) >= AGREE, dtype="bool")
+
+
 @F.pandas_udf(T.BooleanType())
 def similar(a: pd.Series, b: pd.Series) -> pd.Series:
     """Whether the shingle sets of two lines reach the similarity, compared word by word."""
@@ -150,67 +161,86 @@ def similar(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="bool")
 
 
-def confirmed(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """(a, b) of the pairs (node, row, p, p_row) whose texts have similar sets, written.
+def confirmed(pairs: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
+    """(a, b) of the pairs (node, row, p, p_row) whose sets are similar, written.
 
-    A pivot may have very many partners, so its text is looked up with salts; a node has at
-    most as many pairs as there are pivots in its buckets.
+    Signatures settle most pairs before any text moves. A pivot may have very many partners,
+    so it is looked up with salts; a node has at most as many pairs as its buckets have pivots.
     """
-    who = pairs.select("row").union(pairs.select("p_row")).distinct()
+    ours = nodes.select("row", F.col("bytes").alias("a"))
+    theirs = nodes.select(F.col("row").alias("p_row"), F.col("bytes").alias("b"))
+    known = salted_lookup(pairs.join(ours, "row"), "p_row", theirs, ["node"], "inner", pinned=True)
+    asked = stage(known.where(agreeing("a", "b")).select("node", "row", "p", "p_row"), "asked")
+    who = asked.select("row").union(asked.select("p_row")).distinct()
     if who.count() <= BROADCAST_ROWS:  # eight bytes each
         who = F.broadcast(who)
     lines = stage(rows.join(who, "row"), "lines")
-    mine = pairs.join(lines, "row").select("node", "p", "p_row", F.col("line").alias("a_line"))
-    theirs = lines.select(F.col("row").alias("p_row"), F.col("line").alias("b_line"))
-    both = salted_lookup(mine, "p_row", theirs, ["node"], "inner", pinned=True)
+    mine = asked.join(lines, "row").select("node", "p", "p_row", F.col("line").alias("a_line"))
+    their_lines = lines.select(F.col("row").alias("p_row"), F.col("line").alias("b_line"))
+    both = salted_lookup(mine, "p_row", their_lines, ["node"], "inner", pinned=True)
     out = stage(both.where(similar("b_line", "a_line")).select(F.col("node").alias("a"), F.col("p").alias("b")), "similar")
+    drop_staged(asked)
     drop_staged(lines)
     return out
 
 
-def partial_roots(found: DataFrame) -> DataFrame:
-    """(node, root) of linked nodes: the smallest label two steps away, which is in the node's component."""
-    both = found.select("a", "b").unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    near = both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("root"))
-    further = near.select(F.col("node").alias("root"), F.col("root").alias("next"))
-    return stage(salted_lookup(near, "root", further, ["node"]).select("node", F.coalesce("next", "root").alias("root")), "near")
+class Links:
+    """Links found so far and the components they make."""
 
+    def __init__(self, nodes: DataFrame, rows: DataFrame):
+        self.nodes, self.rows, self.found, self.roots = nodes, rows, None, None
+
+    def check(self, pairs: DataFrame) -> None:
+        """Take in the links among (node, row, p, p_row)."""
+        pairs = stage(pairs.select("node", "row", "p", "p_row"), "pairs")
+        new = confirmed(pairs, self.nodes, self.rows)
+        drop_staged(pairs)
+        if new.limit(1).count():
+            self.found = new if self.found is None else self.found.unionByName(new)
+            self.roots = components(self.found)
 
-def links(nodes: DataFrame, rows: DataFrame) -> DataFrame | None:
-    """(a, b) links that give all components of nodes, or None if nothing is linked."""
+    def named(self, df: DataFrame, column: str, root: str, hot: bool) -> DataFrame:
+        """Adds the component of a node, which is the node itself as long as it has no link."""
+        if self.roots is None:
+            return df.withColumn(root, F.col(column))
+        of = self.roots.select(F.col("node").alias(column), F.col("root").alias(root))
+        found = salted_lookup(df, column, of, ["bucket"]) if hot else df.join(of, column, "left")
+        return found.withColumn(root, F.coalesce(root, column))
+
+
+def linked(nodes: DataFrame, rows: DataFrame) -> DataFrame | None:
+    """(node, root) of all nodes that have a link, or None if there is none."""
     keyed = nodes.select("node", "row", "n_shingles", F.explode("bands").alias("bucket"))
-    crowds = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("pivot")).where("n > 1")
-    members = stage(salted_lookup(keyed, "bucket", crowds, ["node"], "inner", pinned=True), "members")
+    pivot = F.min(F.struct(F.col("node").alias("p"), F.col("row").alias("p_row"), F.col("n_shingles").alias("p_n")))
+    crowds = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), pivot.alias("pivot")).where("n > 1")
+    met = salted_lookup(keyed, "bucket", crowds, ["node"], "inner", pinned=True)
+    members = stage(met.select("bucket", "node", "row", "n_shingles", "n", "pivot.*"), "members")
+    fits = 100 * F.least("n_shingles", "p_n") >= LEAST_PERCENT * F.greatest("n_shingles", "p_n")
+    links, others = Links(nodes, rows), members.where(fits & (F.col("node") != F.col("p")))
+    links.check(others.groupBy("node", "row").agg(F.min(F.struct("p", "p_row")).alias("s")).select("node", "row", "s.*"))
+    apart = links.named(links.named(others, "node", "root", False), "p", "p_root", True).where("root <> p_root")
+    links.check(apart.select("node", "row", "p", "p_row").distinct())
+
     share = (F.pmod(F.xxhash64("node", "bucket"), F.lit(1 << 40)) + 1) / F.lit(float(1 << 40)) * F.col("n")
-    rank = F.when(F.col("node") == F.col("pivot"), F.lit(0.0)).otherwise(share)
+    rank = F.when(F.col("node") == F.col("p"), F.lit(0.0)).otherwise(share)
     ranked = members.select("bucket", "node", "row", "n_shingles", rank.alias("rank"))
-    most = members.agg(F.max("n")).first()[0] or 0
-    found, reach, before = None, 0.0, -1.0
+    most = members.where("n > 2").agg(F.max("n")).first()[0] or 0
+    before, reach = 0.0, float(PIVOT_GROWTH)
     while before < most:
-        at = ranked.where(F.col("rank") > before).withColumn("root", F.col("node"))  # earlier pivots have met everybody
-        pivots = at.where(F.col("rank") <= reach)
-        if found is not None:
-            roots = partial_roots(found)
-            named = at.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            at = stage(named, "rooted")
-            spans = at.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-            mixed = stage(spans.where("lo <> hi").select("bucket"), "mixed")
-            if not mixed.limit(1).count():
-                break
-            pivots = at.where(F.col("rank") <= reach).join(mixed, "bucket")
-        pivots = pivots.select(
+        at = stage(links.named(ranked.where(F.col("rank") > before), "node", "root", False), "rooted")  # earlier pivots have met everybody
+        spans = at.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+        mixed = stage(spans.where("lo <> hi").select("bucket"), "mixed")
+        if not mixed.limit(1).count():
+            break
+        pivots = at.where(F.col("rank") <= reach).join(mixed, "bucket").select(
             "bucket", F.col("node").alias("p"), F.col("row").alias("p_row"), F.col("n_shingles").alias("p_n"), F.col("root").alias("p_root"))
-        met = salted_lookup(at, "bucket", pivots, ["node"], "inner", pinned=True)
-        apart = (F.col("root") != F.col("p_root")) & ((F.col("rank") > reach) | (F.col("node") > F.col("p")))
-        fits = 100 * F.least("n_shingles", "p_n") >= LEAST_PERCENT * F.greatest("n_shingles", "p_n")
-        pairs = stage(met.where(apart & fits).select("node", "row", "p", "p_row").distinct(), "pairs")
-        new = confirmed(pairs, rows)
-        drop_staged(pairs)
-        if new.limit(1).count():
-            found = new if found is None else found.unionByName(new)
-        before, reach = reach, (reach or 1.0) * PIVOT_GROWTH
+        pairs = salted_lookup(at, "bucket", pivots, ["node"], "inner", pinned=True).where(
+            fits & (F.col("root") != F.col("p_root")) & ((F.col("rank") > reach) | (F.col("node") > F.col("p"))))
+        links.check(pairs.select("node", "row", "p", "p_row").distinct())
+        drop_staged(at)
+        before, reach = reach, reach * PIVOT_GROWTH
     drop_staged(members)
-    return found
+    return links.roots
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -223,13 +253,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rows = stage(signed_rows(docs, key, text).withColumn("row", F.monotonically_increasing_id()), "signed")
     worded = rows.where("n_shingles > 0")
     one = worded.groupBy("node").agg(F.min("id").alias("id"), F.min("row").alias("row"), F.max("n_shingles").alias("n_shingles"))
-    nodes = stage(one.join(worded.select("row", "bands"), "row"), "nodes")
-    found = links(nodes, rows.select("row", "line"))
+    nodes = stage(one.join(worded.select("row", "bands", "bytes"), "row"), "nodes")
+    roots = linked(nodes, rows.select("row", "line"))
     named = nodes.select("node", "id")
-    if found is None:
+    if roots is None:
         named = named.select("node", F.col("id").alias("component_id"))
     else:
-        roots = components(found)
         rooted = named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
         named = salted_lookup(rooted, "root", least, ["node"]).select("node", "component_id")
