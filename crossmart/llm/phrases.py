@@ -8,6 +8,11 @@ automata of all shards are united and weights summed, and only then rare phrases
 are split step by step, at most ``FAN`` at once, so their number follows the size of the
 texts while a shard never falls into more than ``FAN`` pieces.
 
+Words and pairs are counted first. A longer phrase is no more frequent than any pair inside,
+so the second reading ends windows at the first pair that is too rare. It knows the frequent
+pairs as a broadcast list of hashes, up to ``KNOWN_PAIRS`` of them; with more, windows are not
+cut short, which costs more and counts the same.
+
 Parts are looked up by composing the automaton of the parts asked for with the automaton of
 the counts, again range by range. Parts with a thousandth of all words or more, of which there
 can be 5,000 at most, are broadcast instead, so no range is asked too often.
@@ -21,8 +26,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from crossmart.llm.common import salted_lookup, stage
@@ -37,6 +44,7 @@ RANGE_BYTES = 24 << 20
 FAN = 256
 #: Automata are kept apart by the words that place a phrase: one, two, or the first three of three to five.
 DEPTHS = (1, 2, LONGEST)
+KNOWN_PAIRS = 4_000_000
 ASKED_ROWS = 100_000
 HOT_SHARE = 1000
 SALTS = 64
@@ -98,14 +106,29 @@ def pack(columns: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def windows(codes: np.ndarray, keep: int) -> list[np.ndarray]:
-    """Five columns: the word at every place but the last ``keep`` and the four behind it, 0 from the end of the piece on."""
+def pair_keys(first: np.ndarray, second: np.ndarray, lang: str) -> np.ndarray:
+    """A number for every pair of words, from the words' hashes and their language."""
+    own = np.uint64(xxhash.xxh64_intdigest(lang.encode()))
+    mixed = (first * np.uint64(0x9E3779B97F4A7C15)) ^ (second * np.uint64(0xC2B2AE3D27D4EB4F)) ^ own
+    return mixed ^ mixed >> np.uint64(31)
+
+
+def windows(codes: np.ndarray, keep: int, longest: int, joined: np.ndarray | None = None) -> list[np.ndarray]:
+    """Columns: the word at every place but the last ``keep`` and those behind it, 0 from the end of the piece on.
+
+    ``joined`` says whether the word at a place goes with the next one; windows end where it does not.
+    """
     n = len(codes) - keep
-    longer = np.concatenate((codes, np.zeros(LONGEST, dtype=codes.dtype)))
+    longer = np.concatenate((codes, np.zeros(longest, dtype=codes.dtype)))
+    if joined is not None:
+        joined = np.concatenate((joined, np.zeros(longest, dtype=bool)))
     columns = [codes[:n]]
-    for k in range(1, LONGEST):
-        columns.append(longer[k : k + n] * (columns[-1] > 0))
-    there = columns[0] > 0
+    for k in range(1, longest):
+        goes = columns[-1] > 0
+        if joined is not None:
+            goes &= joined[k - 1 : k - 1 + n]
+        columns.append(longer[k : k + n] * goes)
+    there = columns[min(2, longest - 1) if joined is not None else 0] > 0
     return [c[there] for c in columns]
 
 
@@ -135,12 +158,19 @@ class Shard:
                 said = len(self.codes)
         yield []
 
-    def taken(self, keep: int) -> tuple[list[bytes], list[np.ndarray]]:
+    def taken(self, keep: int, longest: int, lang: str, pairs: np.ndarray | None) -> tuple[list[bytes], list[np.ndarray]]:
         """Vocabulary in byte order and the windows; the last ``keep`` places wait for the words behind them."""
         vocab = sorted(self.labels)
         to = np.zeros(len(vocab) + 1, dtype=np.int32)
         to[[self.labels[w] for w in vocab]] = np.arange(1, len(vocab) + 1)
-        return vocab, windows(to[np.array(self.codes, dtype=np.int32)], keep)
+        codes = to[np.array(self.codes, dtype=np.int32)]
+        if pairs is None:
+            return vocab, windows(codes, keep, longest)
+        spot = np.concatenate((np.zeros(1, dtype=np.uint64), place(vocab)))[codes]
+        keys = pair_keys(spot[:-1], spot[1:], lang)
+        at = np.minimum(np.searchsorted(pairs, keys), max(len(pairs) - 1, 0))
+        joined = pairs[at] == keys if len(pairs) else np.zeros(len(keys), dtype=bool)
+        return vocab, windows(codes, keep, longest, joined)
 
 
 def fragment(at: int, lang: str, depth: int, automaton: CountAutomaton) -> pa.RecordBatch:
@@ -149,20 +179,21 @@ def fragment(at: int, lang: str, depth: int, automaton: CountAutomaton) -> pa.Re
         names=["at", "lang", "depth", "payload"])
 
 
-def shard_fragments(docs: DataFrame, bits: int) -> DataFrame:
-    """Fragments (range, lang, depth, automaton) of the shards of (lang, text)."""
+def shard_fragments(docs: DataFrame, bits: int, depths: tuple[int, ...], known: Broadcast | None = None) -> DataFrame:
+    """Fragments (range, lang, depth, automaton) of the shards of (lang, text); ``known`` are the frequent pairs' keys, sorted."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards: dict[str, Shard] = {}
+        pairs = None if known is None else known.value
 
         def taken(current: str, tail: list[bytes]) -> Iterator[pa.RecordBatch]:
             for name in list(shards):
-                vocab, columns = shards[name].taken(len(tail) if name == current else 0)
+                vocab, columns = shards[name].taken(len(tail) if name == current else 0, max(depths), name, pairs)
                 if name == current:
                     shards[name].restart(tail)
                 else:
                     del shards[name]
-                for r, depth, automaton in automata(vocab, columns, bits):
+                for r, depth, automaton in automata(vocab, columns, bits, depths=depths):
                     yield fragment(r, name, depth, automaton)
 
         held = 0
@@ -205,15 +236,9 @@ def split_further(fragments: DataFrame, coarse: int, fine: int) -> DataFrame:
     return dealt.groupBy("at", "salt").applyInPandas(cut, FRAGMENT)
 
 
-def counted(docs: DataFrame, least: int = LEAST, range_bytes: int = RANGE_BYTES, fan: int = FAN) -> DataFrame:
-    """(lang, words, phrase, f) of (lang, text): phrases with at least ``least`` occurrences, written.
-
-    Rows with ``words`` 0 add up to the number of words of the language.
-    """
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = max(0, (size // range_bytes).bit_length())
+def united(fragments: DataFrame, now: int, bits: int, fan: int, least: int, name: str) -> DataFrame:
+    """(lang, words, phrase, f) of all fragments: frequent phrases, and rows of 0 words that add up to a language's words."""
     step = fan.bit_length() - 1
-    fragments, now = shard_fragments(docs, min(bits, step)), min(bits, step)
     while now < bits:
         fragments = split_further(fragments, now, min(bits, now + step))
         now = min(bits, now + step)
@@ -229,7 +254,35 @@ def counted(docs: DataFrame, least: int = LEAST, range_bytes: int = RANGE_BYTES,
                 out += [(lang, k + 1, p.decode(), f) for p, f in zip(found, automaton.weights[k][often].tolist(), strict=True)]
         return pd.DataFrame(out, columns=["lang", "words", "phrase", "f"])
 
-    return stage(fragments.groupBy("at").applyInPandas(unite, "lang string, words int, phrase string, f long"), "phrases")
+    return stage(fragments.groupBy("at").applyInPandas(unite, "lang string, words int, phrase string, f long"), name)
+
+
+@F.pandas_udf(T.LongType())
+def key_of_pair(lang: pd.Series, phrase: pd.Series) -> pd.Series:
+    out = []
+    for g, p in zip(lang, phrase, strict=True):
+        a, b = (np.array([xxhash.xxh64_intdigest(w)], dtype=np.uint64) for w in p.encode().split(b" "))
+        out.append(pair_keys(a, b, g).view(np.int64)[0])
+    return pd.Series(out, dtype="int64")
+
+
+def counted(
+    docs: DataFrame, least: int = LEAST, range_bytes: int = RANGE_BYTES, fan: int = FAN, known_pairs: int = KNOWN_PAIRS
+) -> DataFrame:
+    """(lang, words, phrase, f) of (lang, text): phrases with at least ``least`` occurrences.
+
+    Rows with ``words`` 0 add up to the number of words of the language.
+    """
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = max(0, (size // range_bytes).bit_length())
+    first = min(bits, fan.bit_length() - 1)
+    short = united(shard_fragments(docs, first, DEPTHS[:2]), first, bits, fan, least, "short")
+    pairs = short.where("words = 2")
+    known = None
+    if pairs.count() <= known_pairs:
+        keys = np.array(pairs.select(key_of_pair("lang", "phrase").alias("k")).toArrow()["k"], dtype=np.int64)  # at most known_pairs numbers
+        known = docs.sparkSession.sparkContext.broadcast(np.sort(keys.view(np.uint64)))
+    return short.unionByName(united(shard_fragments(docs, first, DEPTHS[2:], known), first, bits, fan, least, "long"))
 
 
 def part_counts(asked: DataFrame, counts: DataFrame, n_words: int, n_asked: int) -> DataFrame:

@@ -72,7 +72,7 @@ def corpus(seed, size):
     return [(i, "".join(w + rng.choice(join) for w in rng.choices(words, k=rng.randrange(40))), rng.choice(["en", "de", None])) for i in range(size)]
 
 
-@pytest.mark.parametrize("sizes", [{}, {"range_bytes": 400}, {"range_bytes": 300, "fan": 4}])
+@pytest.mark.parametrize("sizes", [{}, {"range_bytes": 400, "known_pairs": 0}, {"range_bytes": 300, "fan": 4}])
 def test_phrases_match_plain_counts(spark, sizes):
     rows = corpus(1, 120) + ODD
     got = phrases.collocations(table(spark, rows), least=4, top=60, **sizes)
