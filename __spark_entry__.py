@@ -285,6 +285,23 @@ def version_faults(i: Inputs) -> DataFrame:
     return dims.version_faults(again.withColumn("valid_to", shifted))
 
 
+def addressed_versions(i: Inputs) -> DataFrame:
+    """The content-addressed history after two deliveries and a repeated one."""
+    dim = dims.no_addressed(i.spark)
+    for rows, day in ((i.catalogue_stg, demo.SNAPSHOT), (i.recolored, LATER), (i.recolored, LATER)):
+        products = dims.canonical_products(rows).select(
+            "style_color", "model_number", "product_name", "color_name", "gender_segment", "category")
+        dim = i.stored("addressed", dims.load_addressed(dim, products, day))
+    return dim.drop("version_hash", "change_digest")
+
+
+def lost_rates(i: Inputs) -> DataFrame:
+    """Quotes that a load loses whose calendar ends in January and whose currencies have no table B."""
+    days = i.t["dim_date"].where("full_date < DATE '2024-01-10'")
+    codes = i.t["dim_currency"].where("nbp_table_type IS NULL OR nbp_table_type <> 'B'")
+    return facts.unmatched_rates(i.rates_stg, {"dim_date": days, "dim_currency": codes})
+
+
 def compacted(i: Inputs) -> Warehouse:
     """A warehouse after one load a third of the markets and a compaction of their folders."""
     root = i.scratch("compacted")
@@ -518,6 +535,8 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "m10_price_reload_rows": price_reload_rows,
     "m10_compacted_prices": compacted_prices,
     "m7_version_faults": version_faults,
+    "m7_addressed_versions": addressed_versions,
+    "j2_lost_rates": lost_rates,
     "m12_reject_log": reject_log,
     "m12_reject_rows": lambda i: i.t["reject_log"].select("source_table", "raw_row", "reject_reason", "load_batch_id"),
     "m13_run_audit": run_audit,

@@ -336,3 +336,22 @@ def unmatched_rows(catalogue_stg: DataFrame, dims: dict[str, DataFrame]) -> Data
     return rows.where(lost).select(
         *names, *[F.col(f).isNull().alias(name) for f, name in flags.items()], "n_rows"
     )
+
+
+def unmatched_rates(rates_stg: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Staged quotes that the rate load loses, with one flag per missing dimension and the rows concerned.
+
+    Quotes without a code are not loaded either and have their own flag. A date that is none
+    has no day. Equal quotes are counted first.
+    """
+    rows = (
+        rates_stg.groupBy("table_type", "code", "effective_date").agg(F.count("*").alias("n_rows"))
+        .withColumn("effective_day", to_date_or_null(F.col("effective_date")))
+    )
+    yes = F.lit(True)
+    days = F.broadcast(dims["dim_date"].select(F.col("full_date").alias("effective_day"), yes.alias("_d")))
+    codes = dims["dim_currency"].select(F.col("currency_code").alias("code"), yes.alias("_c"))
+    known = lookup_join(rows.join(days, "effective_day", "left"), codes, ["code"], "left")
+    flags = {"no_code": F.col("code").isNull(), "no_currency": F.col("code").isNotNull() & F.col("_c").isNull(), "no_day": F.col("_d").isNull()}
+    return known.where(flags["no_code"] | flags["no_currency"] | flags["no_day"]).select(
+        "table_type", "code", "effective_date", "n_rows", *[flag.alias(name) for name, flag in flags.items()])

@@ -210,6 +210,19 @@ ended AS (
 SELECT style_color, 'reversed' AS fault, DATE '2024-02-15' AS valid_from, DATE '2024-02-14' AS valid_to FROM ended
 UNION ALL SELECT style_color, 'overlap', valid_from, valid_to + 2 FROM ended WHERE digit IN ('1', '4', '7')
 UNION ALL SELECT style_color, 'gap', valid_from, valid_to - 2 FROM ended WHERE digit IN ('2', '5', '8')""",
+        "m7_addressed_versions": PART(WH, LATER) + """
+SELECT sha256('=' || style_color) AS product_hash, style_color, model_number, product_name, color_name, gender_segment, category,
+       valid_from, valid_to, is_current
+FROM later_product""",
+        "j2_lost_rates": wh + """
+SELECT * FROM (
+  SELECT table_type, code, effective_date, count(*) AS n_rows, code IS NULL AS no_code,
+         code IS NOT NULL AND code NOT IN (
+           SELECT currency_code FROM dim_currency WHERE nbp_table_type IS NULL OR nbp_table_type <> 'B') AS no_currency,
+         coalesce(TRY_CAST(effective_date AS DATE) >= DATE '2024-01-10', TRUE)
+         OR TRY_CAST(effective_date AS DATE) NOT IN (SELECT full_date FROM dim_date) AS no_day
+  FROM rates_stg GROUP BY 1, 2, 3
+) WHERE no_code OR no_currency OR no_day""",
         "m10_compacted_prices": wh + f"""
 SELECT country_code, count(*) AS n, count(DISTINCT style_color) AS styles, sum(local_u){CENT} AS local_price
 FROM enriched GROUP BY 1""",
