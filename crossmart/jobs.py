@@ -1,6 +1,7 @@
-"""Command line jobs for ``spark-submit``: load, rates, profile.
+"""Command line jobs for ``spark-submit``: load, compact, rates, profile.
 
     python -m crossmart.jobs load --root DIR --mode initial --catalogue FILES --rates FILES
+    python -m crossmart.jobs compact --root DIR [--fan N] [--buckets N]
     python -m crossmart.jobs rates --landed DIR --tables A B --out DIR [--start D --end D | --last-days N]
     python -m crossmart.jobs profile --catalogue FILES --codes DIR --out DIR
 
@@ -15,8 +16,8 @@ from datetime import date
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from crossmart.plans import calendar, profile
-from crossmart.plans.warehouse import MODES, run_load
+from crossmart.plans import calendar, profile, storage
+from crossmart.plans.warehouse import MODES, compact, run_load
 from crossmart.sources import files
 from crossmart.sources.split_csv import read_split_csv
 
@@ -33,6 +34,11 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     load.add_argument("--skip-catalogue", action="store_true", help="load rates only")
     load.add_argument("--load-date", type=date.fromisoformat, default=None)
 
+    merge = jobs.add_parser("compact", help="merge small fact folders")
+    merge.add_argument("--root", required=True)
+    merge.add_argument("--fan", type=int, default=storage.FAN, help="folders of about one size that are merged")
+    merge.add_argument("--buckets", type=int, help="rewrite the price folders in that many buckets")
+
     rates = jobs.add_parser("rates", help="flatten landed rate documents")
     rates.add_argument("--landed", required=True, help="folder with one sub-folder per table letter")
     rates.add_argument("--tables", nargs="+", default=["A", "B"])
@@ -92,7 +98,11 @@ def profile_job(spark: SparkSession, args: argparse.Namespace) -> None:
     files.write_csv(extract, f"{args.out}/product_country")
 
 
-JOBS = {"load": load_job, "rates": rates_job, "profile": profile_job}
+def compact_job(spark: SparkSession, args: argparse.Namespace) -> None:
+    compact(spark, args.root, args.fan, args.buckets)
+
+
+JOBS = {"load": load_job, "compact": compact_job, "rates": rates_job, "profile": profile_job}
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
