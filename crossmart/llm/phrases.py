@@ -50,19 +50,25 @@ HOT_SHARE = 1000
 SALTS = 64
 FRAGMENT = "at long, lang string, depth int, payload binary"
 UPPER, ENDS = bytes(range(0x41, 0x5B)), b".,;:!?\x0a\x0b\x0c\x0d"
-#: A-Z to a-z, piece ends to line breaks.
-PLAIN = bytes.maketrans(UPPER + ENDS, UPPER.lower() + b"\n" * len(ENDS))
-#: Words of one piece that are numbered at once, so that a piece has no bound.
+#: A-Z to a-z, tabs to blanks, piece ends to line breaks.
+PLAIN = bytes.maketrans(UPPER + b"\t" + ENDS, UPPER.lower() + b" " + b"\n" * len(ENDS))
+#: Tokens that are numbered at once, so that a text has no bound.
 SLICE = 1 << 17
 
 
 class Labels(dict):
-    """Numbers words from 1 in the order they come."""
+    """Numbers words from 1 in the order they come; a piece's end is 0, what lies between two blanks is -1."""
+
+    def __init__(self):
+        super().__init__({b"\n": 0, b"": -1})
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = found = len(self) + 1
+        self[word] = found = len(self) - 1
         return found
 
+    def words(self) -> list[bytes]:
+        return sorted(w for w, label in self.items() if label > 0)
+
 
 def place(vocab: list[bytes]) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(w) for w in vocab], dtype=np.uint64)
@@ -132,6 +138,17 @@ def windows(codes: np.ndarray, keep: int, longest: int, joined: np.ndarray | Non
     return [c[there] for c in columns]
 
 
+def last_words(tokens: list[bytes]) -> list[bytes]:
+    """The last words of the piece that the tokens end in, as many as a window reaches ahead."""
+    found: list[bytes] = []
+    for token in reversed(tokens):
+        if token == b"\n" or len(found) == LONGEST - 1:
+            break
+        if token:
+            found.append(token)
+    return found[::-1]
+
+
 class Shard:
     """Words of one language, numbered, with 0 between pieces."""
 
@@ -144,26 +161,21 @@ class Shard:
 
     def add(self, text: bytes) -> Iterator[list[bytes]]:
         """Adds a text. Yields where the shard may be taken, with the words that then begin the next one."""
-        said = len(self.codes)
-        for piece in text.translate(PLAIN).split(b"\n"):
-            words = piece.split()
-            for a in range(0, len(words), SLICE):
-                labels = self.labels
-                self.codes.extend([labels[w] for w in words[a : a + SLICE]])
-                if a + SLICE < len(words):
-                    yield words[a + SLICE - LONGEST + 1 : a + SLICE]
-            self.codes.append(0)
-            if len(self.codes) - said >= SLICE:
-                yield []
-                said = len(self.codes)
+        tokens = text.translate(PLAIN).replace(b"\n", b" \n ").split(b" ")
+        for a in range(0, len(tokens), SLICE):
+            self.codes.extend(map(self.labels.__getitem__, tokens[a : a + SLICE]))
+            if a + SLICE < len(tokens):
+                yield last_words(tokens[: a + SLICE])
+        self.codes.append(0)
         yield []
 
     def taken(self, keep: int, longest: int, lang: str, pairs: np.ndarray | None) -> tuple[list[bytes], list[np.ndarray]]:
         """Vocabulary in byte order and the windows; the last ``keep`` places wait for the words behind them."""
-        vocab = sorted(self.labels)
+        vocab = self.labels.words()
         to = np.zeros(len(vocab) + 1, dtype=np.int32)
         to[[self.labels[w] for w in vocab]] = np.arange(1, len(vocab) + 1)
-        codes = to[np.array(self.codes, dtype=np.int32)]
+        codes = np.array(self.codes, dtype=np.int32)
+        codes = to[codes[codes >= 0]]
         if pairs is None:
             return vocab, windows(codes, keep, longest)
         spot = np.concatenate((np.zeros(1, dtype=np.uint64), place(vocab)))[codes]
