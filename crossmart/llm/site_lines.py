@@ -30,10 +30,16 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(authority, "^.*@", ""), ":[0-9]*$", ""))
 
 
+def by_first_letter(names: list[str]) -> str:
+    """A pattern of any of the names that looks at their first letter once."""
+    letters = sorted({n[0] for n in names})
+    return "|".join(f"{x}(?:{'|'.join(n[1:] for n in names if n[0] == x)})" for x in letters)
+
+
 def lines_of_html(html: Column) -> Column:
     """The visible lines of a page: blocks and breaks end a line, other tags vanish."""
-    text = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>", "\n")
-    text = F.regexp_replace(text, rf"(?is)</?({'|'.join(BLOCK_TAGS)})(\s[^>]*)?/?>", "\n")
+    text = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<(?:!--.*?-->|script\b.*?</script>|style\b.*?</style>)", "\n")
+    text = F.regexp_replace(text, rf"(?is)</?(?:{by_first_letter(BLOCK_TAGS)})(?:\s[^>]*)?/?>", "\n")
     text = F.regexp_replace(text, r"(?s)<[A-Za-z/!][^>]*>", "")
     plain = text
     for name, char in REFERENCES:
@@ -43,7 +49,7 @@ def lines_of_html(html: Column) -> Column:
 
 def lines_of_text(text: Column) -> Column:
     """Non-empty lines, with white space inside turned into one space."""
-    parts = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09\x0B-\x0D]+", " "), " ?\n ?", -1)
+    parts = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09\x0B-\x0D]{2,}|[\x09\x0B-\x0D]", " "), " ?\n ?", -1)
     return F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "")
 
 
