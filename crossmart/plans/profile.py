@@ -144,10 +144,10 @@ def expanded(raw: DataFrame) -> DataFrame:
     cell = lambda part, *keys: F.struct(
         F.lit(part).alias("part"), *[(keys[i] if i < len(keys) else none).alias(f"k{i + 1}") for i in range(3)])
     filled = [F.coalesce(c, F.lit("")) != "" for c in ("style_color", "country_code")]
-    grain = F.when(filled[0] & filled[1], cell("grain", F.col("style_color"), F.col("country_code"), F.col("snapshot_date")))
-    values = [F.when(F.col(c).isNotNull(), cell(c, F.col(c))) for c in ("country_code", "currency")]
-    cells = F.array_compact(F.array(cell("rows", faults.cast("string")), *values, grain))
-    return raw.select(F.inline(cells)).groupBy("part", "k1", "k2", "k3").agg(F.count("*").alias("n"))
+    grain = cell("grain", F.when(filled[0] & filled[1], F.col("style_color")), F.col("country_code"), F.col("snapshot_date"))
+    values = [cell(c, F.col(c)) for c in ("country_code", "currency")]
+    cells = F.array(cell("rows", faults.cast("string")), *values, grain)
+    return raw.select(F.inline(cells)).where("k1 IS NOT NULL").groupBy("part", "k1", "k2", "k3").agg(F.count("*").alias("n"))
 
 
 def summary(raw: DataFrame, codes: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from functools import cached_property
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
@@ -67,7 +68,11 @@ class Warehouse:
         loads = [r for r in rows if r.load_type != COMPACTION]
         self.runs = [r.run_id for r in loads]
         self.price_runs = [r.run_id for r in loads if not r.load_type.endswith(RATES_ONLY)]
-        self.folders = storage.read_manifest(spark, self.root, self.committed[-1]) if rows else []
+
+    @cached_property
+    def folders(self) -> list[storage.Folder]:
+        """The newest manifest as of when the warehouse was opened."""
+        return storage.read_manifest(self.spark, self.root, self.committed[-1]) if self.committed else []
 
     def path(self, table: str, run: int | None = None) -> str:
         return f"{self.root}/{table}" + (f"/run={run}" if run is not None else "")
@@ -258,9 +263,9 @@ def started_run(spark: SparkSession, root: str, label: str, package: str) -> tup
 
 def commit(before: Warehouse, run: int, kept: list[storage.Folder], added: list[storage.Folder]) -> None:
     """Write the run's manifest; refuses if another run was committed since this one began."""
-    now = Warehouse(before.spark, before.root)
-    if now.committed != before.committed:
-        raise RuntimeError(f"run {now.committed[-1]} was committed while run {run} was at work; repeat it")
+    newest = before.run_events().where("status = 'SUCCESS'").agg(F.max("run_id")).head()[0]
+    if newest != (before.committed[-1] if before.committed else None):
+        raise RuntimeError(f"run {newest} was committed while run {run} was at work; repeat it")
     storage.write_manifest(before.spark, before.root, run, [*kept, *added])
 
 
@@ -331,11 +336,10 @@ def remove_old_folders(state: Warehouse, run: int, keep: int) -> None:
         runs = state.price_runs if name == "staging_catalogue" else state.runs
         for old in runs[: -max(keep, 1)]:
             remove(name, old)
-    staying = state.committed[-max(keep, 1):]
+    falling = [r for r in state.committed[: -max(keep, 1)] if fs.exists(paths(state.path("manifest", r)))]
+    staying = state.committed[-max(keep, 1):] if falling else []
     needed = {(f.table, f.run) for r in staying for f in storage.read_manifest(state.spark, state.root, r)}
-    for old in state.committed[: -max(keep, 1)]:
-        if not fs.exists(paths(state.path("manifest", old))):
-            continue
+    for old in falling:
         for f in storage.read_manifest(state.spark, state.root, old):
             if f.table in FACTS and (f.table, f.run) not in needed:
                 remove(f.table, f.run)

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from crossmart import schemas
 from crossmart.functions import blank_to_null, default_label, table_label, table_rank
 from crossmart.operators.pick import first_row
-from crossmart.sources.split_csv import read_split_csv
+from crossmart.sources.split_csv import read_split_csv, splittable
 
 
 def read_text_csv(
@@ -30,10 +30,13 @@ def read_text_csv(
 
 
 def read_catalogue_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Catalogue files; quoted line breaks keep no file from being read by many tasks."""
-    if multi_line:
+    """Catalogue files; quoted line breaks keep no large file from being read by many tasks.
+
+    Files that fit one task anyway are read file by file, with the same result.
+    """
+    if multi_line and splittable(spark, path):
         return read_split_csv(spark, path, schemas.CATALOGUE_COLUMNS)
-    return read_text_csv(spark, path, schemas.CATALOGUE_COLUMNS, multi_line=False)
+    return read_text_csv(spark, path, schemas.CATALOGUE_COLUMNS, multi_line)
 
 
 def read_rates_csv(spark: SparkSession, path: str) -> DataFrame:

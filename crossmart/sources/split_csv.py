@@ -30,6 +30,13 @@ MOST_HEADERS = 16
 OPTIONS = {"quote": '"', "escape": '"', "nullValue": "", "emptyValue": "", "multiLine": "true", "mode": "PERMISSIVE"}
 
 
+def splittable(spark: SparkSession, path: str) -> bool:
+    """Whether some file is larger than what one task reads."""
+    block = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    largest = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]  # the contents are not read
+    return (largest or 0) > block
+
+
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, block, at, line): lines in the order of ``at`` inside a block, quotes not looked at.
 

@@ -7,7 +7,7 @@ import random
 import pytest
 
 from crossmart.sources.files import read_text_csv
-from crossmart.sources.split_csv import read_split_csv, text_lines
+from crossmart.sources.split_csv import read_split_csv, splittable, text_lines
 
 COLUMNS = ["a", "b", "c"]
 PIECES = ["x", "yy", "", '"', "\n", "\r\n", ",", "é", "日本", " ", "NA", "''", "\n\n", '""', "line one\nline two"]
@@ -51,6 +51,14 @@ def test_equals_the_reader_of_one_task(spark, tmp_path, small_blocks, seed, endi
     assert listed(got) == listed(read_text_csv(spark, str(folder), COLUMNS))
 
 
+def test_large_files_only_are_split(spark, tmp_path, small_blocks):
+    rows = [[str(i), "x\ny", "z"] for i in range(200)]
+    written(tmp_path / "large.csv", rows)
+    written(tmp_path / "small.csv", rows[:20])
+    assert splittable(spark, str(tmp_path)) and splittable(spark, str(tmp_path / "large.csv"))
+    assert not splittable(spark, str(tmp_path / "small.csv"))
+
+
 def test_a_field_longer_than_several_blocks(spark, tmp_path, small_blocks):
     rows = [["1", "short", "x"], ["2", "\n".join(["long, line"] * 700), 'q"q'], ["3", "\n" * 2500, "y"], ["4", "end", "z"]]
     written(tmp_path / "a.csv", rows)
