@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crossmart.llm.common import NUMBERING_BUCKETS, numbered, salted_lookup, unit_hash
+from crossmart.llm.common import NUMBERING_BUCKETS, let, numbered, salted_lookup, unit_hash
 
 SEED = "mix"
 #: A larger mean is drawn as a sum of equal parts, so exp(-mean) never underflows.
@@ -55,7 +55,7 @@ def repetitions(rate: Column, *key: Column, seed: str = SEED) -> Column:
     """How often a document enters the mixture; 0 for a rate of 0."""
     parts = F.greatest(F.lit(1), F.ceil(rate / LARGEST_PART)).cast("int")
     mean = rate / parts
-    draws = F.transform(F.sequence(F.lit(1), parts), lambda i: poisson(unit_hash(F.lit(seed), i, *key), mean))
+    draws = F.transform(F.sequence(F.lit(1), parts), lambda i: let(unit_hash(F.lit(seed), i, *key), lambda u: poisson(u, mean)))
     return F.aggregate(draws, F.lit(0), lambda a, n: a + n)
 
 
@@ -82,11 +82,11 @@ def mixed(
         rated = keyed.join(F.broadcast(named), "_source")
     else:
         rated = salted_lookup(keyed, "_source", named, [key], "inner")
-    rated = rated.withColumn("_digest", F.md5(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")))
-    drawn = rated.withColumn("n_copies", repetitions(F.col("_rate"), F.col(key), F.col("_digest"), seed=seed)).where("n_copies > 0")
+    digest = F.md5(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8"))  # once a document, not once a step of its draw
+    drawn = rated.withColumn("n_copies", let(digest, lambda d: repetitions(F.col("_rate"), F.col(key), d, seed=seed))).where("n_copies > 0")
     copies = drawn.select(
         *own, F.explode(F.sequence(F.lit(0), F.col("n_copies") - 1)).alias("copy"), "n_copies", F.col("_rate").alias("rate"),
-        "_digest",
+        digest.alias("_digest"),
     )
     keyed = copies.withColumn("_order", F.md5(F.concat_ws(
         ":", F.lit(seed + "-order"), F.coalesce(F.col(key).cast("string"), F.lit("null")), "_digest", F.col("copy").cast("string")))).drop("_digest")
