@@ -98,10 +98,13 @@ def market_histogram(raw: DataFrame) -> DataFrame:
 
 def extract_rows(raw: DataFrame) -> DataFrame:
     """The collapsed extract with tolerant numbers, one row per style, market, snapshot."""
-    keys = ["style_color", "country_code", "snapshot_date"]
-    rows = first_row(keyed(raw), keys, ["sku"])
-    return rows.select(
-        *keys, "model_number", "product_name", "color_name", "gender_segment", "category",
+    return extract_columns(first_row(keyed(raw), ["style_color", "country_code", "snapshot_date"], ["sku"]))
+
+
+def extract_columns(collapsed: DataFrame) -> DataFrame:
+    """The extract's columns, with tolerant numbers, of rows that are collapsed already."""
+    return collapsed.select(
+        "style_color", "country_code", "snapshot_date", "model_number", "product_name", "color_name", "gender_segment", "category",
         "subcategory", "currency",
         to_float(F.col("price_local")).alias("price_local"),
         to_float(F.col("sale_price_local")).alias("sale_price_local"),
