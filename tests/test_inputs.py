@@ -26,3 +26,10 @@ def test_a_query_loads_only_what_it_reads(spark, sf_dir, tmp_path, name):
     cursor = connect(sf_dir).execute(entry.oracle_sql()[name])
     assert got == sorted_rows([d[0] for d in cursor.description], cursor.fetchall())
     assert demo.loaded(spark, str(tmp_path)) is None
+
+
+def test_the_markets_of_a_fact_are_combined_before_they_meet_the_dimension(spark, sf_dir):
+    """Raw price rows do not travel by their market, of which there are few."""
+    plan = entry.BUILDERS["b4_market_count"](entry.inputs(spark, spark.sparkContext.applicationId, sf_dir))._jdf.queryExecution().optimizedPlan()
+    semi = plan.toString().split("LeftSemi")[1]
+    assert semi.index("Aggregate [geo_key") < semi.index("Relation [price_key")
