@@ -3,14 +3,13 @@
 A reader that follows quotes from the first byte to the last needs one task a file. Here the
 file is cut into blocks as any text file is, and quotes are only counted:
 
-1. every block numbers its lines and keeps, before each, the parity of the quotes since the
-   start of the block;
-2. the parities of whole blocks are added up over a file, which is a table of one row a
-   block, and say whether a block starts inside a quoted field;
-3. a line begins a record if it is not inside a quoted field, and a line that also ends
-   outside of one is a whole record and stays where it is;
-4. only lines of records that stretch over several lines meet in a shuffle, by the place
-   where the record begins, also across blocks;
+1. every line counts its quotes, and every block adds them up;
+2. the sums of whole blocks are added up over a file, which is a table of one row a block,
+   and say whether a block starts inside a quoted field;
+3. a block that starts outside of one and has no line with an odd number of quotes holds whole
+   records only, which stay where they are;
+4. the lines of other blocks move once, by their block, and become records there; only lines
+   that end a record of an earlier block move to that one;
 5. records become columns with ``from_csv``.
 """
 
@@ -49,62 +48,88 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def numbered_quotes(lines: DataFrame) -> DataFrame:
-    """Adds ``quotes`` of the line and ``before``, the quotes of the block's earlier lines."""
-    counted = lines.withColumn("quotes", (F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))).cast("long"))
-    earlier = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    return counted.withColumn("before", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)))
+def counted_lines(lines: DataFrame) -> DataFrame:
+    """Adds ``quotes`` of the line and whether it is ``blank``."""
+    return lines.withColumns({
+        "quotes": (F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))).cast("long"),
+        "blank": F.col("line").isin("", "\r"),
+    })
 
 
-def block_states(numbered: DataFrame) -> DataFrame:
-    """(file, block, opening, carried): whether a block starts inside a quoted field, and the last earlier block in which a record begins."""
-    even = F.col("before") % 2 == 0
-    blocks = numbered.groupBy("file", "block").agg(
-        F.sum("quotes").alias("quotes"), F.count_if(even).alias("if_closed"), F.count_if(~even).alias("if_open"))
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+def block_states(lines: DataFrame) -> DataFrame:
+    """One row a block: how it starts and what its lines need.
+
+    ``start`` is its first line and stands for the block, ``first_odd`` its first line with an odd
+    number of quotes, ``opening`` whether it starts inside a quoted field, ``carried`` the last
+    earlier block in which a record begins, ``mixed`` whether a line of it may be a part of a
+    record. ``file_start`` stands for the file, ``head`` is the file's first line that is not blank.
+    """
+    blocks = lines.groupBy("file", "block").agg(
+        F.sum("quotes").alias("quotes"), F.min("at").alias("start"), F.max("at").alias("last"),
+        F.min(F.when(F.col("quotes") % 2 == 1, F.col("at"))).alias("first_odd"),
+        F.min(F.when(~F.col("blank"), F.col("at"))).alias("first_text"))
+    ordered = Window.partitionBy("file").orderBy("block")
+    earlier, whole = ordered.rowsBetween(Window.unboundedPreceding, -1), ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     opened = blocks.withColumn("opening", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
-    begins = F.when(F.col("opening") == 0, F.col("if_closed")).otherwise(F.col("if_open")) > 0
-    carried = F.last(F.when(begins, F.col("block")), ignorenulls=True).over(earlier)
-    return opened.select("file", "block", "opening", carried.alias("carried"))
+    begins = (F.col("opening") == 0) | (F.col("first_odd") < F.col("last"))
+    return opened.select(
+        "file", "block", "start", "first_odd", "opening",
+        F.last(F.when(begins, F.col("start")), ignorenulls=True).over(earlier).alias("carried"),
+        ((F.col("opening") == 1) | F.col("first_odd").isNotNull()).alias("mixed"),
+        F.min("start").over(whole).alias("file_start"), F.first("first_text", ignorenulls=True).over(whole).alias("head"))
+
+
+def stitched(lines: DataFrame) -> DataFrame:
+    """(file_start, is_head, line) of the records that begin in mixed blocks.
+
+    A block that starts inside a field closes it at its first line with an odd number of quotes;
+    the lines up to there go to the block in which that record begins. The others begin outside
+    of a field, so the quotes before a line say whether it begins a record.
+    """
+    carried = (F.col("opening") == 1) & (F.col("first_odd").isNull() | (F.col("at") <= F.col("first_odd")))
+    joined = lambda rows: F.array_join(F.transform(F.array_sort(rows), lambda r: r["line"]), "\n")
+    ends = lines.where(carried).groupBy(F.col("carried").alias("_to")).agg(
+        joined(F.collect_list(F.struct("block", "at", "line"))).alias("end"))
+    own = lines.where(~carried).select("start", "at", "line", "quotes", "file_start", "is_head")
+    inside = Window.partitionBy("start").orderBy("at")
+    before = F.coalesce(F.sum("quotes").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    begun = own.withColumn("before", before).withColumn(
+        "first", F.last(F.when(F.col("before") % 2 == 0, F.col("at")), ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    found = begun.groupBy("start", "first").agg(
+        joined(F.collect_list(F.struct("at", "line"))).alias("line"), F.sum("quotes").alias("quotes"),
+        F.max("file_start").alias("file_start"), F.max("is_head").alias("is_head"))
+    # only the last record of a block is open; it ends in later blocks, or with its file
+    whole = found.join(ends.hint("shuffle_hash"), (F.col("start") == F.col("_to")) & (F.col("quotes") % 2 == 1), "left")
+    text = F.when(F.col("end").isNull(), F.col("line")).otherwise(F.concat("line", F.lit("\n"), "end"))
+    return whole.select("file_start", "is_head", text.alias("line"))
 
 
 def records(spark: SparkSession, path: str, scratch: str) -> tuple[DataFrame, DataFrame]:
-    """(file, first, record) of all records but headers, and (file, header) of every file.
+    """(header, record) of all records but headers, and (file_start, header, returns) of every file.
 
-    Line counts are written to ``scratch`` once, because two passes use them. A record of
-    several lines is put together in one task; a quote that is never closed makes one record
-    of the rest of its file, as it does for a reader that follows quotes.
+    Counted lines are written to ``scratch`` once, because several passes use them and must see
+    the same blocks. A record of several lines is put together in one task; a quote that is never
+    closed makes one record of the rest of its file, as it does for a reader that follows quotes.
     """
-    numbered_quotes(text_lines(spark, path)).write.mode("overwrite").parquet(scratch)
-    lines = spark.read.parquet(scratch)
-    joined = lines.join(block_states(lines), ["file", "block"])
-    inside = (F.col("before") + F.col("opening")) % 2
-    after = (inside + F.col("quotes")) % 2
-    begins = inside == 0
-    # the place of the record: the last begin in the block, else the last one of the block that carries it in
-    back = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    states = joined.withColumns({"begins": begins, "whole": begins & (after == 0)})
-    whole = states.where("whole").select("file", "block", "at", "line")
-    parts = states.where(~F.col("whole"))  # few: only these are ordered and shuffled
-    place = F.last(F.when(F.col("begins"), F.col("at")), ignorenulls=True).over(back)
-    tagged = parts.withColumn("place", place)
-    # a carried part has no begin in its block: its record is the last one begun in the block named by ``carried``
-    ends = tagged.groupBy("file", F.col("block").alias("carried")).agg(F.max("place").alias("open_place"))
-    owned = tagged.join(ends, ["file", "carried"], "left")
-    home = F.when(F.col("place").isNotNull(), F.col("block")).otherwise(F.col("carried"))
-    put = owned.select("file", home.alias("home"), F.coalesce("place", "open_place").alias("first"), "block", "at", "line")
-    rows = F.array_sort(F.collect_list(F.struct("block", "at", "line")))
-    stitched = put.groupBy("file", F.col("home").alias("block"), F.col("first").alias("at")).agg(
-        F.array_join(F.transform(rows, lambda r: r["line"]), "\n").alias("line"))
-    filled = whole.unionByName(stitched.select("file", "block", "at", "line")).where(~F.col("line").isin("", "\r"))
-    first = filled.groupBy("file").agg(F.min(F.struct("block", "at", "line")).alias("h"))
-    returns = F.endswith("h.line", F.lit("\r"))  # a file that ends its lines in CR LF has them all read as line feeds
-    headers = first.select(
-        "file", "h.block", "h.at", returns.alias("returns"), F.regexp_replace("h.line", "^\ufeff|\r$", "").alias("header"))
-    body = filled.join(headers, ["file"]).where((filled["block"] != headers["block"]) | (filled["at"] != headers["at"]))
+    counted_lines(text_lines(spark, path)).write.mode("overwrite").parquet(f"{scratch}/lines")
+    lines = spark.read.parquet(f"{scratch}/lines")
+    block_states(lines).write.mode("overwrite").parquet(f"{scratch}/blocks")
+    blocks = F.broadcast(spark.read.parquet(f"{scratch}/blocks"))  # a row a block
+    known = lines.join(blocks, ["file", "block"]).withColumn("is_head", F.coalesce(F.col("at") == F.col("head"), F.lit(False)))
+    mixed = stitched(known.where("mixed"))
+    filled = known.where("NOT mixed").select("file_start", "is_head", "line").unionByName(mixed).where(~F.col("line").isin("", "\r"))
+    heads = known.where("is_head")
+    broken = heads.where("quotes % 2 = 1").limit(1).count()  # a header over several lines is a record like any other
+    first = (filled if broken else heads).where("is_head")
+    returns = F.endswith("line", F.lit("\r"))  # a file that ends its lines in CR LF has them all read as line feeds
+    first.select(
+        "file_start", returns.alias("returns"), F.regexp_replace("line", "^\ufeff|\r$", "").alias("header")
+    ).write.mode("overwrite").parquet(f"{scratch}/headers")
+    headers = spark.read.parquet(f"{scratch}/headers")
+    body = filled.where("NOT is_head").join(F.broadcast(headers), "file_start")  # a row a file
     plain = F.replace(F.regexp_replace("line", "\r$", ""), F.lit("\r\n"), F.lit("\n"))
     record = F.when(F.col("returns"), plain).otherwise(F.col("line"))
-    return body.select("file", "header", record.alias("record")), headers.select("file", "header")
+    return body.select("header", record.alias("record")), headers
 
 
 def read_split_csv(spark: SparkSession, path: str, columns: list[str], scratch: str | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ import random
 
 import pytest
 
+from crossmart.sources import split_csv
 from crossmart.sources.files import read_text_csv
 from crossmart.sources.split_csv import read_split_csv, splittable, text_lines
 
@@ -90,3 +91,32 @@ def test_empty_inputs_and_a_missing_column(spark, tmp_path):
 def test_blank_lines_and_a_byte_order_mark(spark, tmp_path):
     (tmp_path / "a.csv").write_text('\ufeffa,b,c\n\n1,"x\n\ny",3\n\n\n4,,6', encoding="utf-8")
     assert listed(read_split_csv(spark, str(tmp_path / "a.csv"), COLUMNS)) == [("1", "x\n\ny", "3"), ("4", None, "6")]
+
+
+def shuffled(df):
+    """Exchanges by a key in the executed plan, without those of broadcasts."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_whole_lines_stay_and_parts_move_once(spark, tmp_path, small_blocks):
+    """A file without broken lines is read without its lines meeting in a shuffle; broken ones move once by their block."""
+    calm, broken = tmp_path / "calm.csv", tmp_path / "broken.csv"
+    written(calm, [[str(i), 'x, "quoted"', "z"] for i in range(200)])
+    written(broken, [[str(i), "x\ny", "z"] for i in range(200)])
+    lines = split_csv.counted_lines(text_lines(spark, str(calm)))
+    states = split_csv.block_states(lines)
+    assert states.count() > 3 and states.where("mixed").count() == 0
+    known = split_csv.block_states(split_csv.counted_lines(text_lines(spark, str(broken))))
+    assert known.where("mixed").count() == known.count()
+    for path in (calm, broken):
+        got = read_split_csv(spark, str(path), COLUMNS)
+        # the lines of mixed blocks by their block, ends of records by the block they go to, nothing else
+        assert shuffled(got) == 2
+        assert listed(got) == listed(read_text_csv(spark, str(path), COLUMNS))
+
+
+def test_a_header_over_two_lines_and_blank_lines_before_it(spark, tmp_path, small_blocks):
+    path = tmp_path / "in.csv"
+    path.write_text("\n\r\n" + "\n" * 1500 + 'a,b,"c\nd"\n' + "".join(f'{i},"x\ny",z\n' for i in range(300)), encoding="utf-8", newline="")
+    got = read_split_csv(spark, str(path), ["a", "b", "c\nd"])
+    assert listed(got) == sorted([(str(i), "x\ny", "z") for i in range(300)], key=repr)
