@@ -8,11 +8,14 @@ their coordinates, kept as a byte each, agree. At a similarity of 0.85 all bands
 probability of 1.2e-5 and the bytes with one below 1e-7. A link counts only after the shingles
 themselves, not their hashes, were compared.
 
-Equal word sequences are one node. Buckets are settled in rounds so that a family of near
-copies never becomes all of its pairs: first every node meets the smallest pivot of its
-buckets, then the pivots of all of them, then about 16 pivots a bucket, then 256 and so on,
-until all members of a bucket were pivots or share a component. Pairs inside a component are
-never looked at, and none between components is skipped.
+Equal word sequences are one node. A family of near copies never becomes all of its pairs.
+First every node meets the smallest pivot of its buckets. The nodes of buckets that this leaves
+in several components are dealt into cells, one for each of their rarest shingles: in any common
+order two similar sets meet in a shingle that leaves both enough to reach the similarity, and a
+set with more shingles of its own than the similarity allows meets nobody. Cells are settled in
+rounds, by one pivot, then about 16, then 256 and so on, until all members of a cell were pivots
+or share a component. Pairs inside a component are never looked at, and none between components
+that could be similar is skipped.
 """
 
 from __future__ import annotations
@@ -21,10 +24,9 @@ from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,10 +36,12 @@ from crossmart.llm.components import components
 SHINGLE = 3
 LEAST_PERCENT = 85
 BANDS, ROWS = 24, 6
-#: Pivots of a bucket grow by this factor a round.
+#: Pivots of a cell grow by this factor a round.
 PIVOT_GROWTH = 16
 #: Shingles of a text whose coordinates are computed at once.
 BLOCK = 2048
+#: Texts whose rows are built and handed back at once.
+SLICE = 512
 #: Coordinates of a pair that agree at least, of BANDS * ROWS; 5.3 deviations below what 0.85 gives.
 AGREE = 100
 KNOWN_WORDS = 1 << 19
@@ -68,15 +72,20 @@ def shingles(words: list[bytes]) -> set:
     return set(zip(words, words[1:], words[2:], strict=False))
 
 
-def scattered(words: list[bytes], hashes: WordHashes) -> np.ndarray:
-    """First permutation: the 32-bit position of every shingle."""
+def numbers(words: list[bytes], hashes: WordHashes) -> np.ndarray:
+    """A 64-bit number for every shingle, repeats included."""
     codes = np.frombuffer(b"".join([hashes[w] for w in words]), dtype="<u8")
     if len(words) < SHINGLE:
         codes = np.concatenate([codes, np.zeros(SHINGLE - len(words), dtype=np.uint64)])
     mixed = codes[:-2] * ODD[0] + codes[1:-1] * ODD[1] + codes[2:] * ODD[2]
     mixed ^= mixed >> np.uint64(31)
     mixed *= ODD[0]
-    return (mixed >> np.uint64(32)).astype(np.uint32)
+    return mixed
+
+
+def scattered(words: list[bytes], hashes: WordHashes) -> np.ndarray:
+    """First permutation: the 32-bit position of every shingle."""
+    return (numbers(words, hashes) >> np.uint64(32)).astype(np.uint32)
 
 
 def ordered(x: np.ndarray) -> np.ndarray:
@@ -112,7 +121,7 @@ def signed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = WordHashes(), {}
-        for batch in batches:
+        for batch in (whole.slice(at, SLICE) for whole in batches for at in range(0, len(whole), SLICE)):
             nodes, counts, bands, short, lines = [], [], [], [], []
             for value in batch.column("text").cast(pa.binary()):
                 words = words_of(value.as_py())
@@ -141,24 +150,42 @@ def signed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     return chosen.mapInArrow(sign, schema)
 
 
-@F.pandas_udf(T.BooleanType())
-def agreeing(a: pd.Series, b: pd.Series) -> pd.Series:
+@F.arrow_udf(T.BooleanType())
+def agreeing(a: pa.Array, b: pa.Array) -> pa.Array:
     """Whether enough coordinates of two signatures, a byte each, are equal."""
-    x, y = (np.frombuffer(b"".join(map(bytes, s)), dtype=np.uint8).reshape(len(s), -1) for s in (a, b))
-    return pd.Series((x == y).sum(axis=1) >= AGREE, dtype="bool")
+    x, y = (np.frombuffer(b"".join(s.to_pylist()), dtype=np.uint8).reshape(len(s), -1) for s in (a, b))
+    return pa.array((x == y).sum(axis=1) >= AGREE)
 
 
-@F.pandas_udf(T.BooleanType())
-def similar(a: pd.Series, b: pd.Series) -> pd.Series:
+@F.arrow_udf(T.BooleanType())
+def similar(a: pa.Array, b: pa.Array) -> pa.Array:
     """Whether the shingle sets of two lines reach the similarity, compared word by word."""
     last, left, out = None, set(), []
-    for x, y in zip(a, b, strict=True):
+    for x, y in ((x.as_py(), y.as_py()) for x, y in zip(a, b, strict=True)):
         if x != last:
-            last, left = x, shingles(bytes(x).split())
-        right = shingles(bytes(y).split())
+            last, left = x, shingles(x.split())
+        right = shingles(y.split())
         both = len(left & right)
         out.append(100 * both >= LEAST_PERCENT * (len(left) + len(right) - both))
-    return pd.Series(out, dtype="bool")
+    return pa.array(out, pa.bool_())
+
+
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def shingle_numbers(lines: pa.Array) -> pa.Array:
+    """The number of every distinct shingle; shingles that share a number are listed one by one."""
+    hashes, out = WordHashes(), []
+    for line in lines:
+        words = line.as_py().split()
+        places = {x: i for i, x in enumerate(zip(words, words[1:], words[2:], strict=False))}.values() if len(words) >= SHINGLE else [0]
+        out.append(numbers(words, hashes)[list(places)].view(np.int64))
+    return pa.array(out, pa.list_(pa.int64()))
+
+
+def lines_of(who: DataFrame, rows: DataFrame) -> DataFrame:
+    """The lines of some row numbers."""
+    if who.count() <= BROADCAST_ROWS:  # eight bytes each
+        who = F.broadcast(who)
+    return rows.join(who, "row")
 
 
 def confirmed(pairs: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
@@ -171,10 +198,7 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
     theirs = nodes.select(F.col("row").alias("p_row"), F.col("bytes").alias("b"))
     known = salted_lookup(pairs.join(ours, "row"), "p_row", theirs, ["node"], "inner", pinned=True)
     asked = stage(known.where(agreeing("a", "b")).select("node", "row", "p", "p_row"), "asked")
-    who = asked.select("row").union(asked.select("p_row")).distinct()
-    if who.count() <= BROADCAST_ROWS:  # eight bytes each
-        who = F.broadcast(who)
-    lines = stage(rows.join(who, "row"), "lines")
+    lines = stage(lines_of(asked.select("row").union(asked.select("p_row")).distinct(), rows), "lines")
     mine = asked.join(lines, "row").select("node", "p", "p_row", F.col("line").alias("a_line"))
     their_lines = lines.select(F.col("row").alias("p_row"), F.col("line").alias("b_line"))
     both = salted_lookup(mine, "p_row", their_lines, ["node"], "inner", pinned=True)
@@ -199,13 +223,30 @@ class Links:
             self.found = new if self.found is None else self.found.unionByName(new)
             self.roots = components(self.found)
 
-    def named(self, df: DataFrame, column: str, root: str, hot: bool) -> DataFrame:
+    def named(self, df: DataFrame) -> DataFrame:
         """Adds the component of a node, which is the node itself as long as it has no link."""
         if self.roots is None:
-            return df.withColumn(root, F.col(column))
-        of = self.roots.select(F.col("node").alias(column), F.col("root").alias(root))
-        found = salted_lookup(df, column, of, ["bucket"]) if hot else df.join(of, column, "left")
-        return found.withColumn(root, F.coalesce(root, column))
+            return df.withColumn("root", F.col("node"))
+        return df.join(self.roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def cells(crowd: DataFrame, rows: DataFrame) -> DataFrame:
+    """(cell, node, row, n_shingles, left) for the rarest shingles of every node (row, node, n_shingles) of a crowd.
+
+    A node's shingles are ordered by the number of nodes that hold them, shared ones after its
+    own, and ``left`` counts a shingle and those after it. The first shingle that two nodes have
+    in common leaves both at least the shingles they have in common, so those after the first
+    15 % need no cell, and a pair is similar only if ``left`` suffices on both sides.
+    """
+    lines = lines_of(crowd.select("row"), rows)
+    held = F.count(F.lit(1)).over(Window.partitionBy("cell"))
+    shared = lines.select("row", F.explode(shingle_numbers("line")).alias("cell")).withColumn("held", held).where("held > 1")
+    own = shared.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("held", "cell"))).alias("s"))  # of one text
+    most = F.floor((100 - LEAST_PERCENT) * F.col("n_shingles") / 100) + 1 - F.col("n_shingles") + F.size("s")
+    first = own.join(crowd, "row").withColumn("size", F.size("s")).withColumn(
+        "s", F.slice("s", F.lit(1), F.greatest(most, F.lit(0)).cast("int")))
+    return first.select("node", "row", "n_shingles", "size", F.posexplode("s").alias("at", "s")).select(
+        F.col("s.cell").alias("cell"), "node", "row", "n_shingles", (F.col("size") - F.col("at")).alias("left"))
 
 
 def linked(nodes: DataFrame, rows: DataFrame) -> DataFrame | None:
@@ -214,32 +255,43 @@ def linked(nodes: DataFrame, rows: DataFrame) -> DataFrame | None:
     pivot = F.min(F.struct(F.col("node").alias("p"), F.col("row").alias("p_row"), F.col("n_shingles").alias("p_n")))
     crowds = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), pivot.alias("pivot")).where("n > 1")
     met = salted_lookup(keyed, "bucket", crowds, ["node"], "inner", pinned=True)
-    members = stage(met.select("bucket", "node", "row", "n_shingles", "n", "pivot.*"), "members")
+    members = stage(met.select("bucket", "node", "row", "n_shingles", "pivot.*"), "members")
     fits = 100 * F.least("n_shingles", "p_n") >= LEAST_PERCENT * F.greatest("n_shingles", "p_n")
     links, others = Links(nodes, rows), members.where(fits & (F.col("node") != F.col("p")))
     links.check(others.groupBy("node", "row").agg(F.min(F.struct("p", "p_row")).alias("s")).select("node", "row", "s.*"))
-    apart = links.named(links.named(others, "node", "root", False), "p", "p_root", True).where("root <> p_root")
-    links.check(apart.select("node", "row", "p", "p_row").distinct())
-
-    share = (F.pmod(F.xxhash64("node", "bucket"), F.lit(1 << 40)) + 1) / F.lit(float(1 << 40)) * F.col("n")
-    rank = F.when(F.col("node") == F.col("p"), F.lit(0.0)).otherwise(share)
-    ranked = members.select("bucket", "node", "row", "n_shingles", rank.alias("rank"))
-    most = members.where("n > 2").agg(F.max("n")).first()[0] or 0
-    before, reach = 0.0, float(PIVOT_GROWTH)
+
+    at = stage(links.named(members), "rooted")
+    mixed = at.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
+    crowd = stage(salted_lookup(at, "bucket", mixed, ["node"], "inner", pinned=True).select("row", "node", "n_shingles").distinct(), "crowd")
+    drop_staged(members)
+    drop_staged(at)
+    dealt = stage(cells(crowd, rows), "cells")
+    pivot = F.min(F.struct((F.col("n_shingles") - F.col("left")).alias("before"), F.col("node").alias("p")))
+    crowds = dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), pivot.alias("pivot")).where("n > 1")
+    share = (F.pmod(F.xxhash64("node", "cell"), F.lit(1 << 40)) + 1) / F.lit(float(1 << 40)) * F.col("n")
+    rank = F.when(F.col("node") == F.col("pivot.p"), F.lit(0.0)).otherwise(share)
+    ranked = stage(salted_lookup(dealt, "cell", crowds, ["node"], "inner", pinned=True).select(
+        "cell", "node", "row", "n_shingles", "left", rank.alias("rank"), "n"), "ranked")
+    drop_staged(dealt)
+    drop_staged(crowd)
+    most = ranked.agg(F.max("n")).first()[0] or 0
+    enough = (100 + LEAST_PERCENT) * F.least("left", "p_left") >= LEAST_PERCENT * (F.col("n_shingles") + F.col("p_n"))
+    before, reach = -1.0, 0.0  # the pivot with the fewest rarer shingles is the first
     while before < most:
-        at = stage(links.named(ranked.where(F.col("rank") > before), "node", "root", False), "rooted")  # earlier pivots have met everybody
-        spans = at.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-        mixed = stage(spans.where("lo <> hi").select("bucket"), "mixed")
+        at = stage(links.named(ranked.where(F.col("rank") > before).drop("n")), "rooted")  # earlier pivots have met everybody
+        spans = at.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+        mixed = stage(spans.where("lo <> hi").select("cell"), "mixed")
         if not mixed.limit(1).count():
             break
-        pivots = at.where(F.col("rank") <= reach).join(mixed, "bucket").select(
-            "bucket", F.col("node").alias("p"), F.col("row").alias("p_row"), F.col("n_shingles").alias("p_n"), F.col("root").alias("p_root"))
-        pairs = salted_lookup(at, "bucket", pivots, ["node"], "inner", pinned=True).where(
-            fits & (F.col("root") != F.col("p_root")) & ((F.col("rank") > reach) | (F.col("node") > F.col("p"))))
+        pivots = at.where(F.col("rank") <= reach).join(mixed, "cell").select(
+            "cell", F.col("node").alias("p"), F.col("row").alias("p_row"), F.col("n_shingles").alias("p_n"),
+            F.col("left").alias("p_left"), F.col("root").alias("p_root"))
+        pairs = salted_lookup(at, "cell", pivots, ["node"], "inner", pinned=True).where(
+            enough & (F.col("root") != F.col("p_root")) & ((F.col("rank") > reach) | (F.col("node") > F.col("p"))))
         links.check(pairs.select("node", "row", "p", "p_row").distinct())
         drop_staged(at)
-        before, reach = reach, reach * PIVOT_GROWTH
-    drop_staged(members)
+        before, reach = reach, max(reach, 1.0) * PIVOT_GROWTH
+    drop_staged(ranked)
     return links.roots
 
 

@@ -197,6 +197,24 @@ def test_crowded_buckets_join_components_that_their_pivot_does_not(spark):
     assert got == sorted(plain_near(rows))
 
 
+def test_copies_that_are_not_similar_enough_do_not_meet_each_other(spark, monkeypatch):
+    """Copies of one text that share bands but no link: looking at all of their pairs would take 44,850."""
+    rng, seen = random.Random(12), []
+    base = [f"w{i}" for i in range(150)]
+    texts = [" ".join(base)]
+    while len(texts) < 300:
+        copy, edits = list(base), rng.randrange(3, 9)
+        for at in rng.sample(range(150), edits):
+            copy[at] = f"e{rng.randrange(10**9)}"
+        texts.append(" ".join(copy))
+    rows = [(i, t, "en") for i, t in enumerate(texts)]
+    confirmed = minhash.confirmed
+    monkeypatch.setattr(minhash, "confirmed", lambda pairs, *rest: (seen.append(pairs.count()), confirmed(pairs, *rest))[1])
+    got = sorted(map(tuple, minhash.near_duplicates(table(spark, rows)).collect()))
+    assert got == sorted(plain_near(rows))
+    assert sum(seen) < 3000
+
+
 def test_signature_agreement_estimates_similarity():
     rng = random.Random(1)
     a = [str(rng.randrange(10**6)).encode() for _ in range(600)]
