@@ -33,3 +33,13 @@ def test_the_markets_of_a_fact_are_combined_before_they_meet_the_dimension(spark
     plan = entry.BUILDERS["b4_market_count"](entry.inputs(spark, spark.sparkContext.applicationId, sf_dir))._jdf.queryExecution().optimizedPlan()
     semi = plan.toString().split("LeftSemi")[1]
     assert semi.index("Aggregate [geo_key") < semi.index("Relation [price_key")
+
+
+@pytest.mark.parametrize("name", ["m7_version_faults", "m7_product_reload"])
+def test_products_are_made_without_staging_a_delivery(spark, sf_dir, tmp_path, name):
+    """The history of products needs no price, so no delivery is collapsed, staged and read again for it."""
+    for table in ("lineitem", "part"):
+        os.symlink(f"{sf_dir}/{table}.parquet", tmp_path / f"{table}.parquet")
+    i = entry.Inputs(spark, str(tmp_path))
+    entry.BUILDERS[name](i).count()
+    assert not {"wh", "catalogue_batch", "recolored"} & set(vars(i))
