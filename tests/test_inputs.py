@@ -1,10 +1,13 @@
 """Queries load what they read: rates or staging alone where no price is asked for."""
 
 import os
+import re
 
 import __spark_entry__ as entry
 import pytest
+from pyspark.sql import functions as F
 
+from crossmart.plans import facts
 from crossmart.sources import demo
 from tools.compare import connect, sorted_rows
 
@@ -43,3 +46,14 @@ def test_products_are_made_without_staging_a_delivery(spark, sf_dir, tmp_path, n
     i = entry.Inputs(spark, str(tmp_path))
     entry.BUILDERS[name](i).count()
     assert not {"wh", "catalogue_batch", "recolored"} & set(vars(i))
+
+
+def test_a_price_is_read_and_converted_once_a_row(spark):
+    """Text is parsed and the product with the rate divided once a row, however many columns use them."""
+    rows = spark.sql(
+        "SELECT id AS product_key, id AS geo_key, id AS currency_key, 20240115 AS date_key, id AS category_key, current_date() AS snapshot_day, "
+        "string(id) AS price_local, string(id) AS sale_price_local, '1' AS discount_pct, 'true' AS in_stock, "
+        "CAST(rand(1) AS DECIMAL(18,6)) AS mid_rate, CAST(rand(2) AS DECIMAL(18,6)) AS eur, CAST(rand(3) AS DECIMAL(18,6)) AS usd FROM range(9)")
+    plan = facts.fact_columns(rows, F.col("eur"), F.col("usd"))._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"cast\(price_local#\d+ as decimal", plan)) == 1
+    assert len(re.findall(r"/ ", plan)) == 2
