@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crossmart.llm.common import SALTS, stage
+from crossmart.llm.common import SALTS, let, stage
 
 RATIO, LEAST_PAGES, DEVIATIONS = 0.05, 3, 1.96
 #: Hosts with boilerplate are broadcast up to this total number of boilerplate lines.
@@ -36,26 +36,37 @@ def by_first_letter(names: list[str]) -> str:
     return "|".join(f"{x}(?:{'|'.join(n[1:] for n in names if n[0] == x)})" for x in letters)
 
 
+def replaced(text: Column, old: str, new: str) -> Column:
+    """A text with ``old`` replaced; texts without it, most of them, are only looked through."""
+    return let(text, lambda t: F.when(F.contains(t, F.lit(old)), F.replace(t, F.lit(old), F.lit(new))).otherwise(t))
+
+
 def lines_of_html(html: Column) -> Column:
     """The visible lines of a page: blocks and breaks end a line, other tags vanish."""
     text = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<(?:!--.*?-->|script\b.*?</script>|style\b.*?</style>)", "\n")
     text = F.regexp_replace(text, rf"(?is)</?(?:{by_first_letter(BLOCK_TAGS)})(?:\s[^>]*)?/?>", "\n")
     text = F.regexp_replace(text, r"(?s)<[A-Za-z/!][^>]*>", "")
-    plain = text
     for name, char in REFERENCES:
-        plain = F.replace(plain, F.lit(name), F.lit(char))
-    return lines_of_text(F.when(F.contains(text, F.lit("&")), plain).otherwise(text))
+        text = replaced(text, name, char)
+    return lines_of_text(text)
 
 
 def lines_of_text(text: Column) -> Column:
-    """Non-empty lines, with white space inside turned into one space."""
-    parts = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09\x0B-\x0D]{2,}|[\x09\x0B-\x0D]", " "), " ?\n ?", -1)
-    return F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "")
+    """Non-empty lines, with white space inside turned into one space.
+
+    A pattern tries every character of a text, so one runs only where blanks follow each other.
+    """
+    text = F.coalesce(text, F.lit(""))
+    for char in "\t\x0b\x0c\r":
+        text = replaced(text, char, " ")
+    text = let(text, lambda t: F.when(F.contains(t, F.lit("  ")), F.regexp_replace(t, " {2,}", " ")).otherwise(t))
+    text = replaced(replaced(text, " \n", "\n"), "\n ", "\n")
+    return F.array_remove(F.split(F.trim(text), "\n", -1), "")
 
 
 def digest(line: Column) -> Column:
     """What makes two lines the same line: their MD5."""
-    return F.md5(F.encode(line, "UTF-8"))
+    return F.md5(line.cast("binary"))
 
 
 def too_frequent(n_pages: Column, host_pages: Column, ratio: float = RATIO) -> Column:

@@ -1,7 +1,9 @@
 """The text operators against plain versions, and their defined results for odd inputs."""
 
 import hashlib
+import itertools
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -365,6 +367,18 @@ def test_lines_of_html(spark):
     assert got[0]["x"] == ["T", "A b&lt;", "C", "D", "tail"] and got[1]["x"] == []
 
 
+def test_lines_of_text_try_a_pattern_only_on_blanks_in_a_row(spark):
+    parts = [" ", "  ", "\t", "\x0b", "\x0c", "\r", "\n", "a", "b c", "\u00a0", "é", "日"]
+    texts = ["".join(p) for p in itertools.product(parts, repeat=3)] + ["", " \n\t\r\n ", "x  \n \n\n  y \t z\n"]
+    table = spark.createDataFrame([(t,) for t in texts], "t string").select("t", site_lines.lines_of_text(F.col("t")).alias("x"))
+    for r in table.collect():
+        plain = [re.sub("[ \t\x0b\x0c\r]+", " ", line).strip(" ") for line in r["t"].split("\n")]
+        assert r["x"] == [line for line in plain if line], repr(r["t"])
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    tried = [plan[:m.start()] for m in re.finditer(r"regexp_replace\(", plan)]
+    assert tried and all(before.endswith("THEN ") for before in tried) and "CASE WHEN Contains" in plan
+
+
 # --- pages --------------------------------------------------------------------------------
 
 
